@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -100,47 +99,3 @@ def _slice(handle: pa.NativeFile | None, offset: int, length: int) -> str | None
     if handle is None or offset >= handle.size():
         return None
     return first_response(handle.read_at(length, offset))
-
-
-def write_archives(pages: DataFrame, archive_root: str, file_column: str = "filename") -> DataFrame:
-    """Re-encode ``(id, url, raw, filename)`` as archives; returns ``(id, url, filename, offset, length)``.
-
-    Each task writes its own file per name (a task number is added), so a name that most
-    pages share is still written by many tasks.
-    """
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        system, root = fs.FileSystem.from_uri(archive_root) if "://" in archive_root else (fs.LocalFileSystem(), archive_root)
-        system.create_dir(root, recursive=True)
-        sinks: dict[str, pa.NativeFile] = {}
-        try:
-            for batch in batches:
-                out = []
-                for r in batch.to_pylist():
-                    name = f"{r[file_column]}-{part:05d}.warc.gz"
-                    if name not in sinks:
-                        sinks[name] = system.open_output_stream(f"{root}/{name}", compression=None)
-                    at, data = sinks[name].tell(), encode_record(r["url"], r["raw"])
-                    sinks[name].write(data)
-                    out.append({"id": r["id"], "url": r["url"], "filename": name, "offset": at, "length": len(data)})
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_REQUEST))
-        finally:
-            for sink in sinks.values():
-                sink.close()
-
-    return pages.select("id", "url", "raw", F.col(file_column).alias(file_column)).mapInArrow(
-        write, "id long, url string, filename string, offset long, length long"
-    )
-
-
-_REQUEST = [("id", pa.int64()), ("url", pa.string()), ("filename", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
-
-
-def encode_record(url: str, html: str, kind: str = "response") -> bytes:
-    """One gzip member holding one record."""
-    message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + html.encode()
-    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(message)}\r\n\r\n"
-    return gzip.compress(head.encode() + message + b"\r\n\r\n", mtime=0)
