@@ -53,7 +53,9 @@ def _band_hashes(config: MinHashConfig) -> Callable[[Column], Column]:
             hasher.append(MinHasher(config.buckets, config.rows, config.seed))
         return hasher[0].batch(shingles)
 
-    return arrow_udf(bands, "array<bigint>")
+    # Declared non-deterministic so that filters on the bands stay above it and neither the
+    # hashing nor the word lists below are computed twice.
+    return arrow_udf(bands, "array<bigint>").asNondeterministic()
 
 
 def signatures(
@@ -65,9 +67,8 @@ def signatures(
     shingle have no signature and are left out.
     """
     worded = _keyed(docs, doc_id, text, scope).select("doc_id", "scope", tx.words(F.lower("text")).alias("_words"))
-    enough = worded.where(F.size("_words") >= config.shingle_words)
-    hashed = enough.select("doc_id", "scope", shingle_hashes("_words", config.shingle_words).alias("_shingles"))
-    return hashed.select("doc_id", "scope", _band_hashes(config)("_shingles").alias("bands"))
+    hashed = worded.select("doc_id", "scope", shingle_hashes("_words", config.shingle_words).alias("_shingles"))
+    return hashed.select("doc_id", "scope", _band_hashes(config)("_shingles").alias("bands")).where(F.col("bands").isNotNull())
 
 
 def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: str | None = None) -> DataFrame:

@@ -57,8 +57,14 @@ class FilterConfig:
     stop_words: dict[str, list[str]] = field(default_factory=lambda: STOP_WORDS)
 
 
-def with_measures(docs: DataFrame, config: FilterConfig = FilterConfig(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """Add the integer measures behind every rule. ``lang`` may name a missing column."""
+def with_measures(
+    docs: DataFrame, config: FilterConfig = FilterConfig(), text: str = "text", lang: str = "lang", ngrams: bool = True
+) -> DataFrame:
+    """Add the integer measures behind every rule. ``lang`` may name a missing column.
+
+    Only the repetition stage needs the n-gram measures; ``ngrams=False`` leaves them out
+    and keeps all work in the JVM.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     arrays = docs.select(
         "*",
@@ -93,11 +99,12 @@ def with_measures(docs: DataFrame, config: FilterConfig = FilterConfig(), text:
         _lines_like(r"""[.!?…"'”’»]\s*$""").alias("n_punct_lines"),
         _long(F.size(F.filter("_lines", lambda x: F.length(x) < config.short_line_chars))).alias("n_short_lines"),
         stop_hits.alias("n_stop_words"),
-        *[F.col(f"_rep.{f}").alias(f) for f in REPETITION_FIELDS],
+        *([F.col(f"_rep.{f}").alias(f) for f in REPETITION_FIELDS] if ngrams else []),
     )
     # Going through a generator keeps later filters on the measures above it. Pushed below,
     # they would copy every measure into the filter and compute it twice.
-    return arrays.withColumn("_rep", repetition("_words")).select(*docs.columns, F.inline(F.array(measures)))
+    counted = arrays.withColumn("_rep", repetition("_words")) if ngrams else arrays
+    return counted.select(*docs.columns, F.inline(F.array(measures)))
 
 
 MEASURES = [
@@ -186,4 +193,5 @@ def filter_documents(
     docs: DataFrame, config: FilterConfig = FilterConfig(), text: str = "text", lang: str = "lang", stages: tuple[str, ...] = STAGES
 ) -> DataFrame:
     """The input columns with ``stage`` and ``reason``; keep rows whose ``reason`` is null."""
-    return with_verdict(with_measures(docs, config, text, lang), config, stages).select(*docs.columns, "stage", "reason")
+    measured = with_measures(docs, config, text, lang, ngrams="repetition" in stages)
+    return with_verdict(measured, config, stages).select(*docs.columns, "stage", "reason")

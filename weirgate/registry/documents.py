@@ -20,7 +20,7 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def verdicts(spark: SparkSession, sf: str, stages: tuple[str, ...] = q.STAGES) -> DataFrame:
-    judged = q.with_verdict(q.with_measures(_docs(spark, sf), CONFIG), CONFIG, stages)
+    judged = q.with_verdict(q.with_measures(_docs(spark, sf), CONFIG, ngrams="repetition" in stages), CONFIG, stages)
     return judged.select("doc_id", "source", "lang", F.col("n_chars_text").alias("doc_len"), "stage", "reason")
 
 

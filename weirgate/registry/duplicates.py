@@ -93,10 +93,10 @@ bands{s} AS MATERIALIZED (
     FROM lows{s} l JOIN mixes x ON x.i = l.i % {c.rows} GROUP BY doc_id, scope, bucket))"""
 
 
-def _clusters_sql(docs: str, suffix: str, scope: str = "''") -> str:
+def _clusters_sql(docs: str, suffix: str, scope: str = "''", bands: str | None = None) -> str:
     s = suffix
     return (
-        _bands_sql(docs, suffix, scope)
+        (bands or _bands_sql(docs, suffix, scope))
         + f""",
 firsts{s} AS (
   SELECT doc_id, min(doc_id) OVER (PARTITION BY scope, bucket, band_hash) AS first_id FROM bands{s}
@@ -121,7 +121,8 @@ _BY_SOURCE = _PERMS + _clusters_sql("documents", "1", "source")
 _TWO = (
     _BY_SOURCE
     + ", left_over AS (SELECT d.* FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM clusters1 WHERE NOT keep)),"
-    + _clusters_sql("left_over", "2")
+    + _clusters_sql("left_over", "2", bands="""
+bands2 AS (SELECT doc_id, '' AS scope, bucket, band_hash FROM bands1 WHERE doc_id IN (SELECT doc_id FROM left_over))""")
     + """, decided AS (
   SELECT d.doc_id, d.source, length(d.text)::BIGINT AS doc_len, coalesce(a.cluster_id, b.cluster_id) AS cluster_id,
     CASE WHEN a.doc_id IS NOT NULL THEN 'dedup_scope' WHEN b.doc_id IS NOT NULL THEN 'dedup_all' END AS stage,
