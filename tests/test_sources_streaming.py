@@ -15,7 +15,7 @@ def test_slices(spark, tmp_path):
         encode_record("u", "<p>ş</p>"),
         encode_record("u", "asked", "request") + encode_record("u", "answered"),
         encode_record("u", "only asked", "request"),
-        encode_record("u", "x").replace(b"", b""),
+        encode_record("u", "x"),
     ]
     bad = warc.gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 21\r\n\r\nHTTP/1.1 200 OK\r\n\r\n\xff\xfe")
     records.append(bad)

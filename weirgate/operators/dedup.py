@@ -106,10 +106,16 @@ def duplicate_clusters(
     Copies of one text have one signature, so only the first is hashed and the others
     join its cluster. The smallest ``doc_id`` of a cluster names it and is kept.
     """
+    copies, sigs = _copies_and_signatures(docs, config, doc_id, text, scope)
+    return clusters_of(bucket_matches(sigs, config).unionByName(copies))
+
+
+def _copies_and_signatures(
+    docs: DataFrame, config: MinHashConfig, doc_id: str, text: str, scope: str | None
+) -> tuple[DataFrame, DataFrame]:
     copies = materialise(exact_copies(docs, doc_id, text, scope))
     firsts = docs.join(copies.select(F.col("doc_id").alias(doc_id)), doc_id, "left_anti")
-    sigs = materialise(signatures(firsts, config, doc_id, text, scope))
-    return clusters_of(bucket_matches(sigs, config).unionByName(copies))
+    return copies, materialise(signatures(firsts, config, doc_id, text, scope))
 
 
 def clusters_of(matches: DataFrame) -> DataFrame:
@@ -138,9 +144,16 @@ def dedup_by_scope_then_all(
     Adds ``stage`` (``dedup_scope``, ``dedup_all``, or null for kept) and ``cluster_id`` of
     the stage that decided.
     """
-    within = materialise(duplicate_clusters(docs, config, doc_id, text, scope))
-    lost = within.where(~F.col("keep")).select(F.col("doc_id").alias(doc_id))
-    across = materialise(duplicate_clusters(docs.join(lost, doc_id, "left_anti"), config, doc_id, text))
+    copies, sigs = _copies_and_signatures(docs, config, doc_id, text, scope)
+    within = materialise(clusters_of(bucket_matches(sigs, config).unionByName(copies)))
+    lost = within.where(~F.col("keep")).select("doc_id")
+    # Hashing is the dear step and does not depend on the scope. Every survivor has its
+    # signature already: the smallest id of a cluster is never a copy.
+    left = docs.join(lost.select(F.col("doc_id").alias(doc_id)), doc_id, "left_anti")
+    copies = materialise(exact_copies(left, doc_id, text))
+    gone = lost.unionByName(copies.select("doc_id"))
+    sigs = materialise(sigs.join(gone, "doc_id", "left_anti").withColumn("scope", F.lit("")))
+    across = materialise(clusters_of(bucket_matches(sigs, config).unionByName(copies)))
     removed = (
         within.where(~F.col("keep"))
         .select("doc_id", "cluster_id", F.lit("dedup_scope").alias("stage"))

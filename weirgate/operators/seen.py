@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def not_seen(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is not in ``keys``; rows without a key count as not seen."""
+    """Rows whose key is not in ``keys``; rows without a key count as not seen.
+
+    With one row per key in a stored table, both sides of the join are plain shuffles, so
+    adaptive execution can split a key that many rows share.
+    """
     return df.join(keys.select(on), on, "left_anti")
 
 

@@ -57,13 +57,13 @@ def tfidf(df: DataFrame, row_id: str, text: str, fitted_on: Column) -> DataFrame
     Weight: count x (ln((1 + n) / (1 + df)) + 1), scaled to unit length per row. A term that
     occurs in most rows is spread over tasks.
     """
-    rows = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("_text"), fitted_on.alias("_fit"))
-    counts = rows.select("row_id", "_fit", F.explode(terms(F.col("_text"))).alias("term")).groupBy("row_id", "_fit", "term").agg(F.count("*").alias("tf"))
-    n = rows.where("_fit").count()
+    rows = df.select(F.col(row_id).alias("row_id"), terms(F.col(text)).alias("_terms"), fitted_on.alias("_fit"))
+    counts = rows.select("row_id", "_fit", F.explode("_terms").alias("term")).groupBy("row_id", "_fit", "term").agg(F.count("*").alias("tf"))
+    n, pairs = rows.agg(F.count_if("_fit"), F.coalesce(F.sum(F.size("_terms")), F.lit(0))).first()
     idf = counts.where("_fit").groupBy("term").agg(F.count("*").alias("df")).select(
         "term", "df", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")
     )
-    weighted = attach_group_value(counts, idf, ["term"], "idf", "df", F.col("row_id"), hot_threshold(n))
+    weighted = attach_group_value(counts, idf, ["term"], "idf", "df", F.col("row_id"), hot_threshold(pairs))
     raw = weighted.where(F.col("idf").isNotNull()).withColumn("_w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("row_id")))
     return raw.select("row_id", "term", (F.col("_w") / length).alias("weight"))

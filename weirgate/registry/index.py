@@ -11,7 +11,7 @@ from weirgate.operators import seen
 from weirgate.operators import worklist as wl
 from weirgate.plans.fetchlist import fetch_list, request_list
 from weirgate.registry.fixtures import CDX_SQL, cdx_order, cdx_table
-from weirgate.session import scratch_path
+from weirgate.session import materialise, scratch_path
 from weirgate.sources import cdx as cx
 from weirgate.sources.tables import read_table
 
@@ -82,14 +82,13 @@ def _usable(spark: SparkSession, sf: str) -> DataFrame:
     return cap.usable_captures(_cdx(spark, sf), MIN_LENGTH)
 
 
-def unseen_keys(spark: SparkSession, sf: str) -> DataFrame:
-    cdx = _cdx(spark, sf)
-    return seen.not_seen(cdx.where("collection != 'C0'"), cdx.where("collection = 'C0'"), "urlkey").select("page_id", "urlkey", "collection")
-
+def _against_first_collection(test):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        cdx = _cdx(spark, sf)
+        keys = materialise(cdx.where("collection = 'C0'").select("urlkey").distinct())
+        return test(cdx.where("collection != 'C0'"), keys, "urlkey").select("page_id", "urlkey", "collection")
 
-def seen_keys(spark: SparkSession, sf: str) -> DataFrame:
-    cdx = _cdx(spark, sf)
-    return seen.seen(cdx.where("collection != 'C0'"), cdx.where("collection = 'C0'"), "urlkey").select("page_id", "urlkey", "collection")
+    return query
 
 
 def key_set(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,8 +121,8 @@ QUERIES = {
     ).select("page_id", "urlkey", "digest"),
     "capture_requests": lambda spark, sf: request_list(_cdx(spark, sf), cdx_order(), MIN_LENGTH),
     "repeated_digests": lambda spark, sf: cap.duplicate_urls(_usable(spark, sf).select(F.col("digest").alias("url"))),
-    "keys_not_seen": unseen_keys,
-    "keys_seen": seen_keys,
+    "keys_not_seen": _against_first_collection(seen.not_seen),
+    "keys_seen": _against_first_collection(seen.seen),
     "keys_stored": key_set,
     "fetch_list": lambda spark, sf: _readable(_worklist(spark, sf)),
     "fetch_list_after_run": lambda spark, sf: _readable(_current(spark, sf)),
