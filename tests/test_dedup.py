@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from weirgate.operators import components
 from weirgate.operators import dedup as dd
 from weirgate.operators.components import connected_components
 from weirgate.operators.skew import attach_group_value, hot_threshold
@@ -118,6 +119,18 @@ def test_a_third_of_all_documents_with_one_text(spark):
     assert {r.doc_id for r in found} == set(range(0, 600, 3)) and sum(r.keep for r in found) == 1
 
 
+def test_a_third_of_all_documents_nearly_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    words = _text(rng, 150).split()
+    near = lambda i: " ".join([*words[: i % 140], f"only{i}", *words[i % 140 + 1 :]])
+    docs = spark.createDataFrame([(i, near(i) if i % 3 == 0 else _text(rng, 60)) for i in range(300)], "doc_id long, text string")
+    plain = _clusters(dd.duplicate_clusters(docs, SMALL))
+    for module in (dd, components):  # every group of more than 20 rows takes the hot path
+        monkeypatch.setattr(module, "hot_threshold", lambda total: 20)
+    assert _clusters(dd.duplicate_clusters(docs, SMALL)) == plain
+    assert {c[0] for c in plain} == set(range(0, 300, 3)) and {c[1] for c in plain} == {0}
+
+
 def test_scope_keeps_copies_of_other_sources(spark):
     rng = random.Random(4)
     t = _text(rng, 50)

