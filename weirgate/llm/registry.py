@@ -1,17 +1,20 @@
 """The queries of this subpackage, with their SQL where SQL can state them."""
 
-from weirgate.llm import bpe, exact_dedup, main_text, mixing, topk, url_filter
+from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_top_k_search": topk.query,
     "op2_main_text": main_text.query,
     "op4_url_filter": url_filter.query,
+    "op5_jaccard_join": jaccard_join.query,
     "op6_bpe": bpe.query,
+    "op7_toxicity": toxicity.query,
     "op8_mix_sources": mixing.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 SQL = {
     "op1_top_k_search": topk.SQL,
     "op4_url_filter": url_filter.SQL,
+    "op5_jaccard_join": jaccard_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
