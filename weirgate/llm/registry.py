@@ -1,6 +1,6 @@
 """The queries of this subpackage, with their SQL where SQL can state them."""
 
-from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, topk, toxicity, url_filter
+from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, pii, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_top_k_search": topk.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_bpe": bpe.query,
     "op7_toxicity": toxicity.query,
     "op8_mix_sources": mixing.query,
+    "op9_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 SQL = {
