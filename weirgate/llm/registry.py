@@ -1,10 +1,11 @@
 """The queries of this subpackage, with their SQL where SQL can state them."""
 
-from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, pii, topk, toxicity, url_filter
+from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, pii, repeats, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_top_k_search": topk.query,
     "op2_main_text": main_text.query,
+    "op3_repeats": repeats.query,
     "op4_url_filter": url_filter.query,
     "op5_jaccard_join": jaccard_join.query,
     "op6_bpe": bpe.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 SQL = {
     "op1_top_k_search": topk.SQL,
+    "op3_repeats": repeats.SQL,
     "op4_url_filter": url_filter.SQL,
     "op5_jaccard_join": jaccard_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
