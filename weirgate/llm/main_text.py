@@ -69,6 +69,7 @@ LABELLED = (
     (22, 0.0, 40, 0.0, 30, 0.1, 0, 0, 1), (7, 0.0, 50, 0.0, 60, 0.0, 0, 0, 1), (1, 0.0, 45, 0.0, 85, 0.0, 0, 0, 1),
     (12, 0.0, 3, 0.2, 70, 0.0, 0, 0, 1), (35, 0.2, 8, 0.0, 20, 0.0, 0, 0, 1), (18, 0.0, 65, 0.0, 30, 0.0, 0, 0, 1),
     (9, 0.0, 30, 0.0, 28, 0.0, 0, 0, 1), (25, 0.0, 2, 1.0, 0, 0.0, 0, 0, 1), (19, 0.0, 12, 0.0, 26, 0.0, 0, 0, 1),
+    (54, 0.0, 2, 0.0, 3, 1.0, 0, 0, 1), (48, 0.0, 2, 1.0, 4, 1.0, 0, 0, 1), (33, 0.0, 40, 0.0, 2, 1.0, 0, 0, 1),
     # No markup tells: link lists, lone short lines and captions are not.
     (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0), (20, 0.9, 2, 1.0, 25, 0.8, 0, 0, 0), (45, 0.7, 6, 1.0, 9, 1.0, 0, 0, 0),
     (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0), (6, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0), (3, 0.0, 4, 0.0, 5, 0.0, 0, 0, 0),

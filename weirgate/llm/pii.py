@@ -28,7 +28,10 @@ ISO_DATE = r"(?<![\w./-])[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![\w]|[./-][0-9])"
 DATE = r"(?<![\w./-])[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}(?![\w]|[./-][0-9])"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w]|-[0-9])"
 ADDRESS = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"
-CARD = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|[.-][0-9])"
+CARD = (
+    r"(?<![\w.-])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}"
+    r"|[0-9]{4} [0-9]{6} [0-9]{4,5}|[0-9]{4}-[0-9]{6}-[0-9]{4,5})(?![\w]|[.-][0-9])"
+)
 ANY = "|".join(f"(?:{p})" for p in (MAIL, IBAN, PHONE, NATIONAL, ISO_DATE, DATE, SSN, ADDRESS, CARD))
 
 # 400 years of the calendar have 146,097 = 189 * 773 days, so the permutation of days is exact.
