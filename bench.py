@@ -26,8 +26,8 @@ HEADLINE = [
     "url_path_words",
     "url_tfidf",
     "archive_slices",
-    "duplicate_clusters_full",
-    "dedup_by_source_then_all_full",
+    "duplicate_clusters",
+    "dedup_by_source_then_all",
 ]
 
 
@@ -52,7 +52,7 @@ def main() -> None:
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "documents": documents,
                 "documents_per_sec": {
-                    n: round(documents / seconds[n], 1) for n in ("kept_per_source", "duplicate_clusters_full") if seconds[n]
+                    n: round(documents / seconds[n], 1) for n in ("kept_per_source", "duplicate_clusters") if seconds[n]
                 },
             }
         )

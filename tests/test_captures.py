@@ -44,11 +44,22 @@ def test_scan_order_is_files_descending_then_rows(spark, tmp_path):
         with gzip.open(tmp_path / f"{name}.gz", "wt") as f:
             f.writelines(json.dumps({"url": u, "status": "200", "unused": 1}) + "\n" for u in urls)
     scanned = cx.read_cdx(spark, str(tmp_path / "cc-*"))
+    assert {r.status for r in scanned.collect()} == {200}
     numbered = wl.number_rows(scanned.repartition(5), cx.newest_first())
     assert [r.url for r in numbered.orderBy("id").collect()] == ["d", "e", "a", "b", "c"]
     assert sorted(r.id for r in numbered.collect()) == [1, 2, 3, 4, 5]
 
 
+def test_numbers_in_quotes_count_like_bare_ones(spark, tmp_path):
+    rows = [("a", "200", "20001"), ("b", 200, 20001), ("c", "404", 20001), ("d", 404, "20001"), ("e", "-", "20001"), ("f", None, "x")]
+    with open(tmp_path / "cc.jsonl", "w") as f:
+        f.writelines(json.dumps({"url": u, "status": s, "length": n, "offset": "7", "mime-detected": "text/html"}) + "\n" for u, s, n in rows)
+    scanned = cx.read_cdx(spark, str(tmp_path / "cc.jsonl"))
+    got = {r.url: (r.status, r.length, r.offset) for r in scanned.collect()}
+    assert got == {"a": (200, 20001, 7), "b": (200, 20001, 7), "c": (404, 20001, 7), "d": (404, 20001, 7), "e": (None, 20001, 7), "f": (None, None, 7)}
+    assert sorted(r.url for r in cap.usable_captures(scanned).collect()) == ["a", "b", "e"]
+
+
 def test_surt_lookup(spark):
     urls = ["https://www.aa.com.tr/tr/x", "http://aa.com.tr/en", "https://sub.aa.com.tr:8080/tr/", "https://baa.com.tr/tr/", "http://aa.com.tr"]
     df = spark.createDataFrame([(u,) for u in urls], "url string").withColumn("urlkey", surt_key(F.col("url")))

@@ -45,23 +45,48 @@ def test_hot_groups_get_the_same_values(spark):
     groups = rows.groupBy("k").agg(F.min("v").alias("m"), F.count("*").alias("n")).where("k != 3")
     results = []
     for hot in (10, 10**9):
-        joined = attach_group_value(rows, groups, ["k"], "m", "n", F.col("v"), hot)
-        results.append(sorted((r.k, r.v, r.m) for r in joined.select("k", "v", F.coalesce("m", F.lit(-1)).alias("m")).collect()))
-    assert results[0] == results[1] and len(results[0]) == 3000
-
-
-def test_hot_groups_are_spread_over_the_shuffle(spark):
-    rows = spark.range(8000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+        joined = attach_group_value(rows, groups, ["k"], "m", "n", hot)
+        results.append(sorted((r.k, r.v, r.m) for r in joined.select("k", "v", "m").collect()))
+    assert results[0] == results[1] and len(results[0]) == 3000 - rows.where("k = 3").count()
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """Nothing but the operator itself may spread a key."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_groups_leave_before_the_shuffle(spark, tmp_path, plain_joins):
+    """A stored key with nine tenths of the rows; the value is used, so the join stays."""
+    made = spark.range(80_000).select(F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    made.repartition(8).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
     groups = rows.groupBy("k").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = attach_group_value(rows, groups, ["k"], "m", "n", F.col("v"), 100)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) == 8 and max(sizes) < 2000
+    joined = attach_group_value(rows, groups, ["k"], "m", "n", 10_000)
+    sizes = [r["count"] for r in joined.where("m >= 0").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 80_000 and max(sizes) <= 2 * 80_000 / 8
+
+
+def test_hot_rows_are_broadcast_in_every_operator(spark, tmp_path, plain_joins, monkeypatch):
+    from weirgate.operators import components, dedup, urlclf
+
+    for module in (components, dedup, urlclf):
+        monkeypatch.setattr(module, "hot_threshold", lambda total: 5)
+    sigs = spark.range(60).select(F.col("id").alias("doc_id"), F.lit("").alias("scope"), F.array(F.lit(1), F.col("id")).alias("bands"))
+    sigs.write.parquet(str(tmp_path / "sigs"))
+    sigs = spark.read.parquet(str(tmp_path / "sigs"))
+    found = dedup.bucket_matches(sigs, dd.MinHashConfig(buckets=2, rows=1))
+    assert sorted(tuple(r) for r in found.collect()) == [(i, 0) for i in range(1, 60)]
+    texts = spark.range(40).select("id", F.concat(F.lit("common "), F.col("id")).alias("t"))
+    edges = found.select(F.col("doc_id").alias("u"), F.col("first_id").alias("v"))
+    for df in (found, components._with_smallest(edges, 60), dedup.clusters_of(found), urlclf.tfidf(texts, "id", "t", F.lit(True))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") >= 2 and "Union" in plan
 
 
 def test_hot_threshold_bounds_the_broadcast():

@@ -22,7 +22,7 @@ FEED_CHARS = 1 << 16
 class ExtractConfig:
     min_block_chars: int = 25
     max_link_share: float = 0.5
-    time_limit_s: float = 0.99
+    time_limit_s: float | None = None
 
 
 class _Blocks(HTMLParser):
@@ -77,20 +77,20 @@ class _Blocks(HTMLParser):
                 self.link_chars += len(data.strip())
 
 
-def main_text(html: str | None, config: ExtractConfig) -> str | None:
-    """Text blocks joined by line breaks, or null if none is left or the time ran out.
+def main_text(html: str | None, config: ExtractConfig) -> tuple[str | None, bool]:
+    """Text blocks joined by line breaks, null if none is left; and whether the time ran out.
 
-    Short blocks that are not headings, and blocks that are mostly links, are dropped. The
-    time limit is processor time, so a busy machine does not change the result.
+    Short blocks that are not headings, and blocks that are mostly links, are dropped. There
+    is no time limit unless one is set; it counts processor time.
     """
     if html is None:
-        return None
+        return None, False
     started = time.thread_time()
     parser = _Blocks()
     for i in range(0, len(html), FEED_CHARS):
         parser.feed(html[i : i + FEED_CHARS])
-        if time.thread_time() - started > config.time_limit_s:
-            return None
+        if config.time_limit_s is not None and time.thread_time() - started > config.time_limit_s:
+            return None, True
     parser.close()
     parser.flush()
     kept = [
@@ -98,4 +98,4 @@ def main_text(html: str | None, config: ExtractConfig) -> str | None:
         for text, link_chars, heading in parser.blocks
         if (heading or len(text) >= config.min_block_chars) and link_chars <= config.max_link_share * len(text)
     ]
-    return "\n".join(kept) or None
+    return "\n".join(kept) or None, False

@@ -42,19 +42,31 @@ _CLEANUP = (
     r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
     r"|</?link\b[^>]*>"
 )
-_INNERMOST_SVG = r"(?is)<svg\b[^>]*+>[^<]*+(?:<(?!/?svg\b)[^<]*+)*+</svg\s*+>"
+_SVG_TAG = r"(?is)</?svg\b[^>]*+>"
 
 
-def strip_markup_noise(html: Column, svg_depth: int = 8) -> Column:
+def strip_markup_noise(html: Column) -> Column:
     """Remove ``style``, ``script``, ``link`` and ``svg`` elements with their content.
 
-    Nested ``svg`` elements go from the inside out, up to ``svg_depth`` levels.
+    An ``svg`` may hold others, to any depth; one that is never closed runs to the end.
     """
     cleaned = F.regexp_replace(html, _CLEANUP, "$1")
-    peeled = cleaned
-    for _ in range(svg_depth):
-        peeled = F.regexp_replace(peeled, _INNERMOST_SVG, "")
-    return F.when(F.lower(cleaned).contains("<svg"), peeled).otherwise(cleaned)
+    return F.when(cleaned.rlike(r"(?i)</?svg\b"), _outside_svg(cleaned)).otherwise(cleaned)
+
+
+def _outside_svg(html: Column) -> Column:
+    # The text before each tag and after the last one, kept where no element is open.
+    tags = F.regexp_extract_all(html, F.lit(f"({_SVG_TAG})"), F.lit(0))
+    pieces = F.arrays_zip(F.split(html, _SVG_TAG, -1).alias("text"), F.concat(tags, F.array(F.lit(""))).alias("tag"))
+    step = lambda s, p: F.struct(
+        F.when(p["tag"].startswith("</"), F.greatest(s["depth"] - 1, F.lit(0)))
+        .when((p["tag"] == "") | p["tag"].endswith("/>"), s["depth"])
+        .otherwise(s["depth"] + 1)
+        .alias("depth"),
+        F.when(s["depth"] == 0, F.concat(s["kept"], F.array(p["text"]))).otherwise(s["kept"]).alias("kept"),
+    )
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    return F.array_join(F.aggregate(pieces, start, step, lambda s: s["kept"]), "")
 
 
 # Typographic quotation marks and the ASCII marks they become.

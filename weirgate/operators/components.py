@@ -9,7 +9,7 @@ from weirgate.operators.skew import attach_group_value, hot_threshold
 from weirgate.session import materialise
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Label every node of ``edges(u, v)`` with the smallest node it is connected to.
 
     Returns ``(node, component)``. Each round is two joins on the edge table; the edges are
@@ -18,14 +18,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """
     current = materialise(_clean(edges))
     before = None
-    for _ in range(max_rounds):
+    while True:
         n, mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, mark) == before:
             break
         before = (n, mark)
         current = materialise(_small_star(materialise(_large_star(current, n)), n))
-    else:
-        raise RuntimeError(f"components still changing after {max_rounds} rounds")
     children = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return children.unionByName(roots)
@@ -38,7 +36,7 @@ def _clean(edges: DataFrame) -> DataFrame:
 
 def _with_smallest(pairs: DataFrame, total: int) -> DataFrame:
     groups = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    return attach_group_value(pairs, groups, ["u"], "m", "n", F.col("v"), hot_threshold(total))
+    return attach_group_value(pairs, groups, ["u"], "m", "n", hot_threshold(total))
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:

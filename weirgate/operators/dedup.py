@@ -29,7 +29,8 @@ class MinHashConfig:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, scope: str | None) -> DataFrame:
-    scope_key = F.coalesce(F.col(scope).cast("string"), F.lit("")) if scope else F.lit("")
+    # A null scope is one of its own, apart from the empty one.
+    scope_key = F.coalesce(F.concat(F.lit("="), F.col(scope).cast("string")), F.lit("")) if scope else F.lit("")
     return docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), scope_key.alias("scope"), F.col(text).alias("text"))
 
 
@@ -93,9 +94,13 @@ def long_bands(sigs: DataFrame) -> DataFrame:
 def _star(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
     # Counting first keeps a key held by a third of the rows from reaching one task: the
     # minimum is combined before its shuffle, and only groups of two or more are joined.
-    groups = materialise(rows.groupBy(*keys).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"))
-    starred = attach_group_value(rows, groups, keys, "first_id", "n", F.col("doc_id"), hot_threshold(total))
-    return starred.where(F.col("first_id") < F.col("doc_id")).select("doc_id", "first_id")
+    # A group of two is known from its minimum and maximum.
+    sizes = [F.min("doc_id").alias("first_id"), F.max("doc_id").alias("doc_id"), F.count("*").alias("n")]
+    groups = materialise(rows.groupBy(*keys).agg(*sizes).where("n > 1"))
+    larger = groups.where("n > 2").drop("doc_id")
+    starred = attach_group_value(rows, larger, keys, "first_id", "n", hot_threshold(total))
+    found = groups.where("n = 2").select("doc_id", "first_id").unionByName(starred.select("doc_id", "first_id"))
+    return found.where(F.col("first_id") < F.col("doc_id"))
 
 
 def duplicate_clusters(
@@ -126,7 +131,7 @@ def clusters_of(matches: DataFrame) -> DataFrame:
         )
     )
     sizes = members.groupBy("cluster_id").agg(F.count("*").alias("cluster_size")).withColumn("n", F.col("cluster_size"))
-    sized = attach_group_value(members, sizes, ["cluster_id"], "cluster_size", "n", F.col("doc_id"), hot_threshold(members.count()))
+    sized = attach_group_value(members, sizes, ["cluster_id"], "cluster_size", "n", hot_threshold(members.count()))
     return sized.select("doc_id", "cluster_id", "cluster_size", (F.col("doc_id") == F.col("cluster_id")).alias("keep"))
 
 

@@ -11,17 +11,23 @@ from weirgate.functions.maintext import ExtractConfig, main_text
 
 
 def extracted(html: Column, config: ExtractConfig = ExtractConfig()) -> Column:
-    """Main text of a page; null where nothing is left."""
+    """The struct ``(text, timed_out)`` of a page; a null text where nothing is left."""
 
     def batch(pages: pa.Array) -> pa.Array:
-        return pa.array([main_text(page.as_py(), config) for page in pages], pa.string())
+        found = [main_text(page.as_py(), config) for page in pages]
+        return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.bool_())], names=["text", "timed_out"])
 
     # Declared non-deterministic so that a filter on the text is not pushed below it, which
     # would parse every page twice.
-    return arrow_udf(batch, "string").asNondeterministic()(html)
+    return arrow_udf(batch, "text string, timed_out boolean").asNondeterministic()(html)
 
 
 def extract_text(pages: DataFrame, raw: str = "raw", text: str = "text", config: ExtractConfig = ExtractConfig()) -> DataFrame:
-    """Replace the markup column by its main text. Pages without any get a null."""
+    """Replace the markup column by its main text. Pages without any get a null.
+
+    With a time limit set, a column ``timed_out`` tells pages that ran out of time from empty ones.
+    """
     kept = [c for c in pages.columns if c != raw]
-    return pages.select(*kept, extracted(F.col(raw), config).alias(text))
+    found = pages.select(*kept, extracted(F.col(raw), config).alias("_found"))
+    limit = [F.col("_found.timed_out").alias("timed_out")] if config.time_limit_s is not None else []
+    return found.select(*kept, F.col("_found.text").alias(text), *limit)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys can hold more than total / MAX_HOT_KEYS rows each, so the
@@ -18,29 +18,17 @@ def hot_threshold(total_rows: int, max_hot_keys: int = MAX_HOT_KEYS, min_rows: i
     return max(min_rows, -(-total_rows // max_hot_keys))
 
 
-def attach_group_value(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: list[str],
-    value: str,
-    size: str,
-    spread_by: Column,
-    hot_rows: int,
-) -> DataFrame:
-    """Left-join ``groups`` (unique ``keys``, with ``value`` and ``size``) to ``rows``.
-
-    Groups above ``hot_rows`` rows reach their rows by broadcast; those rows are spread
-    over the shuffle by ``spread_by`` and match nothing there, so no task receives a whole
-    hot group. All other groups join on their keys. ``value`` must not be null in
-    ``groups``; it comes back null for rows without a group. Keys must not be null.
+def attach_group_value(rows: DataFrame, groups: DataFrame, keys: list[str], value: str, size: str, hot_rows: int) -> DataFrame:
+    """Join ``groups`` (unique ``keys``, with ``value`` and ``size``) to ``rows``; rows without a group go.
+
+    Groups above ``hot_rows`` rows reach their rows by broadcast, and those rows leave before
+    the shuffle, where they lie. All others join on their keys, so no task gets more than
+    ``hot_rows`` rows of a key. ``value`` must not be null in ``groups``; keys must not be null.
+    ``rows`` is read twice: materialise it where it is dear.
     """
-    hot = groups.where(F.col(size) > hot_rows).select(*keys, F.col(value).alias("_hot"))
-    cold = groups.where(F.col(size) <= hot_rows).select(*keys, F.col(value).alias("_cold"), F.lit(0).cast("long").alias("_salt"))
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), F.xxhash64(spread_by)).otherwise(F.lit(0).cast("long"))
-    )
-    return (
-        salted.join(cold, [*keys, "_salt"], "left")
-        .withColumn(value, F.coalesce("_hot", "_cold"))
-        .drop("_hot", "_cold", "_salt")
-    )
+    hot = groups.where(F.col(size) > hot_rows).select(*keys, F.col(value).alias(value))
+    cold = groups.where(F.col(size) <= hot_rows).select(*keys, F.col(value).alias(value))
+    hot_keys = hot.select(*keys, F.lit(True).alias("_hot"))
+    spread = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot_keys), keys, "left").where(F.col("_hot").isNull()).drop("_hot")
+    return spread.unionByName(rest.join(cold, keys))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from weirgate.functions import text as tx
 from weirgate.operators import worklist as wl
 from weirgate.operators.skew import attach_group_value, hot_threshold
+from weirgate.session import materialise
 
 TERM = r"[\p{L}\p{N}_]{2,}"
 
@@ -23,7 +24,7 @@ def with_path_words(df: DataFrame, url: str = "url", out: str = "url_p") -> Data
     return df.withColumn(out, tx.url_path_words(F.col(url)))
 
 
-def with_split(df: DataFrame, row_id: str, url: str = "url", holdout: str = "aljazeera", parts: int = 10, seed: int = 42) -> DataFrame:
+def with_split(df: DataFrame, row_id: str, holdout: str, url: str = "url", parts: int = 10, seed: int = 42) -> DataFrame:
     """Add ``split``: ``test`` where the URL contains ``holdout``, else one part in
     ``parts`` is ``validation`` and the rest ``train``.
 
@@ -58,13 +59,15 @@ def tfidf(df: DataFrame, row_id: str, text: str, fitted_on: Column) -> DataFrame
     occurs in most rows is spread over tasks.
     """
     rows = df.select(F.col(row_id).alias("row_id"), terms(F.col(text)).alias("_terms"), fitted_on.alias("_fit"))
-    counts = rows.select("row_id", "_fit", F.explode("_terms").alias("term")).groupBy("row_id", "_fit", "term").agg(F.count("*").alias("tf"))
+    counts = materialise(
+        rows.select("row_id", "_fit", F.explode("_terms").alias("term")).groupBy("row_id", "_fit", "term").agg(F.count("*").alias("tf"))
+    )
     n, pairs = rows.agg(F.count_if("_fit"), F.coalesce(F.sum(F.size("_terms")), F.lit(0))).first()
     idf = counts.where("_fit").groupBy("term").agg(F.count("*").alias("df")).select(
         "term", "df", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")
     )
-    weighted = attach_group_value(counts, idf, ["term"], "idf", "df", F.col("row_id"), hot_threshold(pairs))
-    raw = weighted.where(F.col("idf").isNotNull()).withColumn("_w", F.col("tf") * F.col("idf"))
+    weighted = attach_group_value(counts, idf, ["term"], "idf", "df", hot_threshold(pairs))
+    raw = weighted.withColumn("_w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("row_id")))
     return raw.select("row_id", "term", (F.col("_w") / length).alias("weight"))
 

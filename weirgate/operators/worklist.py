@@ -37,20 +37,22 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-def number_rows(df: DataFrame, order: list[Column], start: int = 1) -> DataFrame:
-    """Add a dense ``id`` that follows ``order``, which must be total.
+def number_rows(df: DataFrame, order: list[Column], start: int = 1, out: str = "id") -> DataFrame:
+    """Add a dense number ``out`` that follows ``order``, which must be total.
 
-    The rows are range-sorted into files; a row's id is its place in its file plus the
+    The rows are range-sorted into files; a row's number is its place in its file plus the
     rows of the files before it. Only one count per file meets in one place.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "sorted")
     df.orderBy(*order).write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # By the part's number: as text, part 100000 would come before part 99999.
+    part = F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
     files = stored.groupBy("_file").agg(F.count("*").alias("_n"))
-    before = W.partitionBy(F.lit(1)).orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(F.lit(1)).orderBy(part, "_file").rowsBetween(W.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return stored.join(F.broadcast(starts), "_file").select((F.col("_before") + F.col("_row") + F.lit(start)).alias("id"), *df.columns)
+    return stored.join(F.broadcast(starts), "_file").select((F.col("_before") + F.col("_row") + F.lit(start)).alias(out), *df.columns)
 
 
 def build_worklist(requests: DataFrame, order: list[Column], now: Column) -> DataFrame:
@@ -64,10 +66,15 @@ def build_worklist(requests: DataFrame, order: list[Column], now: Column) -> Dat
 
 
 def incomplete(worklist: DataFrame, limit: int | None = 10_000, offset: int | None = None) -> DataFrame:
-    """The next unprocessed requests in id order; ``None`` takes all of them."""
-    todo = worklist.where(F.col("result").isNull()).select("id", "url", "filename", "offset", "length").orderBy("id")
+    """The next unprocessed requests in id order; ``None`` takes all of them.
+
+    With an offset the requests are numbered first, so that neither the skipped nor the
+    remaining ones pass through one task.
+    """
+    todo = worklist.where(F.col("result").isNull()).select("id", "url", "filename", "offset", "length")
     if offset:
-        todo = todo.offset(offset)
+        todo = number_rows(todo, [F.asc("id")], out="_place").where(F.col("_place") > offset).drop("_place")
+    todo = todo.orderBy("id")
     return todo if limit is None else todo.limit(limit)
 
 

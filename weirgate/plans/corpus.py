@@ -20,8 +20,11 @@ def judged_pages(pages: DataFrame, extract: ExtractConfig = ExtractConfig(), fil
     texts = extract_text(pages, config=extract).withColumn("text", straighten_quotes(F.col("text")))
     judged = filter_documents(texts, filters)
     lost = F.col("text").isNull()
-    return judged.withColumn("stage", F.when(lost, "extract").otherwise(F.col("stage"))).withColumn(
-        "reason", F.when(lost, "no_text").otherwise(F.col("reason"))
+    why = F.when(F.col("timed_out"), "timed_out").otherwise("no_text") if "timed_out" in judged.columns else F.lit("no_text")
+    return (
+        judged.withColumn("stage", F.when(lost, "extract").otherwise(F.col("stage")))
+        .withColumn("reason", F.when(lost, why).otherwise(F.col("reason")))
+        .drop("timed_out")
     )
 
 

@@ -9,11 +9,11 @@ import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.functions.text import host_key
+from weirgate.sources.warc import check_root, open_root
 
 
 def cdx_table(pages: DataFrame) -> DataFrame:
@@ -54,18 +54,21 @@ cdx AS (
 )"""
 
 
-def write_archives(pages: DataFrame, archive_root: str, file_column: str = "filename") -> DataFrame:
+def write_archives(pages: DataFrame, archive_root: str, file_column: str = "filename", flaws: bool = False) -> DataFrame:
     """Re-encode ``(id, url, raw, filename)`` as archives; returns ``(id, url, filename, offset, length)``.
 
     Each task writes its own file per name (a task number is added), so a name that most
-    pages share is still written by many tasks.
+    pages share is still written by many tasks. With ``flaws``, every tenth id (those that
+    leave 4) has a record without a response, and every tenth (7) one of bytes that are not
+    UTF-8, so that reading them fails.
     """
+    check_root(pages.sparkSession, archive_root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        system, root = fs.FileSystem.from_uri(archive_root) if "://" in archive_root else (fs.LocalFileSystem(), archive_root)
+        system, root = open_root(archive_root)
         system.create_dir(root, recursive=True)
         sinks: dict[str, pa.NativeFile] = {}
         try:
@@ -75,7 +78,9 @@ def write_archives(pages: DataFrame, archive_root: str, file_column: str = "file
                     name = f"{r[file_column]}-{part:05d}.warc.gz"
                     if name not in sinks:
                         sinks[name] = system.open_output_stream(f"{root}/{name}", compression=None)
-                    at, data = sinks[name].tell(), encode_record(r["url"], r["raw"])
+                    flaw = r["id"] % 10 if flaws else None
+                    at = sinks[name].tell()
+                    data = encode_record(r["url"], r["raw"], "request" if flaw == 4 else "response", b"\xff\xfe" if flaw == 7 else b"")
                     sinks[name].write(data)
                     out.append({"id": r["id"], "url": r["url"], "filename": name, "offset": at, "length": len(data)})
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_REQUEST))
@@ -91,8 +96,8 @@ def write_archives(pages: DataFrame, archive_root: str, file_column: str = "file
 _REQUEST = [("id", pa.int64()), ("url", pa.string()), ("filename", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
 
 
-def encode_record(url: str, html: str, kind: str = "response") -> bytes:
+def encode_record(url: str, html: str, kind: str = "response", extra: bytes = b"") -> bytes:
     """One gzip member holding one record."""
-    message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + html.encode()
+    message = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + html.encode() + extra
     head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(message)}\r\n\r\n"
     return gzip.compress(head.encode() + message + b"\r\n\r\n", mtime=0)

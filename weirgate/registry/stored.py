@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirgate.operators.dedup import MinHashConfig
 from weirgate.operators.extract import extract_text
 from weirgate.operators.quality import filter_documents
 from weirgate.plans.corpus import corpus
@@ -25,8 +24,9 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "pages").select(F.col("page_id").alias("id"), "url", F.col("html").alias("raw"))
 
 
-def _archived(pages: DataFrame, root: str) -> DataFrame:
-    return materialise(write_archives(pages.withColumn("filename", F.concat(F.lit("crawl-"), (F.col("id") % 3).cast("string"))), root))
+def _archived(pages: DataFrame, root: str, flaws: bool = False) -> DataFrame:
+    named = pages.withColumn("filename", F.concat(F.lit("crawl-"), (F.col("id") % 3).cast("string")))
+    return materialise(write_archives(named, root, flaws=flaws))
 
 
 def archive_slices(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +65,7 @@ def split_parts(spark: SparkSession, sf: str) -> DataFrame:
 def fetch_run(spark: SparkSession, sf: str) -> DataFrame:
     """The listed pages fetched chunk by chunk from archives; one row per request."""
     root, base = scratch_path(spark, "archives"), scratch_path(spark, "run")
-    stored = _archived(_pages(spark, sf), root).select("url", "filename", "offset", "length")
+    stored = _archived(_pages(spark, sf), root, flaws=True).select("url", "filename", "offset", "length")
     listed = _worklist(spark, sf).drop("filename", "offset", "length").join(stored, "url")
     fetch.write_chunks(listed.select("id", "url", "filename", "offset", "length", "result", "label", "created", "updated"), f"{base}/list", 1_000)
     fetch.run_fetch(spark, f"{base}/list", f"{base}/out", f"{base}/checkpoint", fetch.from_archives(root), files_per_batch=8)
@@ -83,7 +83,7 @@ def pages_to_corpus(spark: SparkSession, sf: str) -> DataFrame:
     host = F.regexp_extract("url", r"^https?://([^/?#]*)", 1)
     language = F.regexp_extract("raw", r'<html lang="([^"]*)"', 1)
     pages = _pages(spark, sf).select("id", host.alias("source"), language.alias("lang"), "raw")
-    return corpus(pages, minhash=MinHashConfig(14, 8)).select("id", "source", "stage", "reason", F.length("text").alias("text_chars"))
+    return corpus(pages).select("id", "source", "stage", "reason", F.length("text").alias("text_chars"))
 
 
 QUERIES = {
@@ -107,5 +107,6 @@ SQL = {
     "merged_frames": f"""WITH {CDX_SQL} SELECT page_id, url, collection, CASE WHEN collection = 'C0' THEN digest END AS digest,
         CASE WHEN collection = 'C2' THEN status END AS status FROM cdx""",
     "split_parts": f"WITH {SPLIT_SQL} SELECT page_id, url_p, label, split AS part FROM split_rows",
-    "fetch_run": f"WITH {WORKLIST_SQL} SELECT id, url, true AS result, false AS has_script FROM listed",
+    "fetch_run": f"""WITH {WORKLIST_SQL} SELECT id, CASE WHEN page_id % 10 NOT IN (4, 7) THEN url END AS url, page_id % 10 NOT IN (4, 7) AS result,
+        CASE WHEN page_id % 10 NOT IN (4, 7) THEN false END AS has_script FROM listed JOIN pages USING (url)""",
 }

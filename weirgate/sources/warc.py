@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import gzip
+import re
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -31,24 +33,35 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def http_body(message: bytes) -> bytes:
-    """Body of an HTTP response, with chunked transfer and compression undone."""
+    """Body of an HTTP response, with chunked transfer and compression undone.
+
+    Some archives keep the headers of a body that is stored decoded; it is returned as it is.
+    """
     head, _, body = message.partition(b"\r\n\r\n")
     fields = (line.partition(":") for line in head.decode("latin-1").lower().split("\r\n")[1:])
     headers = {name.strip(): value.strip() for name, _, value in fields}
     if "chunked" in headers.get("transfer-encoding", ""):
-        joined, rest = b"", body
-        while rest:
-            size, _, rest = rest.partition(b"\r\n")
-            n = int(size.split(b";")[0] or b"0", 16)
-            if n == 0:
-                break
-            joined, rest = joined + rest[:n], rest[n + 2 :]
-        body = joined
-    if headers.get("content-encoding") in ("gzip", "x-gzip"):
+        body = _joined_chunks(body)
+    if headers.get("content-encoding") in ("gzip", "x-gzip") and body[:2] == b"\x1f\x8b":
         body = zlib.decompress(body, 31)
     return body
 
 
+def _joined_chunks(body: bytes) -> bytes:
+    joined, rest = [], body
+    while rest:
+        size, mark, after = rest.partition(b"\r\n")
+        digits = size.split(b";")[0].strip()
+        if not mark or not re.fullmatch(rb"[0-9A-Fa-f]{1,8}", digits):
+            return body
+        n = int(digits, 16)
+        if n == 0:
+            break
+        joined.append(after[:n])
+        rest = after[n + 2 :]
+    return b"".join(joined)
+
+
 def first_response(data: bytes) -> str | None:
     """Text of the first ``response`` record; null without one or if it is not UTF-8."""
     try:
@@ -60,17 +73,38 @@ def first_response(data: bytes) -> str | None:
     return None
 
 
+# Bytes of archives a task reads.
+TASK_BYTES = 128 << 20
+
+
+def open_root(archive_root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(archive_root) if ":/" in archive_root else (fs.LocalFileSystem(), archive_root)
+
+
+def check_root(spark: SparkSession, archive_root: str) -> None:
+    """Refuse a path without a scheme on a cluster: each executor would take its own disk."""
+    if ":/" not in archive_root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"give the archives' folder with its scheme, such as file:// or hdfs://, not {archive_root}")
+
+
 def read_slices(requests: DataFrame, archive_root: str, slices: int | None = None) -> DataFrame:
     """``(id, url, raw)`` for requests ``(id, url, filename, offset, length)``.
 
     ``archive_root`` is any location Arrow's file systems open. Requests are range-split by
-    file and offset, so a task reads neighbouring slices, and one archive with most of the
-    requests is shared by many tasks. A missing file gives null pages, as a failed fetch does.
+    file and offset into tasks of about ``TASK_BYTES``, so a task reads neighbouring slices,
+    and one archive with most of the requests is shared by many tasks. A missing file and a
+    record without a readable response give null pages: they fail for good. A missing root
+    or a denied read raises, so that Spark tries again and no list is marked as failed.
     """
-    n = slices or requests.sparkSession.sparkContext.defaultParallelism
+    spark = requests.sparkSession
+    check_root(spark, archive_root)
+    total = 0 if slices else requests.agg(F.sum("length")).first()[0] or 0
+    n = slices or max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = fs.FileSystem.from_uri(archive_root) if "://" in archive_root else (fs.LocalFileSystem(), archive_root)
+        system, root = open_root(archive_root)
+        if system.get_file_info(root).type != fs.FileType.Directory:
+            raise FileNotFoundError(f"no folder of archives at {archive_root}")
         name, handle = None, None
         for batch in batches:
             rows = batch.to_pylist()
@@ -83,7 +117,7 @@ def read_slices(requests: DataFrame, archive_root: str, slices: int | None = Non
                         name = r["filename"]
                         try:
                             handle = system.open_input_file(f"{root}/{name}")
-                        except (FileNotFoundError, PermissionError, IsADirectoryError):
+                        except FileNotFoundError:
                             handle = None
                     raw.append(_slice(handle, r["offset"], r["length"]))
                 yield pa.RecordBatch.from_arrays(
