@@ -30,6 +30,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def in_batches(rows: Iterator[tuple], schema: pa.Schema, weight: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of at most ``most`` bytes in column ``weight``, or one longer row."""
     held: list[tuple] = []

@@ -1,11 +1,12 @@
 """Operator 5: n-gram Jaccard join by token-combination prefixes.
 
 A document is a set of hashed shingles, its tokens. If two sets link, each lacks at most a
-tenth of its tokens in the other. Tokens have a global order: rare ones first, frequent ones
-after them by subclass. A prefix of a set is extended until losing a tenth of the set cannot
-break all of its signatures: a rare token is a signature alone, two frequent tokens of one
-subclass are one together. Linked sets then share a signature. Sets that do, directly or
-through others, meet and are verified exactly.
+tenth of its tokens in the other. Tokens have a global order: first a fixed share of all
+tokens, chosen by hash and counted over the corpus, those of one document before repeated
+ones and frequent ones last, by subclass; then the uncounted tokens. A prefix of a set is
+extended until losing a tenth of the set cannot break all of its signatures: a rare token is a
+signature alone, two frequent tokens of one subclass are one together. Linked sets then share
+a signature. Sets that do, directly or through others, meet and are verified exactly.
 
 Sets with equal tokens are one class from the start. Groups that share signatures are linked
 as stars and never paired off; a class of candidates larger than a block is verified in tiles
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import as_batch, in_batches, mixed, partitions, table
+from weirgate.llm.common import as_batch, in_batches, mixed, partitions, slices, table
 from weirgate.llm.shingles import shingle_sets
 from weirgate.operators.components import connected_components
 from weirgate.session import materialise
@@ -30,22 +31,34 @@ from weirgate.session import materialise
 WIDTH = 3
 PERCENT = 90
 
-# A token in at least this many different sets is frequent. The bound rises with the input, so
-# that there are never more than MAX_FREQUENT such tokens, 8 bytes each.
+# The tokens that are counted: those whose hash is below this share of its range.
+COUNTED = 0.25
+
+# A counted token in at least this many documents is frequent.
 FREQUENT = 32
-MAX_FREQUENT = 100_000
 
-# Subclasses of frequent tokens hold about this many tokens of a set.
-SUBCLASS_TOKENS = 4
+# Linked sets are of like size: signatures and candidates are kept apart by bands of sizes, each
+# this much wider than the one below; a set near the border of a band belongs to both.
+BAND_RATIO = 1.5
+BANDS = np.unique(np.ceil(BAND_RATIO ** np.arange(90)))
+
+# The least size in a band, divided by this, is its number of subclasses of frequent tokens.
+SUBCLASS = 40
+
+# Up to this many candidates, their places are broadcast (24 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1 << 19
 
 # Sets verified against each other in one tile: one block, or two.
 BLOCK = 1024
 # Up to this many sets are compared pair by pair, more by a matrix product.
 FEW = 16
 
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("low", pa.list_(pa.int64()))])
-SIGNED = pa.schema([("doc_id", pa.int64()), ("sigs", pa.list_(pa.int64()))])
-MEMBER = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
+TOKENS = pa.list_(pa.int64())
+SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("low", TOKENS), ("more", TOKENS)])
+SKETCH_DDL = "doc_id long, n long, key binary, low array<long>, more array<long>"
+SIGNED = pa.schema([("doc_id", pa.int64()), ("sigs", TOKENS)])
+MEMBER = pa.schema([("component", pa.int64()), ("band", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
+MEMBER_DDL = "component long, band long, blocks int, block int, doc_id long, tokens binary"
 LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -55,65 +68,71 @@ def least_overlap(n: int, percent: int) -> int:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for doc, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
-                n = len(tokens)
-                low = tokens[: 3 * (n - least_overlap(n, percent) + 1) // 2 + 2].view(np.int64)
-                yield doc, n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None, low
-
+    """Each set's size, a digest of it, its counted tokens, and others if those may not do."""
+    bound = np.uint64(int(COUNTED * 2**64))
     held: list[tuple] = []
-    for row in rows():
-        held.append(row)
-        if len(held) == 1024:
-            yield as_batch(held, SKETCH)
-            held = []
+    for batch in batches:
+        for doc, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
+            n, counted = len(tokens), int(np.searchsorted(tokens, bound))
+            need = n - least_overlap(n, percent) + 1
+            more = tokens[counted : counted + need] if counted < 2 * need else tokens[:0]
+            key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None
+            held.append((doc, n, key, tokens[:counted].view(np.int64), more.view(np.int64)))
+            if len(held) == 512:
+                yield as_batch(held, SKETCH)
+                held = []
     if held:
         yield as_batch(held, SKETCH)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a sorted set of tokens, given the sorted frequent tokens.
+def signatures(n: int, low: np.ndarray, more: np.ndarray, repeated: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """Signatures of a set of n tokens: its sorted counted tokens, some of the others, and
+    which of the counted ones are repeated, or frequent even.
 
-    Losing one token breaks one signature of the rare tokens. In a subclass with m frequent
-    tokens, m - 1 of them must be lost before no pair is left. The prefix ends where what must
-    be lost exceeds what a link allows. Subclasses hang on the size's power of two; a set near
-    the border of a power is signed for both sides.
+    Losing a rare token breaks one signature. In a subclass with m frequent tokens, m - 1 of
+    them must be lost before no pair is left. The prefix ends where what must be lost exceeds
+    what a link allows. Signatures and subclasses hang on the band of sizes.
     """
-    n = len(tokens)
     least = least_overlap(n, percent)
-    if least == n and n * 100 // percent == n:
-        return tokens[:0]  # it links to equal sets only
+    if n < 2 or (least == n and n * 100 // percent == n):
+        return low[:0]  # it links to equal sets only
     need = n - least + 1
-    place = np.searchsorted(frequent, tokens)
-    often = frequent[np.minimum(place, len(frequent) - 1)] == tokens if len(frequent) else np.zeros(n, bool)
-    rare = tokens[~often][:need]
-    if len(rare) == need:
-        return mixed(rare)
-    found = [mixed(rare)]
-    rest = tokens[often]
-    for band in range(least.bit_length(), n.bit_length() + 1):
-        classes = max(1, (1 << band) // (2 * SUBCLASS_TOKENS))
-        sub = (mixed(rest ^ np.uint64(band)) % np.uint64(classes)).astype(np.int64)
-        order = np.lexsort((rest, sub))
-        sub, ordered = sub[order], rest[order]
-        repeats = np.r_[False, sub[1:] == sub[:-1]]
-        end = int(np.searchsorted(np.cumsum(repeats), need - len(rare))) + 1
-        sub, ordered = sub[:end], ordered[:end]
-        starts = np.flatnonzero(np.r_[True, sub[1:] != sub[:-1]])
-        for a, b in zip(starts, [*starts[1:], len(sub)]):
-            i, j = np.triu_indices(b - a, 1)
-            found.append(mixed(ordered[a + i] * np.uint64(3) + mixed(ordered[a + j] + np.uint64(band))))
+    often, again = np.isin(low, frequent), np.isin(low, repeated)
+    singles = np.concatenate([low[~again & ~often], low[again & ~often]])[:need]
+    found = []
+    rest = low[often]
+    first, last = np.searchsorted(BANDS, [least, n], "right").tolist()
+    for band in range(first, last + 1):
+        found.append(mixed(singles + np.uint64(band)))
+        if len(singles) < need:
+            sub = (mixed(rest ^ np.uint64(band)) % np.uint64(max(1, int(BANDS[band - 1]) // SUBCLASS))).astype(np.int64)
+            order = np.lexsort((rest, sub))
+            sub, ordered = sub[order], rest[order]
+            broken = len(singles) + np.cumsum(np.r_[False, sub[1:] == sub[:-1]][: len(sub)])
+            end = int(np.searchsorted(broken, need)) + 1
+            if end > len(sub):
+                found.append(mixed(more[: need - int(broken[-1] if len(sub) else len(singles))] + np.uint64(band)))
+            sub, ordered = sub[:end], ordered[:end]
+            starts = np.flatnonzero(np.r_[True, sub[1:] != sub[:-1]][: len(sub)])
+            for a, b in zip(starts, [*starts[1:], len(sub)]):
+                i, j = np.triu_indices(b - a, 1)
+                found.append(mixed(ordered[a + i] * np.uint64(3) + mixed(ordered[a + j] + np.uint64(band))))
     return np.unique(np.concatenate(found))
 
 
-def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Signatures of ``(doc_id, n, low, more, known)``; a known token is a pair ``(token, frequent)``."""
+
+    def tokens(values: list | None) -> np.ndarray:
+        return np.sort(np.array(values or [], np.int64).view(np.uint64))
+
     for batch in batches:
         held, size = [], 0
-        for doc, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
-            sigs = signatures(tokens, frequent, percent).view(np.int64)
+        for doc, n, low, more, known in zip(*(c.to_pylist() for c in batch.columns)):
+            repeated, frequent = (tokens([k["token"] for k in known or [] if k["frequent"] == f]) for f in (False, True))
+            sigs = signatures(n, tokens(low), tokens(more), repeated, frequent, percent)
             if len(sigs):
-                held.append((doc, sigs))
+                held.append((doc, sigs.view(np.int64)))
                 size += len(sigs)
             if size > 200_000:
                 yield as_batch(held, SIGNED)
@@ -125,10 +144,11 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int, frequen
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            for doc, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
-                yield doc, tokens.tobytes()
+            places = zip(*(c.to_pylist() for c in batch.columns[:5]))
+            for place, tokens in zip(places, shingle_sets(batch.column(5), width)):
+                yield *place, tokens.tobytes()
 
-    yield from in_batches(rows(), MEMBER, 1)
+    yield from in_batches(rows(), MEMBER, 5)
 
 
 def _linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
@@ -194,21 +214,21 @@ def forest(ids: list[int], sets: list[np.ndarray], side: list[bool], across: boo
 
 
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Links of the tiles in rows sorted by tile: ``(component, i, j, block, doc_id, tokens)``."""
+    """Links of the tiles in rows sorted by tile: ``(component, band, i, j, block, doc_id, tokens)``."""
 
     def rows() -> Iterator[tuple]:
         at, ids, sets, side = None, [], [], []
-        for batch in batches:
+        for batch in slices(batches):
             for *tile, block, doc, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 if tile != at:
                     if at is not None:
-                        yield from forest(ids, sets, side, at[1] != at[2], percent)
+                        yield from forest(ids, sets, side, at[2] != at[3], percent)
                     at, ids, sets, side = tile, [], [], []
                 ids.append(doc)
                 sets.append(np.frombuffer(tokens, np.uint64))
-                side.append(block != tile[1])
+                side.append(block != tile[2])
         if at is not None:
-            yield from forest(ids, sets, side, at[1] != at[2], percent)
+            yield from forest(ids, sets, side, at[2] != at[3], percent)
 
     held = []
     for row in rows():
@@ -220,14 +240,12 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield as_batch(held, LINK)
 
 
-def frequent_tokens(sketch: DataFrame, firsts: DataFrame) -> np.ndarray:
-    """Sorted tokens that are low in many different sets; at most MAX_FREQUENT of them."""
-    low = sketch.join(firsts, F.col("doc_id") == F.col("rep"), "left_semi").select(F.explode("low").alias("token"))
-    counts = materialise(low.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > 1))
-    total = sketch.agg(F.sum(F.size("low"))).first()[0] or 0
-    most = max(FREQUENT, -(-total // MAX_FREQUENT))
-    rows = counts.where(F.col("n") >= most).select("token").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+def known_tokens(sketch: DataFrame) -> DataFrame:
+    """``(doc_id, known)``: the counted tokens of each document that others have too."""
+    rows = sketch.select("doc_id", F.explode("low").alias("token"))
+    counts = materialise(rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    known = rows.join(counts.select("token", (F.col("n") >= FREQUENT).alias("frequent")), "token")
+    return known.groupBy("doc_id").agg(F.collect_list(F.struct("token", "frequent")).alias("known"))
 
 
 def candidate_edges(signed: DataFrame) -> DataFrame:
@@ -254,27 +272,32 @@ def jaccard_join(
     read whole. Extra columns are not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ddl = "doc_id long, n long, key binary, low array<long>"
-    sketch = materialise(rows.mapInArrow(lambda b: _sketches(b, width, percent), ddl))
+    sketch = materialise(rows.mapInArrow(lambda b: _sketches(b, width, percent), SKETCH_DDL))
     some = sketch.where("key IS NOT NULL AND doc_id IS NOT NULL")
     firsts = materialise(some.groupBy("key").agg(F.min("doc_id").alias("rep")))
 
-    frequent = frequent_tokens(some, firsts)
-    signed = rows.where("doc_id IS NOT NULL").mapInArrow(lambda b: _signed(b, width, percent, frequent), "doc_id long, sigs array<long>")
-    signed = materialise(signed.join(firsts.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi"))
+    different = some.select("doc_id", "n", "low", "more").join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    signed = different.join(known_tokens(some), "doc_id", "left").select("doc_id", "n", "low", "more", "known")
+    signed = materialise(signed.mapInArrow(lambda b: _signed(b, percent), "doc_id long, sigs array<long>"))
     candidates = materialise(connected_components(candidate_edges(signed)))
 
-    sizes = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = candidates.join(sizes, "component").select(
-        "component", "blocks", F.col("node").alias("doc_id"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")
-    )
-    texts = rows.join(placed.select("doc_id").distinct(), "doc_id", "left_semi")
-    members = texts.mapInArrow(lambda b: _members(b, width), "doc_id long, tokens binary").distinct()
-    members = materialise(members.join(placed, "doc_id"))
+    # A component's candidates by bands of sizes, and a band's in blocks.
+    band = lambda n: F.floor(F.log(n) / float(np.log(BAND_RATIO)))
+    bands = F.explode(F.sequence(band(F.ceil(F.col("n") * percent / 100)), band(F.col("n"))))
+    sized = some.select(F.col("doc_id").alias("node"), "n").join(candidates, "node")
+    banded = sized.select("node", "component", bands.alias("band")).distinct()
+    blocks = banded.groupBy("component", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    placed = banded.join(blocks, ["component", "band"]).select("component", "band", "blocks", block.alias("block"), F.col("node").alias("doc_id"))
+    placed = materialise(placed)
+    placed = F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed
+    texts = rows.join(placed, "doc_id").select("component", "band", "blocks", "block", "doc_id", "text")
+    members = texts.mapInArrow(lambda b: _members(b, width), MEMBER_DDL)
     tiles = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "tokens"
+        "component", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "tokens"
     )
-    tiles = tiles.repartition(partitions(docs.sparkSession), "component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id")
+    tile = ["component", "band", "i", "j"]
+    tiles = tiles.repartition(partitions(docs.sparkSession), *tile).sortWithinPartitions(*tile, "doc_id")
     links = materialise(tiles.mapInArrow(lambda b: _verified(b, percent), "u long, v long"))
     found = connected_components(links).select(F.col("node").alias("rep"), "component")
 
