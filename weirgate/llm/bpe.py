@@ -20,14 +20,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import in_batches, table
+from weirgate.llm.common import in_batches, slices, table
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 ENCODED_DDL = "doc_id long, ids binary, decoded string"
 
 # A worker keeps at most this many chunks, and as many words; beyond it, it forgets the later
 # half of them. Frequent ones come early.
-HELD = 600_000
+HELD = 300_000
 
 
 def vocabulary_path() -> str:
@@ -239,7 +239,7 @@ def encoder_of(path: str) -> Encoder:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         encoder = encoder_of(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             first = size = 0
             for i, text in enumerate(texts):

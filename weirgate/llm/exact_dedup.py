@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import in_batches, lower_ascii, partitions, table
+from weirgate.llm.common import in_batches, lower_ascii, partitions, slices, table
 from weirgate.session import materialise
 
 # The directory has at most 2^MAX_DEPTH slots, so its counts stay small at any input size.
@@ -69,7 +69,7 @@ def _entries(batches: Iterator[pa.RecordBatch], directory: np.ndarray) -> Iterat
     def rows() -> Iterator[tuple]:
         seen: dict[str, list] = {}
         size = 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
                 entry = seen.get(text)
                 if entry is None:
@@ -96,7 +96,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> Iterator[tuple]:
         at, chain = None, []
-        for batch in batches:
+        for batch in slices(batches):
             for bucket, key, text, top, n in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, key) != at:
                     if at is not None:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import in_batches, table
+from weirgate.llm.common import in_batches, slices, table
 
 TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 TEXT_DDL = "page_id long, url string, text string"
@@ -228,7 +228,7 @@ def main_text(page: str | None, tree: tuple) -> str:
 
 def _extracted(batches: Iterator[pa.RecordBatch], tree: tuple) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
-        for batch in batches:
+        for batch in slices(batches):
             for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns)):
                 yield page_id, url, main_text(page, tree)
 

@@ -314,7 +314,7 @@ def calibrate(logit: np.ndarray, labels: np.ndarray, prior: float) -> tuple[floa
 class Scorer:
     """Scores texts; keeps the projections of the words it has met, up to a bound."""
 
-    HELD = 200_000
+    HELD = 100_000
 
     def __init__(self, model: dict):
         self.net, self.curve = Network(model["weights"], model["vocabulary"]), model["curve"]

@@ -16,6 +16,7 @@ one of them, and one of each repeat, meet again by a hash of the whole window.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import as_batch, in_batches, mixed, partitions, table
+from weirgate.llm.common import as_batch, in_batches, mixed, partitions, slices, table
 from weirgate.llm.shingles import pieces, powers
 from weirgate.session import materialise
 
@@ -43,6 +44,7 @@ _CODES = np.random.default_rng(3).integers(1, 1 << 63, (2, 256), dtype=np.uint64
 
 ANCHORS = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("sha", pa.binary()), ("h", pa.list_(pa.int64())), ("a", pa.list_(pa.int32())), ("p", pa.list_(pa.int32())), ("q", pa.list_(pa.int32()))])
 ANCHORS_DDL = "id long, th long, n long, sha binary, h array<long>, a array<int>, p array<int>, q array<int>"
+PACKED = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("packed", pa.binary())])
 AROUND = pa.schema([("h", pa.int64()), ("deal", pa.int32()), ("deals", pa.int32()), ("id", pa.int64()), ("th", pa.int64()), ("p", pa.int32()), ("off", pa.int32()), ("bytes", pa.binary())])
 AROUND_DDL = "h long, deal int, deals int, id long, th long, p int, off int, bytes binary"
 FOUND = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64()), ("open", pa.bool_())])
@@ -112,13 +114,24 @@ def _anchored(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iter
             yield as_batch(rows, ANCHORS)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for they are shuffled and stored once as a whole."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in slices(batches):
+            for id_, th, text in zip(*(c.to_pylist() for c in batch.columns)):
+                yield id_, th, zlib.compress(text.encode(), 1)
+
+    yield from in_batches(rows(), PACKED, 2)
+
+
 def _surroundings(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Each candidate anchor with the bytes of the windows that name it."""
 
     def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for id_, th, text, named in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = text.encode()
+        for batch in slices(batches):
+            for id_, th, packed, named in zip(*(c.to_pylist() for c in batch.columns)):
+                raw = zlib.decompress(packed)
                 for m in named:
                     yield m["h"], m["deal"], m["deals"], id_, th, m["p"], m["a"] - m["p"], raw[m["p"] : m["q"] + window]
 
@@ -204,7 +217,7 @@ def repeats_in(rows: list[tuple], window: int) -> Iterator[tuple]:
 def _sorted(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         held: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if len(held) >= ROWS and held[-1][:2] != row[:2]:
                     yield from repeats_in(held, window)
@@ -227,15 +240,15 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
     """The maximal removed runs of each text, and what is left of it."""
 
     def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for id_, th, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in slices(batches):
+            for id_, th, packed, found in zip(*(c.to_pylist() for c in batch.columns)):
                 spans: list[list[int]] = []
                 for first, last in sorted((f["first"], f["last"]) for f in found):
                     if spans and first <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], last + window)
                     else:
                         spans.append([first, last + window])
-                raw, at, kept = text.encode(), 0, []
+                raw, at, kept = zlib.decompress(packed), 0, []
                 for a, b in spans:
                     kept.append(raw[at:a])
                     at = b
@@ -270,9 +283,10 @@ def remove_repeats(
     each = each.join(counts, "h").withColumn("deals", deals).withColumn("deal", F.pmod(F.xxhash64("id", "th", "a"), "deals").cast("int"))
     # Rows that repeat an id and a text share one list; each of them sends its own surroundings.
     lists = each.groupBy("id", "th").agg(F.collect_list(F.struct("h", "deal", "deals", "a", "p", "q")).alias("named"))
-    wanted = materialise(rows.join(lists, ["id", "th"]))
+    packed = rows.mapInArrow(_packed, "id long, th long, packed binary")
+    wanted = materialise(packed.join(lists, ["id", "th"]))
 
-    around = wanted.select("id", "th", "text", F.array_distinct("named").alias("named")).mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
+    around = wanted.select("id", "th", "packed", F.array_distinct("named").alias("named")).mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
     around = around.repartition(partitions(spark), "h", "deal").sortWithinPartitions("h", "deal")
     found = materialise(around.mapInArrow(lambda b: _sorted(b, window), FOUND_DDL))
 
@@ -280,7 +294,7 @@ def remove_repeats(
     meet = found.where("w1 <> 0 OR w2 <> 0").groupBy("w1", "w2").agg(F.count("*").alias("n"), F.collect_list(F.struct("id", "th", "first", "open")).alias("ones"))
     met = meet.where("n > 1").select(F.explode("ones").alias("o")).where("o.open").select("o.id", "o.th", "o.first", F.col("o.first").alias("last"))
     ranges = runs.unionByName(met).groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("found"))
-    cut = wanted.select("id", "th", "text").join(ranges, ["id", "th"]).mapInArrow(lambda b: _cut(b, window), KEPT_DDL)
+    cut = wanted.select("id", "th", "packed").join(ranges, ["id", "th"]).mapInArrow(lambda b: _cut(b, window), KEPT_DDL)
     changed = materialise(cut).withColumn("cut_sha", F.sha2("kept", 256)).dropDuplicates(["id", "th"])
     return named.select("id", "th", "n", "sha").join(changed, ["id", "th"], "left").select(
         F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"),

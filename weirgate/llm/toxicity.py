@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import as_batch, table
+from weirgate.llm.common import as_batch, slices, table
 from weirgate.llm.recurrent import Scorer, train
 
 # The network learns from at most this many labelled texts of each class.
@@ -77,7 +77,7 @@ def scorer_of(model: bytes) -> Scorer | float:
 
 def _scored(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
     scorer = scorer_of(model)
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = (c.to_pylist() for c in batch.columns)
         first = size = 0
         for i, text in enumerate(texts):
