@@ -120,7 +120,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in slices(batches):
             for id_, th, text in zip(*(c.to_pylist() for c in batch.columns)):
-                yield id_, th, zlib.compress(text.encode(), 1)
+                yield id_, th, zlib.compress(text.encode(), 6)
 
     yield from in_batches(rows(), PACKED, 2)
 
