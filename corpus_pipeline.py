@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from weirgate.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
 from weirgate.session import materialise
 
+# Near copies are texts whose sets of five-word shingles have a similarity of 0.8 or more.
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity network does not reject."""
@@ -24,7 +28,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -307,9 +307,9 @@ def jaccard_join(
     return placed.unionByName(alone)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their component, with their own columns."""
-    gone = jaccard_join(docs).where("doc_id > component_id").select("doc_id").distinct()
+    gone = jaccard_join(docs, width=width, percent=percent).where("doc_id > component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
