@@ -22,7 +22,18 @@ KEY = "weirgate"
 # Patterns by kind, tried in this order at each place of a text.
 MAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![\w-])"
 IBAN = r"(?<![\w])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,4})?(?![\w])"
-PHONE = r"(?<![\w+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![\w])"
+# What stands after a phone and a space is no group of it if it starts like an address, a date, a
+# social security number, a national phone or a card.
+OTHER = (
+    r"(?! (?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}"
+    r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w])| [0-9]{4}(?: [0-9]{4}){2} [0-9]| [0-9]{4}(?:-[0-9]{4}){2}-[0-9]| [0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![\w]))"
+)
+LONG = "[0-9][ .()-]{0,2}" * 15 + "[0-9]"
+# North American numbers and the usual grouping after a bracketed area code; else 7 to 15 digits (E.164).
+PHONE = (
+    r"(?<![\w+])\+(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4})(?![\w]|[.-][0-9])"
+    rf"|(?<![\w+])\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{2,4}}\)?(?:[ .-]?[0-9]{{2,4}}){{2}}(?:{OTHER}[ .-]?[0-9]{{2,4}}){{0,2}}(?![\w])(?<!{LONG})"
+)
 NATIONAL = r"(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![\w])|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w]|[.-][0-9])"
 ISO_DATE = r"(?<![\w./-])[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![\w]|[./-][0-9])"
 DATE = r"(?<![\w./-])[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}(?![\w]|[./-][0-9])"
