@@ -22,3 +22,17 @@ def test_what_follows_a_phone_is_found(spark, phone):
     (alone, kinds), pairs, singles = got[0], got[1 : len(OTHERS) + 1], got[len(OTHERS) + 1 :]
     assert kinds == ["phone"] and alone != phone
     assert pairs == [(f"{alone} {text}", ["phone", kind]) for (text, _), (_, kind) in zip(singles, OTHERS)]
+
+
+ACCOUNTS = ["GB82 WEST 1234 5698 7654 32", "NL91 ABNA 0417 1643 00", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606"]
+
+
+def test_accounts_with_letters_and_phones_with_a_short_first_group(spark):
+    got = replaced(spark, [*(f"to {a} TODAY 2020" for a in ACCOUNTS), "GB83 WEST 1234 5698 7654 32", "+33 1 42 68 53 00", "+61 2 9374 4000"])
+    for account, (text, kinds) in zip(ACCOUNTS, got):
+        new = re.fullmatch("to (.*) TODAY 2020", text)[1]
+        plain = new.replace(" ", "")
+        assert kinds == ["iban"] and new != account and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", account)
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert got[4] == ("GB83 WEST 1234 5698 7654 32", [])
+    assert [k for _, k in got[5:]] == [["phone"], ["phone"]] and got[5][0].startswith("+33 ") and got[5][0] != "+33 1 42 68 53 00"

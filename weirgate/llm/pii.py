@@ -21,7 +21,21 @@ KEY = "weirgate"
 
 # Patterns by kind, tried in this order at each place of a text.
 MAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![\w-])"
-IBAN = r"(?<![\w])[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,4})?(?![\w])"
+# Accounts have the length that their country gives them; letters are part of some. Accounts of
+# countries that are not listed have digits only.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SN SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _account(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+IBAN = rf"(?<![\w])(?:{'|'.join(_account(*x) for x in IBAN_LENGTHS.items())}|[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9]{{4}}){{2,7}}(?: ?[0-9]{{1,4}})?)(?![\w])"
 # What stands after a phone and a space is no group of it if it starts like an address, a date, a
 # social security number, a national phone or a card.
 OTHER = (
@@ -29,10 +43,11 @@ OTHER = (
     r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\w])| [0-9]{4}(?: [0-9]{4}){2} [0-9]| [0-9]{4}(?:-[0-9]{4}){2}-[0-9]| [0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![\w]))"
 )
 LONG = "[0-9][ .()-]{0,2}" * 15 + "[0-9]"
+SHORT = "[0-9][ .()-]{0,2}" * 6 + "[0-9]"
 # North American numbers and the usual grouping after a bracketed area code; else 7 to 15 digits (E.164).
 PHONE = (
     r"(?<![\w+])\+(?:1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4})(?![\w]|[.-][0-9])"
-    rf"|(?<![\w+])\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{2,4}}\)?(?:[ .-]?[0-9]{{2,4}}){{2}}(?:{OTHER}[ .-]?[0-9]{{2,4}}){{0,2}}(?![\w])(?<!{LONG})"
+    rf"|(?<![\w+])\+[0-9]{{1,3}}[ .-]?\(?[0-9]{{1,4}}\)?(?:[ .-]?[0-9]{{2,4}}){{2}}(?:{OTHER}[ .-]?[0-9]{{2,4}}){{0,2}}(?![\w])(?<!{LONG})(?<={SHORT})"
 )
 NATIONAL = r"(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![\w])|(?<![\w.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\w]|[.-][0-9])"
 ISO_DATE = r"(?<![\w./-])[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}(?![\w]|[./-][0-9])"
@@ -132,11 +147,12 @@ def _mod97(text: Column) -> Column:
 
 
 def iban_pseudonym(value: Column, key: str) -> Column:
-    """The account's digits permuted under its country, with check digits that fit."""
+    """The account's digits permuted under its country, letters kept, with check digits that fit."""
     plain = F.replace(value, F.lit(" "), F.lit(""))
     country = F.substring(plain, 1, 2)
-    account = permuted_digits(F.substring(plain, F.lit(5), F.length(plain) - 4), F.concat(F.lit("iban"), country), key)
-    check = lambda d: F.concat(F.lpad((98 - _mod97(F.concat(d, country, F.lit("00")))).cast("string"), 2, "0"), d)
+    shape = F.substring(plain, F.lit(5), F.length(plain) - 4)
+    account = refilled(shape, permuted_digits(_digits(shape), F.concat(F.lit("iban"), country), key))
+    check = lambda d: F.concat(F.lpad((98 - _mod97(F.concat(d, country, F.lit("00")))).cast("string"), 2, "0"), _digits(d))
     return refilled(value, _let(account, check))
 
 
@@ -224,7 +240,7 @@ def kind_of(value: Column) -> Column:
     in_years = F.year(_day(value, iso)).between(1800, 2199)
     is_date = value.rlike(r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$")
     plain = F.replace(value, F.lit(" "), F.lit(""))
-    is_iban = value.rlike("^[A-Z]{2}[0-9]{2}")
+    is_iban = value.rlike("^[A-Z]{2}[0-9]{2}.*[0-9]")
     return (
         F.when(value.contains("@"), F.lit("mail"))
         .when(is_iban, F.when(_mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1, F.lit("iban")))
