@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from weirgate.functions import text as tx
