@@ -282,11 +282,11 @@ def remove_repeats(
     deals = F.ceil(F.col("n") / collection).cast("int")
     each = each.join(counts, "h").withColumn("deals", deals).withColumn("deal", F.pmod(F.xxhash64("id", "th", "a"), "deals").cast("int"))
     # Rows that repeat an id and a text share one list; each of them sends its own surroundings.
-    lists = each.groupBy("id", "th").agg(F.collect_list(F.struct("h", "deal", "deals", "a", "p", "q")).alias("named"))
+    lists = each.groupBy("id", "th").agg(F.collect_set(F.struct("h", "deal", "deals", "a", "p", "q")).alias("named"))
     packed = rows.mapInArrow(_packed, "id long, th long, packed binary")
     wanted = materialise(packed.join(lists, ["id", "th"]))
 
-    around = wanted.select("id", "th", "packed", F.array_distinct("named").alias("named")).mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
+    around = wanted.mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
     around = around.repartition(partitions(spark), "h", "deal").sortWithinPartitions("h", "deal")
     found = materialise(around.mapInArrow(lambda b: _sorted(b, window), FOUND_DDL))
 
