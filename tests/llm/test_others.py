@@ -1,6 +1,8 @@
 """Search, URL and page operators, the registered SQL, and the pipeline."""
 
+import hashlib
 import html
+import pickle
 import re
 
 import numpy as np
@@ -126,8 +128,13 @@ def test_articles_of_the_table(spark):
 
 
 def test_pipeline_stages_and_their_decisions(spark):
+    """Each stage on the small table, against code that shares nothing with it but the network."""
     import corpus_pipeline as p
-    from weirgate.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
+    from public_tokenizers import path
+    from test_documents import jaccard_brute
+    from tokenizers import Tokenizer
+    from weirgate.llm import mixing, toxicity
+    from weirgate.llm.recurrent import Scorer
 
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
@@ -135,29 +142,88 @@ def test_pipeline_stages_and_their_decisions(spark):
     for name, stage in p.STAGES:
         before = docs
         docs = p.materialise(stage(spark, docs, FOLDER))
-        steps[name] = (before, docs)
+        steps[name] = (before.collect(), docs.collect(), before)
         if name != "bpe":
             assert docs.columns == before.columns
-    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
-    before, after = steps["toxicity"]
-    assert ids(after) == ids(toxicity.score_toxicity(before, labels).where("predicted = 0"))
-    before, after = steps["exact_dedup"]
+    ids = lambda rows: sorted(r.doc_id for r in rows)
+    before, after, df = steps["toxicity"]
+    scorer = Scorer(pickle.loads(toxicity.train_model(df.select("doc_id", "text"), labels)))
+    assert ids(after) == ids(r for r in before if scorer.score([r.text])[0] < 0.5) and len(after) < len(before)
+    before, after, _ = steps["exact_dedup"]
     texts = {}
-    for r in before.collect():
+    for r in before:
         key = re.sub("[A-Z]", lambda m: m[0].lower(), r.text)
         texts[key] = max(texts.get(key, -1), r.doc_id)
     assert ids(after) == sorted(texts.values())
-    before, after = steps["jaccard_join"]
-    assert ids(after) == sorted({r.component_id for r in jaccard_join.jaccard_join(before).collect()})
-    before, after = steps["mixing"]
-    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
-    taken = {r.doc_id: r.taken for r in mixing.mix_sources(before).collect() if r.taken}
-    got = {}
-    for r in after.collect():
-        got[r.doc_id] = got.get(r.doc_id, 0) + words(r.text)
-    assert got == taken
-    before, after = steps["bpe"]
-    assert sorted(map(tuple, after.collect())) == sorted(map(tuple, bpe.digests(bpe.encode_decode(before)).collect()))
-    whole = p.run(spark, FOLDER)
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, after.collect()))
-    assert exact_dedup.keep_one(steps["exact_dedup"][1]).count() == steps["exact_dedup"][1].count()
+    before, after, _ = steps["jaccard_join"]
+    assert ids(after) == sorted({c for _, _, c in jaccard_brute([(r.doc_id, r.text) for r in before], 5, 80)})
+    before, after, df = steps["mixing"]
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
+    sizes = {}
+    for r in before:
+        sizes[r.source] = sizes.get(r.source, 0) + len(words(r.text))
+    got, source = {}, {r.doc_id: (r.source, words(r.text)) for r in before}
+    for r in after:
+        assert r.source == source[r.doc_id][0] and r.n_chars == len(r.text)
+        own = iter(source[r.doc_id][1])
+        assert all(w in own for w in words(r.text))  # in the document's order
+        got[r.source] = got.get(r.source, 0) + len(words(r.text))
+    for s, want in brute_targets(sizes).items():
+        assert abs(got.get(s, 0) - want) <= 2 * mixing.BLOCK_WORDS
+    before, after, _ = steps["bpe"]
+    library = Tokenizer.from_file(str(path("word_bpe_49k.json")))
+    library.no_truncation(), library.no_padding()
+    want = []
+    for r in before:
+        found = library.encode(r.text, add_special_tokens=False).ids
+        packed = np.array(found, "<u4").tobytes()
+        want.append((r.doc_id, len(found), hashlib.sha256(packed).hexdigest(), hashlib.sha256(library.decode(found, skip_special_tokens=False).encode()).hexdigest()))
+    assert sorted(map(tuple, after)) == sorted(want)
+    assert sorted(map(tuple, p.run(spark, FOLDER).collect())) == sorted(want)
+
+
+def brute_targets(sizes):
+    """Targets by raising capped sources one by one."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(names)}
+    capped, total = {}, sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in capped]
+        left = total - sum(capped.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return capped | share
+        capped |= {s: 3 * sizes[s] for s in over}
+
+
+def test_stages_follow_rows_with_null_and_repeated_ids(spark, monkeypatch):
+    """Nulls, repeated ids, clashing columns and empty tables through every stage but the network's training."""
+    import corpus_pipeline as p
+    from weirgate.llm import toxicity
+
+    prose = " ".join(f"w{i % 37} v{i % 11}" for i in range(60))
+    rows = [(1, prose, "a"), (1, "BAD " + prose[::-1], "a"), (None, "BAD one", "a"), (None, "fine words here " * 40, None), (None, None, "b"), (2, prose.upper(), "b"), (3, "", "b"), (4, "z " * 40 + "q", "b"), (2, "another text of id two", "b")]
+    schema = "doc_id long, text string, source string, _size int, _words int, _ranges int, row_no int, score double, sha int, th int, n_chars long"
+    docs = spark.createDataFrame([(i, t, s, 1, 2, 3, 4, 0.5, 6, 7, len(t or "")) for i, t, s in rows], schema)
+    monkeypatch.setattr(toxicity, "train_model", lambda *a: pickle.dumps(1.0))
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.keep_clean(docs, labels).count() == 0
+    bad = lambda model: lambda text: F.when(text.startswith("BAD") if not isinstance(text, str) else F.col(text).startswith("BAD"), 1.0).otherwise(0.0)
+    monkeypatch.setattr(toxicity, "toxicity_score", bad)
+    plain = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    clean = toxicity.keep_clean(docs.fillna("", ["text"]), labels)
+    want = [(i, t or "") for i, t, _ in rows if not (t or "").startswith("BAD")]
+    assert plain(clean) == sorted(want, key=repr) and clean.columns == docs.columns
+    once = p.exact_dedup_stage(spark, clean, FOLDER)
+    assert once.columns == docs.columns
+    gone = [(1, prose), (None, "")]  # prose.upper() has the larger id; of the empty texts id 3 stays
+    assert plain(once) == sorted([w for w in want if w not in gone], key=repr)
+    near = p.jaccard_stage(spark, once, FOLDER)
+    assert plain(near) == plain(once) and near.columns == docs.columns
+    mixed = p.mixing_stage(spark, p.materialise(near), FOLDER)
+    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} >= {None, 2, 4}
+    encoded = p.encoding_stage(spark, p.materialise(mixed), FOLDER)
+    assert encoded.count() == mixed.count()
+    for stage in (p.exact_dedup_stage, p.jaccard_stage, p.mixing_stage, p.encoding_stage):
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0

@@ -25,6 +25,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it, such that no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """The configured number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

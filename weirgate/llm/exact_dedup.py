@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import in_batches, lower_ascii, partitions, slices, table
+from weirgate.llm.common import free_name, in_batches, lower_ascii, partitions, slices, table
 from weirgate.session import materialise
 
 # The directory has at most 2^MAX_DEPTH slots, so its counts stay small at any input size.
@@ -155,9 +155,16 @@ def exact_dedup(
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_dedup` keeps, with their own columns."""
-    gone = exact_dedup(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with their own columns.
+
+    A row goes by its id and its text, so rows that share an id with another text, or have
+    none, each follow their own verdict.
+    """
+    sha = free_name(docs, "sha")
+    gone = exact_dedup(docs).where("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.unhex("text_sha256").alias("_gone_sha")).distinct()
+    named = docs.withColumn(sha, F.unhex(F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)))
+    same = F.equal_null(named["doc_id"].cast("long"), gone["_gone_id"]) & (named[sha] == gone["_gone_sha"])
+    return named.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import as_batch, in_batches, mixed, partitions, slices, table
+from weirgate.llm.common import as_batch, free_name, in_batches, mixed, partitions, slices, table
 from weirgate.llm.shingles import shingle_sets
 from weirgate.operators.components import connected_components
 from weirgate.session import materialise
@@ -54,8 +54,8 @@ BLOCK = 1024
 FEW = 16
 
 TOKENS = pa.list_(pa.int64())
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("low", TOKENS), ("more", TOKENS)])
-SKETCH_DDL = "doc_id long, n long, key binary, low array<long>, more array<long>"
+SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("th", pa.int64()), ("low", TOKENS), ("more", TOKENS)])
+SKETCH_DDL = "doc_id long, n long, key binary, th long, low array<long>, more array<long>"
 SIGNED = pa.schema([("doc_id", pa.int64()), ("sigs", TOKENS)])
 MEMBER = pa.schema([("component", pa.int64()), ("band", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
 MEMBER_DDL = "component long, band long, blocks int, block int, doc_id long, tokens binary"
@@ -72,12 +72,12 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
     bound = np.uint64(int(COUNTED * 2**64))
     held: list[tuple] = []
     for batch in batches:
-        for doc, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), width)):
+        for doc, th, tokens in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(1), width)):
             n, counted = len(tokens), int(np.searchsorted(tokens, bound))
             need = n - least_overlap(n, percent) + 1
             more = tokens[counted : counted + need] if counted < 2 * need else tokens[:0]
             key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None
-            held.append((doc, n, key, tokens[:counted].view(np.int64), more.view(np.int64)))
+            held.append((doc, n, key, th, tokens[:counted].view(np.int64), more.view(np.int64)))
             if len(held) == 512:
                 yield as_batch(held, SKETCH)
                 held = []
@@ -271,7 +271,13 @@ def jaccard_join(
     that repeat an id with another text share the links of that id. Texts of any length are
     read whole. Extra columns are not read. An empty table gives an empty result.
     """
+    return text_components(docs, id_col, text_col, width, percent).drop("th")
+
+
+def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """The rows of :func:`jaccard_join`, with ``th``, a hash of the row's text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("th", F.xxhash64("text"))
     sketch = materialise(rows.mapInArrow(lambda b: _sketches(b, width, percent), SKETCH_DDL))
     some = sketch.where("key IS NOT NULL AND doc_id IS NOT NULL")
     firsts = materialise(some.groupBy("key").agg(F.min("doc_id").alias("rep")))
@@ -302,15 +308,22 @@ def jaccard_join(
     found = connected_components(links).select(F.col("node").alias("rep"), "component")
 
     classes = firsts.join(found, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
-    placed = some.select("doc_id", F.col("n").alias("n_shingles"), "key").join(classes, "key").drop("key")
-    alone = sketch.where("key IS NULL OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    placed = some.select("doc_id", F.col("n").alias("n_shingles"), "key", "th").join(classes, "key").drop("key")
+    alone = sketch.where("key IS NULL OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "th", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component, with their own columns."""
-    gone = jaccard_join(docs, width=width, percent=percent).where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that are the smallest id of their component, with their own columns.
+
+    A row goes by its id and its text; a row with a null id links to nothing and stays.
+    """
+    th = free_name(docs, "th")
+    found = text_components(docs, "doc_id", "text", width, percent).where("doc_id > component_id")
+    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
+    named = docs.withColumn(th, F.xxhash64("text"))
+    same = (named["doc_id"].cast("long") == gone["_gone_id"]) & (named[th] == gone["_gone_th"])
+    return named.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def query(spark, folder: str) -> DataFrame:

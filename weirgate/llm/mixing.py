@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import lower_ascii, table
+from weirgate.llm.common import free_name, table
 from weirgate.session import materialise
 
 WEIGHTS = (1, 2, 3)
@@ -111,6 +111,7 @@ def mix_sources(
     block: int = BLOCK_WORDS,
     shard_documents: int = SHARD_DOCUMENTS,
     seed: int = SEED,
+    row_col: str | None = None,
 ) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, passes)``, one row per input row.
 
@@ -127,7 +128,8 @@ def mix_sources(
     """
     sized = materialise(
         docs.select(
-            F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")
+            F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
+            *([F.col(row_col).alias("row")] if row_col else []),
         )
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
@@ -147,10 +149,11 @@ def mix_sources(
     kinds = "source_no int, source string, source_size long, target double, shards long, blocks long, most long, quota long"
     sources = materialise(numbered.coalesce(1).orderBy("source_no").mapInPandas(_source_quotas, kinds))
 
+    row = ["row"] if row_col else []
     named = sources.select(F.col("source").alias("_s"), "source_no", "source_size", "target", "shards", "quota")
     dealt = sized.join(named, F.equal_null("source", "_s")).select(
         "doc_id", "size", "source_no", "source_size", "target", "quota",
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), "shards").alias("shard"),
+        F.pmod(F.xxhash64("doc_id", F.lit(seed)), "shards").alias("shard"), *row,
     )
     shards = dealt.groupBy("source_no", "shard").agg(F.sum("size").alias("words"), F.first("quota").alias("quota"))
     shards = shards.withColumn("most", _blocks(F.col("words"), block) * repeats)
@@ -168,7 +171,7 @@ def mix_sources(
     part = F.when(F.size("ranges") > 0, F.array("ranges")).otherwise(F.array().cast("array<array<struct<start:long,stop:long>>>"))
     some = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     taken = F.col("size") * F.col("whole") + some
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.concat(whole, part).alias("passes"))
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.concat(whole, part).alias("passes"), *row)
 
 
 def _taken_ranges(block: int, seed: int) -> Column:
@@ -198,19 +201,21 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: one row for each pass, with the words that the pass takes.
 
     A whole pass keeps the text as it is; a partial one has the taken words, joined by one
-    space. The other columns are those of the document; ``n_chars`` is counted anew. Rows that
-    share an id are one document and follow the plan of the row that gives most; rows with a
-    null id are left out.
+    space. The other columns are those of the row; ``n_chars`` is counted anew. Rows are
+    numbered once and follow their numbers, so null and repeated ids are rows like others.
     """
-    plan = mix_sources(docs).where("taken > 0").groupBy("doc_id").agg(F.max_by(F.struct("size", "passes"), "taken").alias("p"))
-    plan = plan.select("doc_id", F.col("p.size").alias("_size"), F.explode("p.passes").alias("_ranges"))
-    joined = docs.join(plan, "doc_id")
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    row = free_name(docs, "row_no")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    plan = mix_sources(numbered, row_col=row).where("taken > 0").select(F.col("row").alias("_row"), F.col("size").alias("_size"), F.explode("passes").alias("_ranges"))
+    fields = {c: F.col("_doc").getField(c) for c in docs.columns}
+    joined = numbered.select(F.col(row).alias("_row"), F.struct(*docs.columns).alias("_doc")).join(plan, "_row")
+    words = F.filter(F.split(fields["text"], r"[\x20\x09-\x0D]+"), lambda w: w != "")
     some = F.flatten(F.transform("_ranges", lambda r: F.slice(F.col("_words"), (r["start"] + 1).cast("int"), (r["stop"] - r["start"]).cast("int"))))
     entire = (F.size("_ranges") == 1) & (F.col("_ranges")[0]["stop"] - F.col("_ranges")[0]["start"] == F.col("_size"))
-    whole = joined.where(entire).select(*docs.columns)
-    cut = joined.where(~entire).withColumn("_words", words).withColumn("text", F.array_join(some, " ")).withColumn("n_chars", F.length("text").cast("long"))
-    return whole.unionByName(cut.select(*docs.columns))
+    whole = joined.where(entire).select(*[f.alias(c) for c, f in fields.items()])
+    cut = joined.where(~entire).withColumn("_words", words).withColumn("_text", F.array_join(some, " "))
+    fields |= {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return whole.unionByName(cut.select(*[fields[c].alias(c) for c in docs.columns]))
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -11,18 +11,19 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
-from weirgate.llm.common import as_batch, slices, table
+from weirgate.llm.common import free_name, table
 from weirgate.llm.recurrent import Scorer, train
 
 # The network learns from at most this many labelled texts of each class.
 SAMPLE = 1000
 FOLDS = 5
 
-SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
 # Texts are scored in runs of about this many characters.
 RUN_CHARS = 1 << 20
+# So many texts are Python objects at a time.
+SLICE = 512
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -75,18 +76,30 @@ def scorer_of(model: bytes) -> Scorer | float:
     return found if isinstance(found, float) else Scorer(found)
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    scorer = scorer_of(model)
-    for batch in slices(batches):
-        ids, texts = (c.to_pylist() for c in batch.columns)
-        first = size = 0
-        for i, text in enumerate(texts):
-            size += len(text or "")
-            if size > RUN_CHARS or i + 1 == len(texts):
-                part = texts[first : i + 1]
-                scores = np.full(len(part), scorer) if isinstance(scorer, float) else scorer.score(part)
-                yield as_batch(list(zip(ids[first : i + 1], scores.tolist())), SCORED)
-                first, size = i + 1, 0
+def _scores(texts: list[str | None], scorer: Scorer | float) -> np.ndarray:
+    """Scores of texts, in runs of about RUN_CHARS characters."""
+    if isinstance(scorer, float):
+        return np.full(len(texts), scorer)
+    found, first, size = [], 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size > RUN_CHARS or i + 1 == len(texts):
+            found.append(scorer.score(texts[first : i + 1]))
+            first, size = i + 1, 0
+    return np.concatenate(found)
+
+
+def toxicity_score(model: bytes) -> Callable[[Column], Column]:
+    """The score of a text column, by a model of :func:`train_model`."""
+
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = scorer_of(model)
+        for batch in batches:
+            parts = [_scores(batch.slice(at, SLICE).to_pylist(), scorer) for at in range(0, len(batch), SLICE)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    # Declared non-deterministic so that a filter on the score stays above it and scores once.
+    return arrow_udf(scored, "double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,14 +116,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     model = train_model(rows, labels, sample)
-    scored = rows.mapInArrow(lambda b: _scored(b, model), "doc_id long, score double")
+    scored = rows.select("doc_id", toxicity_score(model)("text").alias("score"))
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is predicted clean, with their own columns."""
-    gone = score_toxicity(docs, labels).where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` whose text is predicted clean, with their own columns.
+
+    Each row follows the verdict on its own text, whatever its id; nothing is joined or shuffled.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    score = toxicity_score(train_model(rows, labels))("text")
+    name = free_name(docs, "score")
+    return docs.withColumn(name, score).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def query(spark, folder: str) -> DataFrame:
