@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weirgate.session import materialise
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Rows are handed back to Spark in batches of about this many bytes, so that a batch of long
@@ -71,3 +73,41 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x81DADEF4BC2DD44D)
     return x ^ (x >> np.uint64(33))
+
+
+def positioned(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``pos``, the place from 0 in their group by ``order``, and ``total``, its size.
+
+    Rows are range-sorted once by group and order, so a large group lies in many partitions; a
+    count for each partition and group gives every partition its first place. Groups and order
+    columns may hold nulls, which come first. ``rows`` is read twice: write it where it is dear.
+    """
+    keys = [*group, *order]
+    ranged = rows.repartitionByRange(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
+    ranged = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    own = Window.partitionBy(*(group or [F.lit(0)]))
+    counts = ranged.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.withColumns({"_before": before, "_total": F.sum("_n").over(own)})
+    starts = starts.select(*[F.col(c).alias(f"_of_{c}") for c in ["_part", *group]], "_first", "_before", "_total")
+    same = ranged["_part"] == starts["_of__part"]
+    for c in group:
+        same &= F.equal_null(ranged[c], starts[f"_of_{c}"])
+    place = (F.col("_at") - F.col("_first") + F.col("_before")).cast("long")
+    return ranged.join(starts, same).select(*rows.columns, place.alias("pos"), F.col("_total").cast("long").alias("total"))
+
+
+def crc_table() -> list[int]:
+    """The 256 remainders of the CRC-32 polynomial, reflected."""
+    found = []
+    for x in range(256):
+        for _ in range(8):
+            x = (x >> 1) ^ (0xEDB88320 * (x & 1))
+        found.append(x)
+    return found
+
+
+def crc32_list_sql(listed: str) -> str:
+    """DuckDB's expression for the CRC-32 of a list of bytes."""
+    step = f"xor(c >> 8, {crc_table()}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295] || {listed}, lambda c, b: {step}), 4294967295)"

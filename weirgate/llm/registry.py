@@ -1,6 +1,6 @@
 """The queries of this subpackage, with their SQL where SQL can state them."""
 
-from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, mixing, pii, repeats, topk, toxicity, url_filter
+from weirgate.llm import bpe, exact_dedup, jaccard_join, main_text, manifest, mixing, phrases, pii, repeats, sharding, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_top_k_search": topk.query,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_mix_sources": mixing.query,
     "op9_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_collocations": phrases.query,
+    "op12_sharding": sharding.query,
+    "op13_merkle_manifest": manifest.query,
 }
 SQL = {
     "op1_top_k_search": topk.SQL,
@@ -20,4 +23,7 @@ SQL = {
     "op4_url_filter": url_filter.SQL,
     "op5_jaccard_join": jaccard_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_collocations": phrases.SQL,
+    "op12_sharding": sharding.SQL,
+    "op13_merkle_manifest": manifest.SQL,
 }
