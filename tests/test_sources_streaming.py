@@ -63,7 +63,7 @@ def _run_dirs(tmp_path):
 def _write_list(spark, path, n, per_file):
     rows = spark.range(1, n + 1).select("id", F.concat(F.lit("u"), "id").alias("url"), F.lit("f").alias("filename"), F.lit(0).alias("offset"), F.lit(1).alias("length"))
     full = rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in WORKLIST_SCHEMA])
-    fetch.write_chunks(full.coalesce(1), path, per_file)
+    fetch.write_chunks(full.coalesce(1), path, chunk_size=per_file)
 
 
 def _fetch_even(requests):
@@ -82,8 +82,10 @@ def test_a_failed_batch_loses_and_doubles_nothing(spark, tmp_path):
         return _fetch_even(requests)
 
     with pytest.raises(Exception):
-        fetch.run_fetch(spark, listed, out, checkpoint, flaky)
-    fetch.run_fetch(spark, listed, out, checkpoint, flaky)
+        fetch.run_fetch(spark, listed, out, checkpoint, flaky, batch_bytes=4)
+    assert len(calls) == 2
+    fetch.run_fetch(spark, listed, out, checkpoint, flaky, batch_bytes=4)
+    assert len(calls) == 4
     log = sorted((r.id, r.value) for r in fetch.read_log(spark, out).collect())
     assert log == [(i, i % 2 == 0) for i in range(1, 11)]
     assert sorted(r.id for r in fetch.read_fetched(spark, out).collect()) == [2, 4, 6, 8, 10]
@@ -92,11 +94,34 @@ def test_a_failed_batch_loses_and_doubles_nothing(spark, tmp_path):
 def test_row_limit_and_resume(spark, tmp_path):
     listed, out, checkpoint = _run_dirs(tmp_path)
     _write_list(spark, listed, 10, 4)
-    assert fetch.run_fetch(spark, listed, out, checkpoint, _fetch_even, max_rows=4) == 4
+    assert fetch.run_fetch(spark, listed, out, checkpoint, _fetch_even, batch_bytes=4, max_rows=4) == 4
     assert fetch.run_fetch(spark, listed, out, checkpoint, _fetch_even) == 6
     assert sorted(r.id for r in fetch.read_log(spark, out).collect()) == list(range(1, 11))
 
 
+def test_batches_follow_bytes_and_read_no_page_back(spark, tmp_path):
+    listed, out, checkpoint = _run_dirs(tmp_path)
+    rows = spark.range(1, 41).select("id", F.concat(F.lit("u"), "id").alias("url"), F.lit("f").alias("filename"), F.lit(0).alias("offset"), F.lit(100).alias("length"))
+    full = rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in WORKLIST_SCHEMA])
+    fetch.write_chunks(full, listed, chunk_bytes=500)
+    files_of_list = spark.read.parquet(listed).groupBy(F.input_file_name()).count().collect()
+    assert len(files_of_list) == 8 and max(r["count"] for r in files_of_list) <= 10
+    calls = []
+
+    def counting(requests):
+        calls.append(requests.count())
+        return _fetch_even(requests)
+
+    assert fetch.run_fetch(spark, listed, out, checkpoint, counting, batch_bytes=2000) == 40
+    assert 2 <= len(calls) <= 4 and sum(calls) == 40
+    plan = fetch.read_log(spark, out)._jdf.queryExecution().executedPlan().toString()
+    assert "raw" not in plan and "result" in plan
+    assert sorted((r.id, r.value) for r in fetch.read_log(spark, out).collect()) == [(i, i % 2 == 0) for i in range(1, 41)]
+    for archive in (False, True):
+        fetch.export_pages(spark, out, f"{tmp_path}/json{archive}", archive)
+        assert sorted(r.id for r in files.read_pages(spark, f"{tmp_path}/json{archive}").collect()) == list(range(2, 41, 2))
+
+
 def test_pages_to_corpus_accounts_for_every_page(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(
         F.col("page_id").alias("id"), F.regexp_extract("url", "^https?://([^/?#]*)", 1).alias("source"), F.lit("en").alias("lang"), F.col("html").alias("raw")

@@ -67,8 +67,8 @@ def fetch_run(spark: SparkSession, sf: str) -> DataFrame:
     root, base = scratch_path(spark, "archives"), scratch_path(spark, "run")
     stored = _archived(_pages(spark, sf), root, flaws=True).select("url", "filename", "offset", "length")
     listed = _worklist(spark, sf).drop("filename", "offset", "length").join(stored, "url")
-    fetch.write_chunks(listed.select("id", "url", "filename", "offset", "length", "result", "label", "created", "updated"), f"{base}/list", 1_000)
-    fetch.run_fetch(spark, f"{base}/list", f"{base}/out", f"{base}/checkpoint", fetch.from_archives(root), files_per_batch=8)
+    fetch.write_chunks(listed.select("id", "url", "filename", "offset", "length", "result", "label", "created", "updated"), f"{base}/list", 1 << 20)
+    fetch.run_fetch(spark, f"{base}/list", f"{base}/out", f"{base}/checkpoint", fetch.from_archives(root), batch_bytes=8 << 20)
     results = fetch.read_log(spark, f"{base}/out").select("id", F.col("value").alias("result"))
     pages = fetch.read_fetched(spark, f"{base}/out").select("id", "url", F.col("raw").contains("<script").alias("has_script"))
     return results.join(pages, "id", "left").select("id", "url", "result", "has_script")
