@@ -170,3 +170,120 @@ def test_scope_keeps_copies_of_other_sources(spark):
 def test_chain_joins_documents_that_share_no_bucket(spark):
     matches = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (9, 8)], "doc_id long, first_id long")
     assert _clusters(dd.clusters_of(matches)) == [(1, 1, 4, True), (2, 1, 4, False), (3, 1, 4, False), (4, 1, 4, False), (8, 8, 2, True), (9, 8, 2, False)]
+
+
+# Contraction, sketch and stored signatures
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spanning_stars_equal_union_find(seed, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from weirgate.functions import kernels
+
+    rng = np.random.default_rng(seed)
+    u, v = rng.integers(0, 400, 500), rng.integers(0, 400, 500) + 200 * (seed > 0)
+    want = {x: r for x, r in union_find(zip(u.tolist(), v.tolist())).items() if x != r}
+    assert dict(zip(*(x.tolist() for x in kernels.spanning_stars(u, v)))) == want
+    monkeypatch.setattr(kernels, "EDGES", 40)
+    batches = [pa.record_batch([pa.array(u[i : i + 30]), pa.array(v[i : i + 30])], ["u", "v"]) for i in range(0, 500, 30)]
+    stars = [e for b in kernels.contracted(iter(batches)) for e in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(stars) < 500 and {x: r for x, r in union_find(stars).items() if x != r} == want
+
+
+def test_a_long_chain_takes_fewer_rounds_and_edges(spark, monkeypatch):
+    chain = spark.range(100_000).select(F.col("id").alias("v"), (F.col("id") + 1).alias("u"))
+    written, plain = [], components.materialise
+
+    def counting(df):
+        out = plain(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "materialise", counting)
+    found = connected_components(chain)
+    assert found.where("component <> 0").count() == 0 and found.count() == 100_001
+    rounds, edges = len(written), sum(written)
+    written.clear()
+    monkeypatch.setattr(components, "contract", lambda df: df.where("u <> v").select("u", "v"))
+    assert connected_components(chain).where("component <> 0").count() == 0
+    assert rounds <= len(written) / 2 and edges <= sum(written) / 2
+
+
+def test_a_sketch_loses_no_shared_band_and_drops_most_others(spark):
+    rng = random.Random(3)
+    rows = [(i, "=a" if i % 2 else "=b", [rng.randrange(1 << 62) for _ in range(20)]) for i in range(2000)]
+    rows += [(5000 + i, s, [b if j % 5 == 0 else rng.randrange(1 << 62) for j, b in enumerate(bands)]) for i, s, bands in rows[:100]]
+    sigs = spark.createDataFrame(rows, "doc_id long, scope string, bands array<long>").repartition(7)
+    long = dd.long_bands(sigs)
+    shared = long.groupBy("scope", "bucket", "band_hash").count().where("count > 1").drop("count")
+    kept = {tuple(r) for r in dd.shared_bands(sigs, 42_000).collect()}
+    must = {tuple(r) for r in long.join(shared, ["scope", "bucket", "band_hash"]).select("doc_id", "scope", "bucket", "band_hash").collect()}
+    assert len(must) == 800 and must <= kept and len(kept) < 0.3 * 42_000
+    assert kept <= {tuple(r) for r in long.select("doc_id", "scope", "bucket", "band_hash").collect()}
+
+
+def test_most_bands_of_the_table_are_not_shuffled(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    signed = dd.sign(docs)
+    total = signed.bands.count() * 450
+    assert dd.shared_bands(signed.bands, total).count() < 0.1 * total
+
+
+def test_texts_are_shuffled_once(spark, plain_joins, monkeypatch, tmp_path):
+    """Exchanges that carry text, over all plans of both passes: one, the bucketed write."""
+    from weirgate import session
+
+    _documents(spark).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    plans = []
+
+    def wrapped(f):
+        def call(df, *keys, **kw):
+            rows = df.repartition(8, *keys) if keys and not kw.get("placed") else df
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return f(df, *keys, **kw)
+
+        return call
+
+    for name in ("materialise", "materialise_by"):
+        monkeypatch.setattr(dd, name, wrapped(getattr(session, name)))
+    out = dd.dedup_by_scope_then_all(docs, "source", SMALL)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    carrying = []
+    for plan in plans:
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line:
+                depth = len(line) - len(line.lstrip(" :+-"))
+                below = []
+                for x in lines[i + 1 :]:
+                    if len(x) - len(x.lstrip(" :+-")) <= depth:
+                        break
+                    below.append(x)
+                if any("Scan parquet" in x and "text" in x for x in below) and not any("sha2" in x or "Aggregate" in x for x in below):
+                    carrying.append(line)
+    assert len(carrying) == 1, carrying
+    assert "doc_id" in carrying[0] and out.count() == 54
+
+
+def test_a_second_crawl_is_matched_without_hashing_the_first(spark, monkeypatch):
+    docs = _documents(spark)
+    old, new = docs.where("source = 's0'"), docs.where("source = 's1'")
+    stored = dd.sign(old, SMALL)
+    read = []
+    monkeypatch.setattr(dd, "signatures", lambda rows, *a, f=dd.signatures: read.append(sorted(r.doc_id for r in rows.collect())) or f(rows, *a))
+    verdicts, grown = dd.dedup_new_crawl(new, stored, SMALL)
+    got = {r.doc_id: (r.cluster_id, r.keep) for r in verdicts.collect()}
+    assert set(got) == {r.doc_id for r in new.collect() if r.text is not None} and not set(read[0]) & {r.doc_id for r in old.collect()}
+    clusters = {r.doc_id: r.cluster_id for r in dd.duplicate_clusters(docs, SMALL).collect()}
+    with_old = {clusters.get(r.doc_id) for r in old.collect()} - {None}
+    first = {}
+    for i in sorted(got):
+        first.setdefault(clusters.get(i), i)
+    want = {i: (clusters.get(i), clusters.get(i) is None or (clusters[i] not in with_old and first[clusters[i]] == i)) for i in got}
+    assert got == want
+    assert grown.digests.count() == stored.digests.count() + len(got)
+    again, _ = dd.dedup_new_crawl(spark.createDataFrame([(9999, "too short")], "doc_id long, text string"), grown, SMALL)
+    assert [tuple(r) for r in again.collect()] == [(9999, 900, False)]

@@ -6,6 +6,8 @@ Each takes one Arrow batch and returns one; Spark partitions the documents.
 from __future__ import annotations
 
 import hashlib
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,8 +97,146 @@ class MinHasher:
         return (low.reshape(self.shape) * self.mix).sum(axis=1, dtype=np.uint64).view(np.int64)
 
     def batch(self, shingles: pa.Array) -> pa.Array:
-        """Band hashes per document; null for an empty or null set."""
-        rows = [
-            self.bands(s.values.to_numpy(zero_copy_only=False)) if s.is_valid and len(s) else None for s in shingles
-        ]
+        """Band hashes per document; null for an empty or null set. Equal sets are hashed once."""
+        known: dict[bytes, np.ndarray] = {}
+        rows: list[np.ndarray | None] = []
+        for s in shingles:
+            if not s.is_valid or not len(s):
+                rows.append(None)
+                continue
+            values = s.values.to_numpy(zero_copy_only=False)
+            key = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+            if key not in known:
+                known[key] = self.bands(values)
+            rows.append(known[key])
         return pa.array(rows, pa.list_(pa.int64()))
+
+
+# Edges that a task contracts at a time; it holds up to twice as many between batches.
+EDGES = 1 << 20
+
+
+def spanning_stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node that has a smaller one in its component, with the smallest.
+
+    Roots hook to smaller roots across the remaining edges, then paths are halved, until no
+    edge is left between two components.
+    """
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        a, b = root[a], root[b]
+        apart = a != b
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            above = root[root]
+            if (above == root).all():
+                break
+            root = above
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges ``(u, v)`` of a task replaced by stars that connect the same nodes, at most as many."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def stars(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        u, v = (np.concatenate([p.column(i).to_numpy(zero_copy_only=False) for p in parts]) for i in (0, 1))
+        u, v = spanning_stars(u, v)
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((u, v), parts[0].schema)], schema=parts[0].schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size >= 2 * EDGES:
+            found = stars(held)
+            held, size = [found], found.num_rows
+            if size >= EDGES:  # they share too little: pass them on
+                yield found
+                held, size = [], 0
+    if held:
+        yield stars(held)
+
+
+# Cells of the largest band sketch: a task holds two bytes for each, the result has one bit.
+SKETCH_BITS = 26
+SLICE_BITS = 20
+# Documents whose bands are looked at together.
+SKETCH_ROWS = 2048
+
+
+def band_cells(bands: np.ndarray, scope: np.ndarray, bits: int) -> np.ndarray:
+    """A cell of the sketch for each band (documents, buckets) within its scope."""
+    number = np.arange(1, bands.shape[1] + 1, dtype=np.uint64)
+    x = bands.view(np.uint64) ^ (number * np.uint64(0x9E3779B97F4A7C15))[None, :] ^ (scope.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))[:, None]
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SKETCH_ROWS):
+            part = batch.slice(at, SKETCH_ROWS)
+            flat = part.column("bands").flatten().to_numpy(zero_copy_only=False)
+            yield part, flat.reshape(part.num_rows, -1), part.column("scope_hash").to_numpy(zero_copy_only=False)
+
+
+SKETCH = pa.schema([("slice", pa.int32()), ("seen", pa.binary()), ("twice", pa.binary())])
+
+
+def sketch_bands(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Which cells a task's bands hit, and which they hit twice, as one row a slice."""
+    seen, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+    for _, bands, scope in _band_rows(batches):
+        cells, n = np.unique(band_cells(bands, scope, bits), return_counts=True)
+        twice[cells[(n > 1) | seen[cells]]] = True
+        seen[cells] = True
+    width = 1 << min(bits, SLICE_BITS)
+    for i in range(0, 1 << bits, width):
+        if seen[i : i + width].any():
+            row = [zlib.compress(np.packbits(x[i : i + width]).tobytes(), 1) for x in (seen, twice)]
+            yield pa.RecordBatch.from_arrays([pa.array([i // width], pa.int32()), pa.array(row[:1], pa.binary()), pa.array(row[1:], pa.binary())], schema=SKETCH)
+
+
+def merge_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices in order, each from all tasks; ``seen`` is left empty."""
+    at, seen, twice = None, None, None
+
+    def row() -> pa.RecordBatch:
+        packed = zlib.compress(twice.tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([b""], pa.binary()), pa.array([packed], pa.binary())], schema=SKETCH)
+
+    for batch in batches:
+        for number, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            a, b = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (a, b))
+            if number != at:
+                if at is not None:
+                    yield row()
+                at, seen, twice = number, a.copy(), b.copy()
+            else:
+                twice |= b | (seen & a)
+                seen |= a
+    if at is not None:
+        yield row()
+
+
+def repeated_bands(batches: Iterator[pa.RecordBatch], bits: int, slices: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, scope, bucket, band_hash)`` of the bands whose cell was hit twice."""
+    width = 1 << min(bits, SLICE_BITS)
+    twice = np.zeros(1 << bits, bool)
+    for i, packed in slices.items():
+        twice[i * width : (i + 1) * width] = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8))[:width]
+    for part, bands, scope in _band_rows(batches):
+        doc, bucket = np.nonzero(twice[band_cells(bands, scope, bits)])
+        at = pa.array(doc)
+        columns = [part.column("doc_id").take(at), part.column("scope").take(at), pa.array(bucket, pa.int32()), pa.array(bands[doc, bucket], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "scope", "bucket", "band_hash"])

@@ -1,10 +1,11 @@
-"""Connected components by alternating large-star and small-star joins."""
+"""Connected components: contraction inside tasks, then large-star and small-star joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirgate.functions import kernels
 from weirgate.operators.skew import attach_group_value, hot_threshold
 from weirgate.session import materialise
 
@@ -12,23 +13,30 @@ from weirgate.session import materialise
 def connected_components(edges: DataFrame) -> DataFrame:
     """Label every node of ``edges(u, v)`` with the smallest node it is connected to.
 
-    Returns ``(node, component)``. Each round is two joins on the edge table; the edges are
-    written after each, and rounds stop when they no longer change. A node with a very long
-    neighbour list is spread over tasks.
+    Returns ``(node, component)``. Tasks first replace their own edges by a spanning forest, so
+    that only what connects them is left to the joins. Each round is two joins on the edge table
+    and a contraction of the result; the edges are written after each, and rounds stop when they
+    no longer change. A node with a very long neighbour list is spread over tasks.
     """
-    current = materialise(_clean(edges))
+    current = materialise(_clean(contract(edges)))
     before = None
     while True:
         n, mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, mark) == before:
             break
         before = (n, mark)
-        current = materialise(_small_star(materialise(_large_star(current, n)), n))
+        current = materialise(contract(_small_star(materialise(_large_star(current, n)), n)))
     children = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return children.unionByName(roots)
 
 
+def contract(edges: DataFrame) -> DataFrame:
+    """Edges that connect the same nodes, at most as many in each task."""
+    kinds = dict(edges.dtypes)
+    return edges.where("u <> v").select("u", "v").mapInArrow(kernels.contracted, f"u {kinds['u']}, v {kinds['v']}")
+
+
 def _clean(edges: DataFrame) -> DataFrame:
     """Edges from the larger to the smaller node, once each, without loops."""
     return edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

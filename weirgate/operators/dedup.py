@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from weirgate.functions import kernels
 from weirgate.functions import text as tx
 from weirgate.functions.kernels import MinHasher
 from weirgate.operators.components import connected_components
 from weirgate.operators.skew import attach_group_value, hot_threshold
-from weirgate.session import materialise
+from weirgate.session import materialise, materialise_by
 
 
 @dataclass(frozen=True)
@@ -81,10 +82,32 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
 def bucket_matches(sigs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
     """``(doc_id, first_id)`` for documents that share a band with a smaller ``doc_id``.
 
-    Each bucket group becomes a star around its smallest id, so a group of k documents
-    costs k rows, and matches seen in several buckets are kept once.
+    Most bands are alone, so only those that a sketch has seen twice are shuffled. Each bucket
+    group becomes a star around its smallest id, so a group of k documents costs k rows, and
+    matches seen in several buckets are kept once. ``sigs`` is read three times.
     """
-    return _star(long_bands(sigs), ["scope", "bucket", "band_hash"], sigs.count() * config.buckets).distinct()
+    total = sigs.count() * config.buckets
+    rows = materialise(shared_bands(sigs, total))
+    return _star(rows, ["scope", "bucket", "band_hash"], total).distinct()
+
+
+def shared_bands(sigs: DataFrame, total: int) -> DataFrame:
+    """``(doc_id, scope, bucket, band_hash)`` of all bands that two documents share, and a few more.
+
+    Tasks mark the cells of a sketch that their bands hit, and hit twice. The sketch has about
+    eight cells for each of the ``total`` bands, but never more than ``2 ** SKETCH_BITS``, so what
+    is broadcast, one bit a cell, is at most 8 MB. Beyond that size more bands pass for nothing;
+    none that is shared is ever lost.
+    """
+    bits = min(kernels.SKETCH_BITS, max(16, (8 * total).bit_length()))
+    hashed = sigs.select("doc_id", "scope", F.xxhash64("scope").alias("scope_hash"), "bands")
+    parts = hashed.select("scope_hash", "bands").mapInArrow(lambda b: kernels.sketch_bands(b, bits), "slice int, seen binary, twice binary")
+    n = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts.repartition(n, "slice").sortWithinPartitions("slice")
+    merged = parts.mapInArrow(kernels.merge_sketches, "slice int, seen binary, twice binary").select("slice", "twice")
+    slices = {r["slice"]: bytes(r["twice"]) for r in merged.collect()}
+    doc_id = dict(sigs.dtypes)["doc_id"]
+    return hashed.mapInArrow(lambda b: kernels.repeated_bands(b, bits, slices), f"doc_id {doc_id}, scope string, bucket int, band_hash long")
 
 
 def long_bands(sigs: DataFrame) -> DataFrame:
@@ -111,16 +134,39 @@ def duplicate_clusters(
     Copies of one text have one signature, so only the first is hashed and the others
     join its cluster. The smallest ``doc_id`` of a cluster names it and is kept.
     """
-    copies, sigs = _copies_and_signatures(docs, config, doc_id, text, scope)
-    return clusters_of(bucket_matches(sigs, config).unionByName(copies))
+    signed = sign(docs, config, doc_id, text, scope)
+    return clusters_of(bucket_matches(signed.bands, config).unionByName(signed.copies))
+
+
+@dataclass(frozen=True)
+class Signed:
+    """What is stored of a set of documents, so that no later step hashes or reads them again.
 
+    ``digests`` has ``(doc_id, scope, digest)`` of every text, ``copies`` has ``(doc_id,
+    first_id)`` of exact copies, ``bands`` has ``(doc_id, scope, bands)`` of the first of equal
+    texts, bucketed by id if the documents were.
+    """
 
-def _copies_and_signatures(
-    docs: DataFrame, config: MinHashConfig, doc_id: str, text: str, scope: str | None
-) -> tuple[DataFrame, DataFrame]:
-    copies = materialise(exact_copies(docs, doc_id, text, scope))
+    digests: DataFrame
+    copies: DataFrame
+    bands: DataFrame
+
+
+def sign(
+    docs: DataFrame,
+    config: MinHashConfig = MinHashConfig(),
+    doc_id: str = "doc_id",
+    text: str = "text",
+    scope: str | None = None,
+    bucketed: bool = False,
+) -> Signed:
+    """Digests, exact copies and signatures. ``bucketed`` says that ``docs`` is a table of
+    :func:`materialise_by` on its id: then its texts stay where they are."""
+    digests = materialise(_keyed(docs, doc_id, text, scope).select("doc_id", "scope", F.sha2("text", 256).alias("digest")))
+    copies = materialise(_star(digests, ["scope", "digest"], digests.count()))
     firsts = docs.join(copies.select(F.col("doc_id").alias(doc_id)), doc_id, "left_anti")
-    return copies, materialise(signatures(firsts, config, doc_id, text, scope))
+    sigs = signatures(firsts, config, doc_id, text, scope)
+    return Signed(digests, copies, materialise_by(sigs, "doc_id", placed=True) if bucketed else materialise(sigs))
 
 
 def clusters_of(matches: DataFrame) -> DataFrame:
@@ -149,19 +195,50 @@ def dedup_by_scope_then_all(
     Adds ``stage`` (``dedup_scope``, ``dedup_all``, or null for kept) and ``cluster_id`` of
     the stage that decided.
     """
-    copies, sigs = _copies_and_signatures(docs, config, doc_id, text, scope)
-    within = materialise(clusters_of(bucket_matches(sigs, config).unionByName(copies)))
+    # The one shuffle of texts: every later join on their ids finds them in place.
+    placed = materialise_by(docs, doc_id)
+    signed = sign(placed, config, doc_id, text, scope, bucketed=True)
+    within = materialise(clusters_of(bucket_matches(signed.bands, config).unionByName(signed.copies)))
     lost = within.where(~F.col("keep")).select("doc_id")
     # Hashing is the dear step and does not depend on the scope. Every survivor has its
     # signature already: the smallest id of a cluster is never a copy.
-    left = docs.join(lost.select(F.col("doc_id").alias(doc_id)), doc_id, "left_anti")
-    copies = materialise(exact_copies(left, doc_id, text))
+    left = signed.digests.join(lost, "doc_id", "left_anti").withColumn("scope", F.lit(""))
+    left = materialise(left)
+    copies = materialise(_star(left, ["digest"], left.count()))
     gone = lost.unionByName(copies.select("doc_id"))
-    sigs = materialise(sigs.join(gone, "doc_id", "left_anti").withColumn("scope", F.lit("")))
+    sigs = signed.bands.join(gone, "doc_id", "left_anti").withColumn("scope", F.lit(""))
     across = materialise(clusters_of(bucket_matches(sigs, config).unionByName(copies)))
     removed = (
         within.where(~F.col("keep"))
         .select("doc_id", "cluster_id", F.lit("dedup_scope").alias("stage"))
         .unionByName(across.where(~F.col("keep")).select("doc_id", "cluster_id", F.lit("dedup_all").alias("stage")))
     )
-    return docs.join(removed.withColumnRenamed("doc_id", doc_id), doc_id, "left")
+    return placed.join(removed.withColumnRenamed("doc_id", doc_id), doc_id, "left")
+
+
+def dedup_new_crawl(
+    docs: DataFrame, stored: Signed, config: MinHashConfig = MinHashConfig(), doc_id: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, Signed]:
+    """``(doc_id, cluster_id, keep)`` of new documents against stored ones, and the grown store.
+
+    Only the new documents are read and hashed. Of a cluster with a stored document no new one
+    is kept, of another the smallest id; ``cluster_id`` is the smallest id of the cluster, null
+    for a document without duplicates. Ids of both sets must differ.
+    """
+    fresh = sign(docs, config, doc_id, text)
+    digests = materialise(stored.digests.unionByName(fresh.digests))
+    copies = materialise(_star(digests, ["scope", "digest"], digests.count()))
+    # A text that both sets have is signed in both; its ids are linked as copies already.
+    grown = Signed(digests, copies, stored.bands.unionByName(fresh.bands))
+    clusters = materialise(clusters_of(bucket_matches(grown.bands, config).unionByName(copies)))
+    new = fresh.digests.select("doc_id", F.lit(True).alias("new"))
+    members = clusters.select("doc_id", "cluster_id").join(new, "doc_id", "left")
+    firsts = members.groupBy("cluster_id").agg(
+        F.min(F.when(F.col("new"), F.col("doc_id"))).alias("first_new"), F.count_if(F.col("new").isNull()).alias("old"), F.count("*").alias("n")
+    )
+    firsts = firsts.withColumn("kept_id", F.struct(F.when(F.col("old") == 0, F.col("first_new")).alias("id")))
+    known = materialise(members.where("new").select("doc_id", "cluster_id"))
+    marked = attach_group_value(known, firsts, ["cluster_id"], "kept_id", "n", hot_threshold(known.count()))
+    verdicts = new.select("doc_id").join(marked, "doc_id", "left")
+    keep = F.col("cluster_id").isNull() | F.equal_null("doc_id", "kept_id.id")
+    return verdicts.select("doc_id", "cluster_id", keep.alias("keep")), grown

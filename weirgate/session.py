@@ -57,3 +57,18 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_by(df: DataFrame, *keys: str, placed: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder, bucketed and sorted by ``keys``, and read it back.
+
+    Joins on them shuffle the other side only, in every job that reads the table. With
+    ``placed``, ``df`` already has the buckets' partitioning and is not shuffled for it. The
+    table is external: dropping its name leaves the files.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"weirgate_{uuid.uuid4().hex}"
+    rows = df if placed else df.repartition(n, *keys)
+    rows.sortWithinPartitions(*keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    return spark.table(name)
