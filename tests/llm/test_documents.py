@@ -195,6 +195,14 @@ def test_long_text_is_read_in_pieces(spark, monkeypatch):
 # BPE
 
 
+def test_a_very_long_text_ends(spark):
+    """Eight million bytes twice, as one row each: hundreds of thousands of anchors in a text."""
+    text = "".join(chr(97 + x) for x in np.random.default_rng(6).integers(0, 26, 8_000_000))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "x" + text[:400] + "y")], "doc_id long, text string")
+    got = {r.doc_id: [list(s) for s in r.spans] for r in repeats.remove_repeats(docs).collect()}
+    assert got == {1: [[0, 8_000_000]], 2: [[0, 8_000_000]], 3: [[1, 401]]}
+
+
 def test_bpe_equals_the_library(spark, odd_documents):
     from tokenizers import Tokenizer
 

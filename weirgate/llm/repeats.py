@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from weirgate.llm.common import as_batch, in_batches, mixed, partitions, slices, table
 from weirgate.llm.shingles import pieces, powers
-from weirgate.session import materialise
+from weirgate.session import materialise, materialise_by
 
 WINDOW = 200
 GRAM = 32
@@ -283,10 +283,11 @@ def remove_repeats(
     each = each.join(counts, "h").withColumn("deals", deals).withColumn("deal", F.pmod(F.xxhash64("id", "th", "a"), "deals").cast("int"))
     # Rows that repeat an id and a text share one list; each of them sends its own surroundings.
     lists = each.groupBy("id", "th").agg(F.collect_set(F.struct("h", "deal", "deals", "a", "p", "q")).alias("named"))
-    packed = rows.mapInArrow(_packed, "id long, th long, packed binary")
-    wanted = materialise(packed.join(lists, ["id", "th"]))
+    # Texts are shuffled once, to buckets by id and text, where their repeats find them later.
+    packed = rows.mapInArrow(_packed, "id long, th long, packed binary").repartition(partitions(spark), "id", "th")
+    wanted = materialise_by(packed.join(lists, ["id", "th"]), "id", "th", placed=True)
 
-    around = wanted.mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
+    around = wanted.select("id", "th", "packed", "named").mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
     around = around.repartition(partitions(spark), "h", "deal").sortWithinPartitions("h", "deal")
     found = materialise(around.mapInArrow(lambda b: _sorted(b, window), FOUND_DDL))
 
