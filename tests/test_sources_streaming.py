@@ -132,3 +132,23 @@ def test_pages_to_corpus_accounts_for_every_page(spark):
     assert totals["extract"].total == 50
     for before, after in zip(STAGES, STAGES[1:]):
         assert totals[after].total == totals[before].forwarded
+
+
+def test_files_follow_sizes_not_folders(spark, tmp_path):
+    """A large reason is split over files of the advisory size; small ones have one file each."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    counts = {}
+    try:
+        for rows in (2_000, 40_000):
+            verdicts = spark.range(0, rows, 1, 64).select(
+                F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit("quality").alias("stage"),
+                F.when(F.col("id") % 50 > 0, "common").otherwise(F.concat(F.lit("rare"), F.col("id") % 4)).alias("reason"),
+            )
+            files.write_rejected(verdicts, str(tmp_path / f"{rows}"))
+            sizes = {k: [f.stat().st_size for f in (tmp_path / f"{rows}" / "stage=quality").glob(f"reason={k}/part-*.gz")] for k in ("common", "rare0", "rare2")}
+            counts[rows] = {k: len(v) for k, v in sizes.items()}
+            assert max(sizes["common"]) < 200_000 and spark.read.json(str(tmp_path / f"{rows}")).count() == rows
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert counts[2_000]["common"] <= 8 and counts[40_000]["common"] >= 4 * counts[2_000]["common"]
+    assert all(n["rare0"] <= 2 and n["rare2"] <= 2 for n in counts.values())

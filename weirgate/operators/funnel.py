@@ -75,3 +75,30 @@ def drop_shares(totals: DataFrame, remained: str = "remained") -> DataFrame:
     last = totals.agg(F.min("forwarded").alias("n")).select(F.lit(remained).alias("stage"), "n")
     whole = W.partitionBy(F.lit(1))
     return dropped.unionByName(last).select("stage", "n", (F.col("n") / F.sum("n").over(whole)).alias("share"))
+
+
+def all_counts(verdicts: DataFrame, source: str = "source", length: str = "doc_len", stages: tuple[str, ...] = STAGES) -> DataFrame:
+    """``(source, stage, reason, total, forwarded, dropped, doc_len_min, doc_len_max, doc_len_avg)``.
+
+    The rows of :func:`stage_counts`, :func:`reason_counts` and :func:`stage_totals`, and drops
+    by reason over all sources, from one aggregation over grouping sets. A row counts documents
+    of a ``source``, of all if that is null and ``all_sources``; ``reason`` is null in rows that
+    count a stage's whole input.
+    """
+    rank = F.coalesce(*[F.when(F.col("stage") == s, F.lit(i)) for i, s in enumerate(stages)], F.lit(len(stages)))
+    ranked = verdicts.select(F.col(source).alias("source"), "reason", rank.alias("rank"), F.col(length).alias("len"))
+    # What a document contributes to each stage it reached: dropped in its own, forwarded before.
+    reached = F.explode(F.sequence(F.lit(0), F.least("rank", F.lit(len(stages) - 1)))).alias("at")
+    steps = ranked.select("source", "rank", "len", reached, "reason").select(
+        "source", F.element_at(F.array(*[F.lit(s) for s in stages]), F.col("at") + 1).alias("stage"),
+        F.when(F.col("at") == F.col("rank"), F.col("reason")).alias("reason"), (F.col("at") < F.col("rank")).alias("on"), "len",
+    )
+    sets = [["source", "stage", "reason"], ["source", "stage"], ["stage", "reason"], ["stage"]]
+    on = F.when(F.col("on"), F.col("len"))
+    counted = steps.groupingSets([[F.col(c) for c in s] for s in sets], "source", "stage", "reason").agg(
+        F.grouping("source").alias("no_source"), F.grouping("reason").alias("no_reason"), F.count("*").alias("total"),
+        F.count_if("on").alias("forwarded"), F.count_if(~F.col("on")).alias("dropped"),
+        F.min(on).alias("doc_len_min"), F.max(on).alias("doc_len_max"), F.avg(on).alias("doc_len_avg"),
+    )
+    counted = counted.where((F.col("no_reason") == 1) | F.col("reason").isNotNull())
+    return counted.select("source", (F.col("no_source") == 1).alias("all_sources"), "stage", "reason", "total", "forwarded", "dropped", "doc_len_min", "doc_len_max", "doc_len_avg")

@@ -39,6 +39,18 @@ def kept_per_source(spark: SparkSession, sf: str) -> DataFrame:
     return outcome.groupBy("source", "stage", "reason").agg(F.count("*").alias("n"))
 
 
+def _all_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return funnel.all_counts(verdicts(spark, sf)).withColumn("doc_len_avg", F.round("doc_len_avg", 6))
+
+
+def _nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage counts with the drops by reason as one JSON object."""
+    judged = verdicts(spark, sf)
+    nested = funnel.nested_counts(funnel.stage_counts(judged), funnel.reason_counts(judged))
+    dropped_by = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("dropped_by"))))
+    return nested.select("source", "stage", "total", "forwarded", "dropped", dropped_by.alias("dropped_by"))
+
+
 QUERIES = {
     "kept_per_source": kept_per_source,
     "text_measures": lambda spark, sf: q.with_measures(_docs(spark, sf)).select("doc_id", *PLAIN_MEASURES),
@@ -52,6 +64,8 @@ QUERIES = {
     "funnel_reason_counts": lambda spark, sf: funnel.reason_counts(verdicts(spark, sf)),
     "funnel_stage_totals": lambda spark, sf: funnel.stage_totals(_counts(spark, sf)),
     "funnel_drop_shares": lambda spark, sf: funnel.drop_shares(funnel.stage_totals(_counts(spark, sf))).withColumn("share", F.round("share", 9)),
+    "funnel_all_counts": _all_counts,
+    "funnel_nested_counts": _nested,
     "token_counts": lambda spark, sf: _docs(spark, sf).select("doc_id", tx.token_count(F.col("text")).alias("n_tokens")),
     "token_totals": lambda spark, sf: _docs(spark, sf).groupBy("source").agg(F.sum(tx.token_count(F.col("text"))).alias("n_tokens")),
     "document_lengths": lambda spark, sf: _docs(spark, sf).groupBy("source").agg(
@@ -211,6 +225,16 @@ SQL = {
     "funnel_drop_shares": f"""WITH {_TOTALS}, parts AS (
           SELECT stage, dropped AS n FROM totals UNION ALL SELECT 'remained', min(forwarded) FROM totals)
         SELECT stage, n, round(n / sum(n) OVER (), 9) AS share FROM parts""",
+    "funnel_all_counts": f"""WITH {_COUNTS}, drops AS (SELECT source, stage, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY ALL),
+        stage_lengths AS ({counts_sql(q.STAGES, "(SELECT 'all' AS source, rank, doc_len FROM judged)")})
+        SELECT source, false AS all_sources, stage, NULL AS reason, total, forwarded, dropped, doc_len_min, doc_len_max, round(doc_len_avg, 6) AS doc_len_avg
+        FROM counts WHERE total > 0
+        UNION ALL SELECT source, false, stage, reason, n, 0, n, NULL, NULL, NULL FROM drops
+        UNION ALL SELECT NULL, true, stage, reason, sum(n), 0, sum(n), NULL, NULL, NULL FROM drops GROUP BY stage, reason
+        UNION ALL SELECT NULL, true, stage, NULL, total, forwarded, dropped, doc_len_min, doc_len_max, round(doc_len_avg, 6) FROM stage_lengths WHERE total > 0""",
+    "funnel_nested_counts": f"""WITH {_COUNTS}, drops AS (SELECT source, stage, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY ALL),
+        maps AS (SELECT source, stage, '{{' || string_agg('"dropped_' || reason || '":' || n, ',' ORDER BY reason) || '}}' AS dropped_by FROM drops GROUP BY source, stage)
+        SELECT c.source, c.stage, total, forwarded, dropped, dropped_by FROM counts c LEFT JOIN maps m ON m.source IS NOT DISTINCT FROM c.source AND m.stage = c.stage""",
     "token_counts": f"SELECT doc_id, len(regexp_extract_all(text, '{tx.TOKEN}'))::BIGINT AS n_tokens FROM documents",
     "token_totals": f"SELECT source, sum(len(regexp_extract_all(text, '{tx.TOKEN}')))::BIGINT AS n_tokens FROM documents GROUP BY source",
     "document_lengths": """SELECT source, min(length(text))::BIGINT AS len_min, max(length(text))::BIGINT AS len_max,

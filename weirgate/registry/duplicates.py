@@ -18,6 +18,7 @@ from weirgate.session import materialise
 from weirgate.sources.tables import read_table
 
 SMALL = dd.MinHashConfig(buckets=14, rows=8)
+FIRST_CRAWL = "src0"
 DEDUP_STAGES = ("dedup_scope", "dedup_all")
 
 
@@ -67,6 +68,13 @@ def _funnel(spark: SparkSession, sf: str, config: dd.MinHashConfig) -> DataFrame
     return funnel.stage_counts(verdicts, stages=DEDUP_STAGES).withColumn("doc_len_avg", F.round("doc_len_avg", 6))
 
 
+def _second_crawl(spark: SparkSession, sf: str, config: dd.MinHashConfig) -> DataFrame:
+    """The documents of all sources but one, matched against that one's stored signatures."""
+    docs = _docs(spark, sf)
+    stored = dd.sign(docs.where(f"source = '{FIRST_CRAWL}'"), config)
+    return dd.dedup_new_crawl(docs.where(f"source <> '{FIRST_CRAWL}'"), stored, config)[0]
+
+
 _BY_CONFIG = {
     "minhash_bands": _bands,
     "minhash_matches": _matches,
@@ -76,6 +84,7 @@ _BY_CONFIG = {
     "dedup_by_source_then_all": _stages,
     "dedup_funnel": _funnel,
     "tokens_before_and_after_dedup": _tokens_before_and_after,
+    "second_crawl": _second_crawl,
 }
 
 
@@ -170,4 +179,8 @@ SQL = {
           FROM documents d LEFT JOIN clusters1 c USING (doc_id))
         SELECT source, sum(n)::BIGINT AS tokens_before, coalesce(sum(n) FILTER (keep), 0)::BIGINT AS tokens_after FROM sized GROUP BY source""",
 }
+SQL["second_crawl"] = f"""WITH {_ONE}, members AS (
+          SELECT doc_id, source, coalesce(cluster_id, -1 - doc_id) AS c, cluster_id FROM documents LEFT JOIN clusters1 USING (doc_id) WHERE text IS NOT NULL),
+        firsts AS (SELECT c, min(doc_id) FILTER (source <> '{FIRST_CRAWL}') AS first_new, bool_or(source = '{FIRST_CRAWL}') AS old FROM members GROUP BY c)
+        SELECT doc_id, cluster_id, NOT old AND doc_id = first_new AS keep FROM members JOIN firsts USING (c) WHERE source <> '{FIRST_CRAWL}'"""
 SQL = {name if name == "exact_copies" else f"{name}_14x8": sql for name, sql in SQL.items()}

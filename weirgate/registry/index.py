@@ -29,6 +29,16 @@ def _now(text: str = NOW):
     return F.lit(text).cast("timestamp")
 
 
+def _recrawled(spark: SparkSession, sf: str) -> DataFrame:
+    """Usable captures of one collection, and again of the next under other keys and digests, as
+    a page that moved and changed has them."""
+    usable = _usable(spark, sf)
+    later = usable.where("collection = 'C0'").withColumns({
+        "urlkey": F.concat(F.lit("moved/"), "urlkey"), "digest": F.md5(F.concat(F.lit("changed "), "digest")), "collection": F.lit("C1"),
+    })
+    return usable.unionByName(later)
+
+
 def _worklist(spark: SparkSession, sf: str) -> DataFrame:
     return fetch_list(_cdx(spark, sf), cdx_order(), _now(), MIN_LENGTH)
 
@@ -68,6 +78,23 @@ def cdx_scan(spark: SparkSession, sf: str) -> DataFrame:
     return wl.number_rows(cx.read_cdx(spark, path), cx.newest_first()).select("id", "urlkey", "url", "mime-detected", "status", "digest", "length", "offset", "filename")
 
 
+# How the flawed index spells the status of the pages whose id leaves this number by 9.
+FLAWED_STATUS = {1: "-", 2: "404.0", 3: "200.0", 4: "4.5", 5: "", 6: "200"}
+
+
+def cdx_flawed(spark: SparkSession, sf: str) -> DataFrame:
+    """An index with flawed lines: every line as usable or not, or why it was rejected."""
+    path = scratch_path(spark, "cdx")
+    kind = F.col("page_id") % 9
+    status = F.coalesce(*[F.when(kind == k, F.lit(text)) for k, text in FLAWED_STATUS.items()], F.col("status").cast("string"))
+    line = F.to_json(F.struct("urlkey", "url", "mime-detected", status.alias("status"), "digest", "length", "offset", "filename"))
+    _cdx(spark, sf).select(F.when(kind == 7, F.substring(line, 1, 40)).otherwise(line).alias("value")).write.text(path)
+    read = cx.read_cdx(spark, path)
+    usable = cap.usable_captures(read, MIN_LENGTH).select("url", F.lit("usable").alias("verdict"), F.col("status").cast("string").alias("value"))
+    rejected = cx.read_cdx_rejects(spark, path).select("url", F.concat(F.lit("rejected: "), "reason").alias("verdict"), "value")
+    return usable.unionByName(rejected)
+
+
 def cdx_lookup(pattern: str, key_form: str = "host"):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         table = _cdx(spark, sf)
@@ -109,6 +136,7 @@ def done_by_archive(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "cdx_scan": cdx_scan,
+    "cdx_flawed_lines": cdx_flawed,
     "cdx_prefix_lookup": cdx_lookup("http://spam-farm.example.org/*"),
     "cdx_domain_lookup": cdx_lookup("*.example.com"),
     "cdx_exact_lookup": cdx_lookup("https://m.ththth.example.net/en/25#top"),
@@ -132,6 +160,8 @@ QUERIES = {
     "fetch_list": lambda spark, sf: _readable(_worklist(spark, sf)),
     "fetch_list_default": lambda spark, sf: _readable(fetch_list(_cdx(spark, sf), cdx_order(), _now())),
     "fetch_list_repeated_urls": lambda spark, sf: cap.duplicate_urls(_worklist(spark, sf)),
+    "captures_repeated_urls": lambda spark, sf: cap.duplicate_urls(_recrawled(spark, sf)),
+    "captures_unique_urls": lambda spark, sf: cap.duplicate_urls(cap.unique_captures(_recrawled(spark, sf), cdx_order())),
     "fetch_list_after_run": lambda spark, sf: _readable(_current(spark, sf)),
     "fetch_list_next": lambda spark, sf: wl.incomplete(_current(spark, sf), limit=60, offset=20),
     "fetch_list_slices": lambda spark, sf: wl.run_slices(_current(spark, sf), 4),
@@ -175,6 +205,18 @@ SQL = {
     "cdx_scan": f"""WITH {CDX_SQL}
         SELECT row_number() OVER (ORDER BY collection DESC, page_id)::BIGINT AS id, urlkey, url, mime AS "mime-detected",
           status, digest, length, "offset", filename FROM cdx""",
+    "cdx_flawed_lines": f"""WITH {CDX_SQL}, spelled AS (
+          SELECT *, CASE page_id % 9 {" ".join(f"WHEN {k} THEN '{t}'" for k, t in FLAWED_STATUS.items())} ELSE status::VARCHAR END AS text FROM cdx),
+        lines AS (SELECT *, CASE WHEN page_id % 9 IN (1, 4) THEN 'status' WHEN page_id % 9 = 7 THEN 'line' END AS reason,
+          coalesce(try_cast(nullif(text, '') AS DOUBLE)::INTEGER, 0) AS code FROM spelled)
+        SELECT url, 'usable' AS verdict, code::VARCHAR AS "value" FROM lines
+        WHERE reason IS NULL AND length > {MIN_LENGTH} AND mime = 'text/html' AND code < 300
+        UNION ALL SELECT CASE WHEN reason = 'status' THEN url END, 'rejected: ' || reason,
+          CASE WHEN reason = 'status' THEN text ELSE '{{"urlkey":"' || substr(urlkey || '","url":"' || url, 1, 29) END
+        FROM lines WHERE reason IS NOT NULL""",
+    "captures_repeated_urls": f"""WITH {_USABLE} SELECT url, count(*) AS n FROM (
+          SELECT url FROM usable UNION ALL SELECT url FROM usable WHERE collection = 'C0') GROUP BY url HAVING count(*) > 1""",
+    "captures_unique_urls": f"WITH {_USABLE} SELECT url, count(*) AS n FROM usable WHERE false GROUP BY url",
     "cdx_prefix_lookup": f"""WITH {CDX_SQL} SELECT page_id, urlkey, url FROM cdx
         WHERE starts_with(urlkey, 'spam-farm.example.org/') OR urlkey = 'spam-farm.example.org'""",
     "cdx_domain_lookup": f"""WITH {CDX_SQL} SELECT page_id, urlkey, url FROM cdx

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirgate.operators.dedup import dedup_by_scope_then_all
 from weirgate.operators.extract import extract_text
 from weirgate.operators.quality import filter_documents
 from weirgate.plans.corpus import corpus
 from weirgate.registry.documents import JUDGED_SQL
+from weirgate.registry.duplicates import SMALL
+from weirgate.registry.duplicates import SQL as DEDUP_SQL
 from weirgate.registry.fixtures import CDX_SQL, cdx_table, write_archives
 from weirgate.registry.index import WORKLIST_SQL, _worklist
 from weirgate.registry.urls import SPLIT_SQL, _labelled
@@ -49,6 +52,23 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("doc_id long, text string, stage string, reason string").json(path)
 
 
+def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What two-level dedup removed, written aside and read back."""
+    path = scratch_path(spark, "duplicates")
+    files.write_duplicates(dedup_by_scope_then_all(read_table(spark, sf, "documents"), "source", SMALL), path)
+    return spark.read.schema("doc_id long, text string, cluster_id long, stage string").json(path)
+
+
+def merged_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One Parquet folder per collection, of which only one has digests, as one table."""
+    root, out = scratch_path(spark, "parts"), scratch_path(spark, "merged")
+    cdx = cdx_table(read_table(spark, sf, "pages"))
+    for c, extra in (("C0", ["digest"]), ("C1", []), ("C2", ["status"])):
+        choose_collection(cdx, c).select("page_id", "url", "collection", *extra).write.parquet(f"{root}/part-of-{c}")
+    files.merge_files(spark, f"{root}/part-of-*", out)
+    return spark.read.parquet(out)
+
+
 def merged(spark: SparkSession, sf: str) -> DataFrame:
     """One frame per collection, of which only one has digests."""
     cdx = cdx_table(read_table(spark, sf, "pages"))
@@ -91,7 +111,9 @@ QUERIES = {
     "page_lines": page_lines(False),
     "page_lines_gzip": page_lines(True),
     "rejected_rows": rejected_rows,
+    "duplicate_rows_14x8": duplicate_rows,
     "merged_frames": merged,
+    "merged_files": merged_files,
     "split_parts": split_parts,
     "fetch_run": fetch_run,
     "main_texts": main_texts,
@@ -106,7 +128,10 @@ SQL = {
         WHERE stage IN ('repetition', 'quality')""",
     "merged_frames": f"""WITH {CDX_SQL} SELECT page_id, url, collection, CASE WHEN collection = 'C0' THEN digest END AS digest,
         CASE WHEN collection = 'C2' THEN status END AS status FROM cdx""",
+    "duplicate_rows_14x8": f"""SELECT doc_id, text, cluster_id, stage FROM ({DEDUP_SQL['dedup_by_source_then_all_14x8']}) JOIN documents USING (doc_id)
+        WHERE stage IS NOT NULL""",
     "split_parts": f"WITH {SPLIT_SQL} SELECT page_id, url_p, label, split AS part FROM split_rows",
     "fetch_run": f"""WITH {WORKLIST_SQL} SELECT id, CASE WHEN page_id % 10 NOT IN (4, 7) THEN url END AS url, page_id % 10 NOT IN (4, 7) AS result,
         CASE WHEN page_id % 10 NOT IN (4, 7) THEN false END AS has_script FROM listed JOIN pages USING (url)""",
 }
+SQL["merged_files"] = SQL["merged_frames"]

@@ -28,25 +28,52 @@ NUMBERS = ("status", "length", "offset")
 CAPTURE_ORDER = ["capture_file", "capture_block", "capture_row"]
 
 
+CORRUPT = "_corrupt_record"
+
+
+def readable_number(text: Column, kind: T.DataType) -> Column:
+    """A number written as an integer, or as a decimal without a fraction (``404.0``); else null."""
+    wide = text.try_cast("double")
+    whole = F.when((wide == F.floor(wide)) & (F.abs(wide) < float(1 << 53)), wide.cast("long"))
+    return F.coalesce(text.try_cast(kind), whole.try_cast(kind))
+
+
+def _scan(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """Index lines with the columns of ``CAPTURE_ORDER`` and ``reason``, why a line is rejected."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in NUMBERS else f.dataType) for f in schema])
+    lines = spark.read.schema(as_text.add(CORRUPT, T.StringType())).option("columnNameOfCorruptRecord", CORRUPT).json(pattern)
+    numbers = {f.name: readable_number(F.trim(f"`{f.name}`"), f.dataType) for f in schema if f.name in NUMBERS}
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("line"))
+    for name, number in numbers.items():
+        reason = reason.when((F.trim(f"`{name}`") != "") & number.isNull(), F.lit(name))
+    return lines.select(
+        *[numbers.get(f.name, F.col(f"`{f.name}`")).alias(f.name) for f in schema],
+        *[F.col(f"`{name}`").alias(f"raw_{name}") for name in numbers],
+        CORRUPT,
+        reason.alias("reason"),
+        F.col("_metadata.file_path").alias("capture_file"),
+        F.col("_metadata.file_block_start").alias("capture_block"),
+        F.monotonically_increasing_id().alias("capture_row"),
+    )
+
+
 def read_cdx(spark: SparkSession, pattern: str, schema: T.StructType = CDX_SCHEMA) -> DataFrame:
     """JSON-lines index files, with the columns of ``CAPTURE_ORDER`` to order captures by.
 
     ``capture_row`` grows within one block of one file; it is taken at the scan, before any
-    shuffle, so a lost task that runs again gives the same numbers. A number that cannot be
-    read is null.
+    shuffle, so a lost task that runs again gives the same numbers. A missing or empty number is
+    null. Lines that are not JSON, or have a number that cannot be read, are left out: see
+    :func:`read_cdx_rejects`.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in NUMBERS else f.dataType) for f in schema])
-    fields = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in NUMBERS else F.col(f"`{f.name}`") for f in schema]
-    return (
-        spark.read.schema(as_text)
-        .json(pattern)
-        .select(
-            *fields,
-            F.col("_metadata.file_path").alias("capture_file"),
-            F.col("_metadata.file_block_start").alias("capture_block"),
-            F.monotonically_increasing_id().alias("capture_row"),
-        )
-    )
+    return _scan(spark, pattern, schema).where("reason IS NULL").select(*[f"`{f.name}`" for f in schema], *CAPTURE_ORDER)
+
+
+def read_cdx_rejects(spark: SparkSession, pattern: str, schema: T.StructType = CDX_SCHEMA) -> DataFrame:
+    """The lines that :func:`read_cdx` leaves out: ``reason`` is ``line`` or the first number that
+    cannot be read, ``value`` the line or that number as it was written."""
+    found = _scan(spark, pattern, schema).where("reason IS NOT NULL")
+    value = F.coalesce(CORRUPT, *[F.when(F.col("reason") == f.name, F.col(f"raw_{f.name}")) for f in schema if f.name in NUMBERS])
+    return found.select("url", "reason", value.alias("value"), *CAPTURE_ORDER)
 
 
 def newest_first() -> list[Column]:

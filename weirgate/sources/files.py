@@ -28,12 +28,19 @@ def write_rejected(verdicts: DataFrame, path: str, stages: tuple[str, ...] = ("r
     """Rejected rows, one folder per stage and reason. The line-structure stage keeps no
     rejects unless asked."""
     rejected = verdicts.where(F.col("reason").isNotNull() & F.col("stage").isin(*stages))
-    _spread(rejected, "stage", "reason").write.partitionBy("stage", "reason").option("compression", "gzip").json(path)
+    _balanced(rejected, "stage", "reason").write.partitionBy("stage", "reason").option("compression", "gzip").json(path)
 
 
-def _spread(df: DataFrame, *folders: str, tasks: int = 16) -> DataFrame:
-    """Rows of a folder together, but a large folder's over up to ``tasks`` tasks."""
-    return df.repartition(*folders, F.pmod(F.xxhash64(*[c for c in df.columns if c not in folders]), F.lit(tasks)))
+def write_duplicates(verdicts: DataFrame, path: str, stages: tuple[str, ...] = ("dedup_scope", "dedup_all")) -> None:
+    """Documents that dedup removed, with the cluster they lost to, one folder per stage."""
+    lost = verdicts.where(F.col("stage").isin(*stages) & F.col("cluster_id").isNotNull())
+    _balanced(lost, "stage").write.partitionBy("stage").option("compression", "gzip").json(path)
+
+
+def _balanced(df: DataFrame, *folders: str) -> DataFrame:
+    """Rows of a folder together, by size: adaptive execution splits a folder larger than its
+    advisory partition size over tasks, and gives several small ones to one task."""
+    return df.hint("rebalance", *[F.col(c) for c in folders])
 
 
 def merge_frames(frames: list[DataFrame]) -> DataFrame:
@@ -48,7 +55,7 @@ def merge_files(spark: SparkSession, pattern: str, output: str) -> None:
 
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """One folder per named part."""
-    _spread(df, split).write.partitionBy(split).parquet(path)
+    _balanced(df, split).write.partitionBy(split).parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, name: str, split: str = "split") -> DataFrame:
