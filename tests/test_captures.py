@@ -56,8 +56,10 @@ def test_numbers_in_quotes_count_like_bare_ones(spark, tmp_path):
         f.writelines(json.dumps({"url": u, "status": s, "length": n, "offset": "7", "mime-detected": "text/html"}) + "\n" for u, s, n in rows)
     scanned = cx.read_cdx(spark, str(tmp_path / "cc.jsonl"))
     got = {r.url: (r.status, r.length, r.offset) for r in scanned.collect()}
-    assert got == {"a": (200, 20001, 7), "b": (200, 20001, 7), "c": (404, 20001, 7), "d": (404, 20001, 7), "e": (None, 20001, 7), "f": (None, None, 7)}
-    assert sorted(r.url for r in cap.usable_captures(scanned).collect()) == ["a", "b", "e"]
+    assert got == {"a": (200, 20001, 7), "b": (200, 20001, 7), "c": (404, 20001, 7), "d": (404, 20001, 7)}
+    rejected = {r.url: (r.reason, r.value) for r in cx.read_cdx_rejects(spark, str(tmp_path / "cc.jsonl")).collect()}
+    assert rejected == {"e": ("status", "-"), "f": ("length", "x")}
+    assert sorted(r.url for r in cap.usable_captures(scanned).collect()) == ["a", "b"]
 
 
 def test_surt_lookup(spark):
@@ -105,3 +107,17 @@ def test_seen_keys_are_stored_once(spark, tmp_path):
     assert sorted(r.key for r in again.table().collect()) == ["a", "b", "c"]
     probe = spark.createDataFrame([("a",), ("z",)], "key string")
     assert [r.key for r in again.missing(probe).collect()] == ["z"] and [r.key for r in again.contained(probe).collect()] == ["a"]
+
+
+def test_an_unreadable_status_is_no_missing_one(spark, tmp_path):
+    """A decimal without a fraction is a number; other texts and broken lines are rejects, and never pass."""
+    rows = [("a", "404.0"), ("b", "200.0"), ("c", "-"), ("d", "4.5"), ("e", None), ("f", ""), ("g", " 200 "), ("h", "1e99"), ("i", "99999999999")]
+    line = lambda u, s: json.dumps({"url": u, "status": s, "length": 20001, "offset": 7, "mime-detected": "text/html"})
+    (tmp_path / "cc.jsonl").write_text("\n".join([*(line(u, s) for u, s in rows), '{"url": "z", "status": 200', "no json", ""]))
+    read = cx.read_cdx(spark, str(tmp_path / "cc.jsonl"))
+    assert {r.url: r.status for r in read.collect()} == {"a": 404, "b": 200, "e": None, "f": None, "g": 200}
+    assert {r.url for r in cap.usable_captures(read).collect()} == {"b", "e", "f", "g"}
+    rejected = cx.read_cdx_rejects(spark, str(tmp_path / "cc.jsonl")).collect()
+    assert sorted((r.reason, r.value) for r in rejected) == sorted(
+        [("status", "-"), ("status", "4.5"), ("status", "1e99"), ("status", "99999999999"), ("line", '{"url": "z", "status": 200'), ("line", "no json")]
+    )

@@ -6,12 +6,13 @@ latest entry per row and field wins, so marking rows never rewrites the list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirgate.session import scratch_path
+from weirgate.sources.commits import Commits
 
 WORKLIST_SCHEMA = T.StructType(
     [
@@ -102,12 +103,24 @@ def label_log_by_url(worklist: DataFrame, labels: DataFrame, now: Column, batch:
     return label_log(worklist.select("id", "url").join(labels.select("url", "label"), "url").select("id", "label"), now, batch)
 
 
-def current_worklist(worklist: DataFrame, log: DataFrame) -> DataFrame:
-    """The list with the latest result and label of each row."""
+LATEST_DDL = "id long, _r struct<updated: timestamp, batch: bigint, value: boolean>, _l struct<updated: timestamp, batch: bigint, value: boolean>"
+
+
+def latest_entries(log: DataFrame) -> DataFrame:
+    """The latest result ``_r`` and label ``_l`` of each id."""
     entry = F.struct("updated", "batch", "value")
-    latest = log.groupBy("id").agg(
+    return log.groupBy("id").agg(
         F.max(F.when(F.col("field") == "result", entry)).alias("_r"), F.max(F.when(F.col("field") == "label", entry)).alias("_l")
     )
+
+
+def current_worklist(worklist: DataFrame, log: DataFrame) -> DataFrame:
+    """The list with the latest result and label of each row."""
+    return with_latest(worklist, latest_entries(log))
+
+
+def with_latest(worklist: DataFrame, latest: DataFrame) -> DataFrame:
+    """The list with results and labels from :func:`latest_entries`."""
     joined = worklist.join(latest, "id", "left")
     pick = lambda name, e: F.when(F.col(e).isNotNull(), F.col(f"{e}.value")).otherwise(F.col(name)).alias(name)
     return joined.select(
@@ -116,6 +129,49 @@ def current_worklist(worklist: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
+class WorkLog:
+    """A stored log under ``path``: appended entries, and snapshots of the latest of each id.
+
+    Readers take the newest snapshot and the entries committed after it, so what they read does
+    not grow with the age of the list. A snapshot is made from committed folders and is committed
+    itself when it is whole; a crash before leaves the older one in force.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.commits = spark, Commits(spark, path)
+
+    def append(self, log: DataFrame) -> None:
+        folder = self.commits.folder()
+        log.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA]).write.parquet(folder)
+        self.commits.commit(folder)
+
+    def latest(self) -> DataFrame:
+        """The latest result and label of each id that has any."""
+        snapshot, tail, _ = self.commits.live()
+        return self._merged(snapshot, tail)
+
+    def _merged(self, snapshot: str | None, tail: list[str]) -> DataFrame:
+        read = self.spark.read
+        parts = read.schema(LOG_SCHEMA).parquet(*tail) if tail else self.spark.createDataFrame([], LOG_SCHEMA)
+        latest = latest_entries(parts)
+        if snapshot is None:
+            return latest
+        both = read.schema(LATEST_DDL).parquet(snapshot).unionByName(latest)
+        return both.groupBy("id").agg(F.max("_r").alias("_r"), F.max("_l").alias("_l"))
+
+    def compact(self) -> None:
+        """Write a snapshot of everything committed so far."""
+        snapshot, tail, last = self.commits.live()
+        if not tail:
+            return
+        folder = self.commits.folder()
+        self._merged(snapshot, tail).write.parquet(folder)
+        self.commits.commit(folder, snapshot_of=last)
+
+    def current(self, worklist: DataFrame) -> DataFrame:
+        return with_latest(worklist, self.latest())
+
+
 def unlabelled(worklist: DataFrame) -> DataFrame:
     return worklist.where(F.col("label").isNull()).select("id", "url")
 

@@ -65,6 +65,18 @@ def _current(spark: SparkSession, sf: str) -> DataFrame:
     return wl.current_worklist(listed, _log(spark, sf, listed))
 
 
+def _compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The list after the same run, from a stored log: a snapshot between results and labels."""
+    listed = materialise(_worklist(spark, sf))
+    stored = wl.WorkLog(spark, scratch_path(spark, "log"))
+    log = materialise(_log(spark, sf, listed))
+    for batch, compact in ((0, True), (1, False), (2, True), (1, False)):  # a batch again changes nothing
+        stored.append(log.where(F.col("batch") == batch))
+        if compact:
+            stored.compact()
+    return stored.current(listed)
+
+
 def _readable(df: DataFrame) -> DataFrame:
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return df.select("id", "url", "filename", "offset", "length", "result", "label", stamp("created"), stamp("updated"))
@@ -127,6 +139,7 @@ def key_set(spark: SparkSession, sf: str) -> DataFrame:
     keys = seen.SeenKeys(spark, scratch_path(spark, "seen"), "urlkey")
     for name in ("C0", "C1", "C2"):
         keys.add(cx.choose_collection(_cdx(spark, sf), name))
+    keys.compact()
     return keys.table()
 
 
@@ -163,6 +176,7 @@ QUERIES = {
     "captures_repeated_urls": lambda spark, sf: cap.duplicate_urls(_recrawled(spark, sf)),
     "captures_unique_urls": lambda spark, sf: cap.duplicate_urls(cap.unique_captures(_recrawled(spark, sf), cdx_order())),
     "fetch_list_after_run": lambda spark, sf: _readable(_current(spark, sf)),
+    "fetch_list_after_compaction": lambda spark, sf: _readable(_compacted(spark, sf)),
     "fetch_list_next": lambda spark, sf: wl.incomplete(_current(spark, sf), limit=60, offset=20),
     "fetch_list_slices": lambda spark, sf: wl.run_slices(_current(spark, sf), 4),
     "fetch_list_unlabelled": lambda spark, sf: wl.unlabelled(wl.current_worklist(
@@ -244,6 +258,7 @@ SQL = {
     "fetch_list_default": f"WITH {WORKLIST_SQL.replace(f'length > {MIN_LENGTH}', 'length > 10000')} SELECT * FROM listed",
     "fetch_list_repeated_urls": f"WITH {WORKLIST_SQL} SELECT url, count(*) AS n FROM listed GROUP BY url HAVING count(*) > 1",
     "fetch_list_after_run": f"WITH {_CURRENT} SELECT * FROM current_list",
+    "fetch_list_after_compaction": f"WITH {_CURRENT} SELECT * FROM current_list",
     "fetch_list_next": f"WITH {_CURRENT} SELECT {_TODO} FROM current_list WHERE result IS NULL ORDER BY id LIMIT 60 OFFSET 20",
     "fetch_list_slices": f"WITH {_CURRENT} SELECT {_TODO}, id % 4 AS slice FROM current_list WHERE result IS NULL",
     "fetch_list_unlabelled": f"""WITH {_CURRENT} SELECT id, url FROM current_list
