@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from weirgate.llm.common import as_batch, in_batches, mixed, partitions, slices, table
 from weirgate.llm.shingles import pieces, powers
-from weirgate.session import materialise, materialise_by
+from weirgate.session import discard, materialise, materialise_by
 
 WINDOW = 200
 GRAM = 32
@@ -276,6 +276,7 @@ def remove_repeats(
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("th"), "text")
     named = materialise(rows.mapInArrow(lambda b: _anchored(b, window, gram), ANCHORS_DDL))
+    base = materialise(named.select("id", "th", "n", "sha"))
     counts = materialise(named.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
 
     each = named.select("id", "th", F.explode(F.arrays_zip("h", "a", "p", "q")).alias("m")).select("id", "th", "m.h", "m.a", "m.p", "m.q")
@@ -286,6 +287,8 @@ def remove_repeats(
     # Texts are shuffled once, to buckets by id and text, where their repeats find them later.
     packed = rows.mapInArrow(_packed, "id long, th long, packed binary").repartition(partitions(spark), "id", "th")
     wanted = materialise_by(packed.join(lists, ["id", "th"]), "id", "th", placed=True)
+    discard(named)
+    discard(counts)
 
     around = wanted.select("id", "th", "packed", "named").mapInArrow(lambda b: _surroundings(b, window), AROUND_DDL)
     around = around.repartition(partitions(spark), "h", "deal").sortWithinPartitions("h", "deal")
@@ -297,7 +300,7 @@ def remove_repeats(
     ranges = runs.unionByName(met).groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     cut = wanted.select("id", "th", "packed").join(ranges, ["id", "th"]).mapInArrow(lambda b: _cut(b, window), KEPT_DDL)
     changed = materialise(cut).withColumn("cut_sha", F.sha2("kept", 256)).dropDuplicates(["id", "th"])
-    return named.select("id", "th", "n", "sha").join(changed, ["id", "th"], "left").select(
+    return base.join(changed, ["id", "th"], "left").select(
         F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"),
         F.col("n").alias("n_bytes"),
         F.coalesce("spans", F.array().cast("array<array<long>>")).alias("spans"),
