@@ -313,6 +313,53 @@ def test_toxicity_on_odd_rows_and_labels(spark, odd_documents):
     assert {r.score for r in none} == {0.0}
 
 
+def plain_logit(w, vocabulary, words):
+    """One window, word by word and unit by unit, from the definitions of the layers alone."""
+    from weirgate.llm import recurrent as r
+
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def read(inputs, name):
+        h, states = np.zeros(len(w[f"{name}U"])), []
+        for x in inputs:
+            u = len(h)
+            a, b = x @ w[f"{name}W"] + w[f"{name}b"], h @ w[f"{name}U"]
+            z, g = sig(a[:u] + b[:u]), sig(a[u : 2 * u] + b[u : 2 * u])
+            h = h + (1 - z) * (np.tanh(a[2 * u :] + g * b[2 * u :]) - h)
+            states.append(h)
+        return states
+
+    vectors = []
+    for word in words:
+        bare = r.bare(word)
+        codes = [ord(c) if ord(c) < r.CHARS else ord(c) * 2654435761 % (r.CHARS - 32) + 32 for c in bare]
+        letters = [w["chars"][c].astype(float) for c in codes]
+        ends = [states[-1] if states else np.zeros(r.CHAR_UNITS) for states in (read(letters, "cf"), read(letters[::-1], "cb"))]
+        vectors.append(np.concatenate([w["words"][vocabulary.get(bare, 0)], *ends]))
+    states = [np.concatenate(p) for p in zip(read(vectors, "wf"), read(vectors[::-1], "wb")[::-1])]
+    seen = np.array([s @ w["see"] for s in states])
+    share = np.exp(seen - seen.max())
+    return float((share / share.sum()) @ np.array([s @ w["out"] for s in states]) + w["bias"][0])
+
+
+def test_every_overlapping_window_is_scored(monkeypatch):
+    """The scores of whole texts against one plain forward pass for each window that fits."""
+    from weirgate.llm import recurrent as r
+
+    rng = random.Random(3)
+    monkeypatch.setattr(r, "STARTS", 50)
+    words = ["alpha", "bad!", "ünï", "x", "日本語", "(quoted)", "42", "longish-word"]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 3, 7, 8, 9, 40, 130)] + ["w" * 40]
+    vocabulary = {"alpha": 1, "bad": 2, "42": 3}
+    net = r.Network(r.start_weights(r.VOCABULARY, np.random.default_rng(2)), vocabulary)
+    got = r.Scorer({"weights": net.w, "vocabulary": vocabulary, "curve": (1.5, -0.2)}).score(texts)
+    for text, score in zip(texts, got):
+        tokens = r.words_of(text)
+        windows = [tokens[i : i + r.WINDOW] for i in range(max(0, len(tokens) - r.WINDOW) + 1)]
+        best = max(plain_logit(net.w, vocabulary, x) for x in windows)
+        assert abs(score - 1 / (1 + np.exp(-(1.5 * best - 0.2)))) < 1e-6
+
+
 def test_gradients_equal_differences():
     from weirgate.llm import recurrent as R
 

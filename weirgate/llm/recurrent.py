@@ -2,7 +2,9 @@
 
 A word is the sum of two inputs: a vector of its own, if it is in the vocabulary of the
 training words, and what a bidirectional recurrent layer reads from its characters. A second
-such layer reads a window of words; attention pools its states into one logit.
+such layer reads a window of words; attention pools its states into one logit. Windows overlap:
+one starts at every word. Neighbouring windows read the same projected words, so a step of all
+of them at once is a slice of the text.
 """
 
 from __future__ import annotations
@@ -13,15 +15,15 @@ from itertools import chain
 
 import numpy as np
 
-WINDOW = 16
-STRIDE = 8
+WINDOW = 8
 PIECE_CHARS = 16
 CHARS, CHAR_DIM, CHAR_UNITS = 256, 8, 8
 WORD_DIM, WORD_UNITS = 8, 8
 VOCABULARY = 4000
 
-# Rows that go through a layer at a time.
+# Rows that go through a layer at a time, and windows of a text.
 ROWS = 2048
+STARTS = 8192
 
 PIECES = re.compile(rf"\S{{1,{PIECE_CHARS}}}").findall
 MARKS = ".,;:!?\"'()[]{}<>«»“”„…-*_"
@@ -182,6 +184,63 @@ class Network:
             kept.append((states, share, pooled, a, b, index))
         return pooled @ w["out"] + w["bias"][0]
 
+    def sliding_logits(self, table: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        """A logit for the window that starts at each place of ``flat`` and lies whole in it.
+
+        The logit is the mean of ``out . state``, weighted by the softmax of ``see . state``, so
+        only these two products of each state are kept.
+        """
+        w, half, units = self.w, 3 * WORD_UNITS, WORD_UNITS
+        found = np.empty(max(0, len(flat) - WINDOW + 1), np.float32)
+        for first in range(0, len(found), STARTS):
+            m = min(STARTS, len(found) - first)
+            inputs = np.ascontiguousarray(table[flat[first : first + m + WINDOW - 1]].T)
+            seen, given = np.zeros((WINDOW, m), np.float32), np.zeros((WINDOW, m), np.float32)
+            for name, x, part, order in (("wf", inputs[:half], slice(0, units), range(WINDOW)), ("wb", inputs[half:], slice(units, None), range(WINDOW - 1, -1, -1))):
+                turned = np.ascontiguousarray(w[f"{name}U"].T)
+                heads = np.stack([w["see"][part], w["out"][part]])
+                h = np.zeros((units, m), np.float32)
+                for t in order:
+                    now, below = x[:, t : t + m], turned @ h
+                    gates = now[: 2 * units] + below[: 2 * units]
+                    gates *= 0.5
+                    np.tanh(gates, out=gates)
+                    z, r, new = gates[:units], gates[units:], below[2 * units :]
+                    r += 1
+                    new *= r
+                    new *= 0.5
+                    new += now[2 * units :]
+                    np.tanh(new, out=new)
+                    new -= h
+                    z -= 1
+                    z *= -0.5
+                    new *= z
+                    h += new
+                    both = heads @ h
+                    seen[t] += both[0]
+                    given[t] += both[1]
+            seen -= seen.max(axis=0)
+            np.exp(seen, out=seen)
+            given *= seen
+            found[first : first + m] = given.sum(axis=0) / seen.sum(axis=0) + w["bias"][0]
+        return found
+
+    def highest(self, table: np.ndarray, flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logits of all windows of texts of ``n`` words in ``flat``, in the order of
+        :func:`window_places`, and the highest of each text."""
+        base, count = np.cumsum(n) - n, np.maximum(0, n - WINDOW) + 1
+        starts = np.cumsum(count) - count
+        logit = np.empty(int(count.sum()), np.float32)
+        sliding = self.sliding_logits(table, flat)
+        text, first, span = window_places(n)
+        whole = span == WINDOW
+        logit[whole] = sliding[base[text[whole]] + first[whole]]
+        short = np.flatnonzero(~whole)
+        for i in range(0, len(short), ROWS):
+            some = short[i : i + ROWS]
+            logit[some] = self.logits(table, *gathered(flat, base[text[some]], span[some]))
+        return logit, np.maximum.reduceat(logit, starts)
+
     def gradients(self, words: list[str], windows: np.ndarray, mask: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted log loss of some windows over the distinct ``words``."""
         w, half, kept = self.w, 3 * WORD_UNITS, []
@@ -221,14 +280,13 @@ class Network:
 def window_places(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, first word and words of all overlapping windows of texts of ``n`` words.
 
-    Windows start every STRIDE words; the last one ends with the text. A text shorter than a
-    window, or empty, has one.
+    A window starts at every word from which it fits. A text shorter than a window, or empty,
+    has one of all its words.
     """
-    count = np.maximum(0, -(-(n - WINDOW) // STRIDE)) + 1
+    count = np.maximum(0, n - WINDOW) + 1
     text = np.repeat(np.arange(len(n)), count)
-    step = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    first = np.minimum(step * STRIDE, np.maximum(0, n[text] - WINDOW))
-    return text, first, np.minimum(WINDOW, n[text] - first)
+    first = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    return text, first, np.minimum(WINDOW, n[text])
 
 
 def gathered(flat: np.ndarray, begin: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,14 +296,13 @@ def gathered(flat: np.ndarray, begin: np.ndarray, words: np.ndarray) -> tuple[np
     return np.where(mask, flat[np.minimum(begin[:, None] + span, max(0, len(flat) - 1))] if len(flat) else 0, 0), mask.astype(np.float32)
 
 
-def train(texts: list[str], labels: np.ndarray, prior: float, seed: int = 7, epochs: int = 8, most_windows: int = 256) -> dict:
+def train(texts: list[str], labels: np.ndarray, prior: float, seed: int = 7, epochs: int = 8) -> dict:
     """Weights, vocabulary and calibration, learnt from labelled texts.
 
     A text is as toxic as its most toxic window. The first epochs learn from random windows
     under their text's label; later ones from the two windows of each text that score highest.
     At the end, a logistic curve turns a text's highest logit into a probability, with the
-    classes weighted to the share ``prior``. Of a longer text, ``most_windows`` windows take
-    part in training.
+    classes weighted to the share ``prior``.
     """
     rng = np.random.default_rng(seed)
     tokens = [words_of(t) for t in texts]
@@ -258,24 +315,15 @@ def train(texts: list[str], labels: np.ndarray, prior: float, seed: int = 7, epo
     n = np.fromiter(map(len, tokens), np.int64, len(tokens))
     base = np.cumsum(n) - n
     text, first, span = window_places(n)
-    keep = np.zeros(len(text), bool)
-    edges = np.searchsorted(text, np.arange(len(n) + 1))
-    for a, b in zip(edges[:-1], edges[1:]):
-        keep[a:b] = True
-        if b - a > most_windows:
-            keep[rng.choice(np.arange(a, b), b - a - most_windows, replace=False)] = False
-    text, first, span = text[keep], first[keep], span[keep]
-    windows, mask = gathered(flat, base[text] + first, span)
     edges = np.searchsorted(text, np.arange(len(n) + 1))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     steps = 0
 
-    def scan() -> np.ndarray:
-        table = net.projected(words)
-        return np.concatenate([net.logits(table, windows[i : i + ROWS], mask[i : i + ROWS]) for i in range(0, len(windows), ROWS)])
+    def scan() -> tuple[np.ndarray, np.ndarray]:
+        return net.highest(net.projected(words), flat, n)
 
     for epoch in range(epochs):
-        value = rng.random(len(text)) if epoch < 3 else scan()
+        value = rng.random(len(text)) if epoch < 3 else scan()[0]
         order = np.lexsort((-value, text))
         place = np.arange(len(text)) - edges[text[order]]
         chosen = order[place < (6 if epoch < 3 else 2)]
@@ -283,8 +331,9 @@ def train(texts: list[str], labels: np.ndarray, prior: float, seed: int = 7, epo
         rate = 0.01 if epoch < epochs - 2 else 0.003
         for i in range(0, len(chosen), 128):
             some = chosen[i : i + 128]
-            used, index = np.unique(windows[some], return_inverse=True)
-            grads = net.gradients([words[j] for j in used], index.reshape(len(some), WINDOW), mask[some], labels[text[some]].astype(np.float32), np.full(len(some), 1 / len(some), np.float32))
+            windows, mask = gathered(flat, base[text[some]] + first[some], span[some])
+            used, index = np.unique(windows, return_inverse=True)
+            grads = net.gradients([words[j] for j in used], index.reshape(len(some), WINDOW), mask, labels[text[some]].astype(np.float32), np.full(len(some), 1 / len(some), np.float32))
             steps += 1
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
             for k, g in grads.items():
@@ -293,7 +342,7 @@ def train(texts: list[str], labels: np.ndarray, prior: float, seed: int = 7, epo
                 a += 0.1 * (g - a)
                 b += 0.01 * (g * g - b)
                 net.w[k] -= (rate * (a / (1 - 0.9**steps)) / (np.sqrt(b / (1 - 0.99**steps)) + 1e-7)).astype(np.float32)
-    highest = np.maximum.reduceat(scan(), edges[:-1]).astype(float)
+    highest = scan()[1].astype(float)
     return {"weights": net.w, "vocabulary": net.vocabulary, "curve": calibrate(highest, labels.astype(float), prior)}
 
 
@@ -333,7 +382,7 @@ class Scorer:
             half = self.HELD // 2
             self.places = dict(list(self.places.items())[:half])
             self.table = self.table[:half].copy()
-        new = [w for w in dict.fromkeys(chain.from_iterable(tokens)) if w not in self.places] or ([""] if not self.places else [])
+        new = sorted(set(chain.from_iterable(tokens)).difference(self.places)) or ([""] if not self.places else [])
         if new:
             base = len(self.places)
             self.places.update((w, base + i) for i, w in enumerate(new))
@@ -341,11 +390,5 @@ class Scorer:
         place = self.places.__getitem__
         n = np.fromiter(map(len, tokens), np.int64, len(tokens))
         flat = np.fromiter(map(place, chain.from_iterable(tokens)), np.int64, int(n.sum()))
-        base = np.cumsum(n) - n
-        text, first, span = window_places(n)
-        logit = np.empty(len(text), np.float32)
-        for i in range(0, len(text), ROWS):
-            some = slice(i, i + ROWS)
-            logit[some] = self.net.logits(self.table, *gathered(flat, base[text[some]] + first[some], span[some]))
-        highest = np.maximum.reduceat(logit, np.searchsorted(text, np.arange(len(n)))).astype(float)
+        highest = self.net.highest(self.table, flat, n)[1].astype(float)
         return sigmoid(np.clip(self.curve[0] * highest + self.curve[1], -40, 40))
