@@ -20,14 +20,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import in_batches, slices, table
+from weirgate.llm.common import in_batches, released, slices, table
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 ENCODED_DDL = "doc_id long, ids binary, decoded string"
 
 # A worker keeps at most this many chunks, and as many words; beyond it, it forgets the later
 # half of them. Frequent ones come early.
-HELD = 300_000
+HELD = 100_000
 
 
 def vocabulary_path() -> str:
@@ -107,7 +107,6 @@ class Vocabulary:
         self.fits[pair] = holds
         return holds
 
-
     def step(self, met: bytes, tokens: dict[bytes, int], steps: dict) -> tuple[bytes, list[int]]:
         """What :attr:`prefixes` keeps for ``met``, the prefix at a node and the next byte."""
         ends = [tokens[met[i:]] for i in range(len(met)) if met[i:] in tokens]
@@ -266,7 +265,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
     """
     path = path or vocabulary_path()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(lambda batches: _encoded(batches, path), ENCODED_DDL)
+    return rows.mapInArrow(lambda batches: released(_encoded(batches, path)), ENCODED_DDL)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

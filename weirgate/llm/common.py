@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,21 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def released(batches: Iterator, *caches: Callable[[], None]) -> Iterator:
+    """The batches; after the last one the caches are emptied and freed memory goes back to the
+    system, for Spark keeps a task's worker, and its memory, for the tasks of later stages."""
+    try:
+        yield from batches
+    finally:
+        for clear in caches:
+            clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may have none
+        if trim is not None:
+            trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (shifts and odd multipliers, modulo 2^64)."""
     x = x ^ (x >> np.uint64(31))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import free_name, in_batches, lower_ascii, partitions, slices, table
+from weirgate.llm.common import free_name, in_batches, lower_ascii, partitions, released, slices, table
 from weirgate.session import materialise
 
 # The directory has at most 2^MAX_DEPTH slots, so its counts stay small at any input size.
@@ -30,7 +30,7 @@ ENTRY_DDL = "bucket int, key long, text string, top long, n long"
 INDEX_DDL = "bucket int, key long, chain int, sha binary, keep_id long, group_size long"
 
 # A task's table of texts it has seen is emptied beyond this size.
-HELD_BYTES = 48 << 20
+HELD_BYTES = 16 << 20
 
 
 def grow_directory(held: np.ndarray, capacity: int) -> np.ndarray:
@@ -119,9 +119,9 @@ def build_index(docs: DataFrame, max_depth: int = MAX_DEPTH, capacity: int = CAP
     """The written index ``(bucket, key, chain, sha, keep_id, group_size)`` of ``docs(doc_id, text)``."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     directory = _directory(keyed, max_depth, capacity)
-    entries = keyed.mapInArrow(lambda batches: _entries(batches, directory), ENTRY_DDL)
+    entries = keyed.mapInArrow(lambda batches: released(_entries(batches, directory)), ENTRY_DDL)
     owned = entries.repartition(partitions(docs.sparkSession), "bucket").sortWithinPartitions("bucket", "key")
-    return materialise(owned.mapInArrow(_own, INDEX_DDL))
+    return materialise(owned.mapInArrow(lambda batches: released(_own(batches)), INDEX_DDL))
 
 
 def exact_dedup(

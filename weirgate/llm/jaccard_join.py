@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import as_batch, free_name, in_batches, mixed, partitions, slices, table
+from weirgate.llm.common import as_batch, free_name, in_batches, mixed, partitions, released, slices, table
 from weirgate.llm.shingles import shingle_sets
 from weirgate.operators.components import connected_components
 from weirgate.session import materialise
@@ -278,13 +278,13 @@ def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, per
     """The rows of :func:`jaccard_join`, with ``th``, a hash of the row's text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
-    sketch = materialise(rows.mapInArrow(lambda b: _sketches(b, width, percent), SKETCH_DDL))
+    sketch = materialise(rows.mapInArrow(lambda b: released(_sketches(b, width, percent)), SKETCH_DDL))
     some = sketch.where("key IS NOT NULL AND doc_id IS NOT NULL")
     firsts = materialise(some.groupBy("key").agg(F.min("doc_id").alias("rep")))
 
     different = some.select("doc_id", "n", "low", "more").join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     signed = different.join(known_tokens(some), "doc_id", "left").select("doc_id", "n", "low", "more", "known")
-    signed = materialise(signed.mapInArrow(lambda b: _signed(b, percent), "doc_id long, sigs array<long>"))
+    signed = materialise(signed.mapInArrow(lambda b: released(_signed(b, percent)), "doc_id long, sigs array<long>"))
     candidates = materialise(connected_components(candidate_edges(signed)))
 
     # A component's candidates by bands of sizes, and a band's in blocks.
@@ -298,13 +298,13 @@ def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, per
     placed = materialise(placed)
     placed = F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed
     texts = rows.join(placed, "doc_id").select("component", "band", "blocks", "block", "doc_id", "text")
-    members = texts.mapInArrow(lambda b: _members(b, width), MEMBER_DDL)
+    members = texts.mapInArrow(lambda b: released(_members(b, width)), MEMBER_DDL)
     tiles = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "component", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "tokens"
     )
     tile = ["component", "band", "i", "j"]
     tiles = tiles.repartition(partitions(docs.sparkSession), *tile).sortWithinPartitions(*tile, "doc_id")
-    links = materialise(tiles.mapInArrow(lambda b: _verified(b, percent), "u long, v long"))
+    links = materialise(tiles.mapInArrow(lambda b: released(_verified(b, percent)), "u long, v long"))
     found = connected_components(links).select(F.col("node").alias("rep"), "component")
 
     classes = firsts.join(found, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))

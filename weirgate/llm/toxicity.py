@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
-from weirgate.llm.common import free_name, table
+from weirgate.llm.common import free_name, released, table
 from weirgate.llm.recurrent import Scorer, train
 
 # The network learns from at most this many labelled texts of each class.
@@ -99,7 +99,7 @@ def toxicity_score(model: bytes) -> Callable[[Column], Column]:
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     # Declared non-deterministic so that a filter on the score stays above it and scores once.
-    return arrow_udf(scored, "double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    return arrow_udf(lambda batches: released(scored(batches)), "double", ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
