@@ -81,3 +81,16 @@ def test_keys_read_their_slices_only(spark, tmp_path):
     assert len(keys.table().inputFiles()) <= 8 < before and keys.table().count() == 400
     keys.add(spark.createDataFrame([("new",)], "k string"))
     assert keys.table().count() == 401 and keys.missing(spark.createDataFrame([("new",), ("newer",)], "k string")).collect()[0].k == "newer"
+
+
+def test_discard_deletes_tables_of_its_own_only(spark, tmp_path):
+    from weirgate.session import discard, materialise
+
+    spark.range(10).write.parquet(str(tmp_path / "kept"))
+    kept, gone = spark.read.parquet(str(tmp_path / "kept")), materialise(spark.range(10))
+    files = gone.inputFiles()
+    discard(kept)
+    discard(gone)
+    assert kept.count() == 10 and files
+    with pytest.raises(Exception):
+        spark.read.parquet(*files).count()

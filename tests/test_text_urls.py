@@ -100,3 +100,51 @@ def test_model_round_trip(spark, tmp_path):
     raw = df.select("id", "url", "label")
     for m in (model, uc.load(str(tmp_path / "m"))):
         assert uc.classify_urls(m, raw).where("label != prediction").count() == 0
+
+
+# The kernel learner
+
+
+def test_fourier_features_approach_the_kernel():
+    import numpy as np
+
+    from weirgate.operators.fourier import Directions
+
+    rng = np.random.default_rng(1)
+    directions = Directions(20_000, 0.7, 3)
+    x = [(np.sort(rng.choice(1000, 6, replace=False)), rng.standard_normal(6) / 2) for _ in range(8)]
+    dense = np.zeros((8, 1000))
+    for row, (i, v) in zip(dense, x):
+        row[i] = v
+    z = np.array([directions.map(i, v) for i, v in x])
+    want = np.exp(-0.7 * ((dense[:, None] - dense[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - want).max() < 0.03
+
+
+def test_the_kernel_learns_what_no_line_separates(spark, tmp_path):
+    """The label is whether exactly one of two words occurs."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(800):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append((i, f"{'alpha' if a else 'gamma'} some words between {'beta' if b else 'delta'}", int(a != b)))
+    df = spark.createDataFrame(rows, "id long, url_p string, label int")
+    train, held = df.where("id < 600"), df.where("id >= 600")
+    share = lambda m: uc.predict(m, held).where("label = prediction").count() / 200
+    linear = share(uc.fit(train, config=uc.ClassifierConfig(features=1 << 10, max_iter=50)))
+    config = uc.ClassifierConfig(features=1 << 10, reg_param=1e-4, max_iter=40, fourier=512, gamma=1.0)
+    model = uc.fit(train, config=config)
+    assert share(model) > 0.95 and linear < 0.8
+    uc.save(model, str(tmp_path / "m"))
+    assert share(uc.load(str(tmp_path / "m"))) == share(model)
+    assert uc.predict(model, df.where("id < 0")).count() == 0
+
+
+def test_toxic_is_predicted_from_text(spark):
+    from weirgate import registry
+
+    rows = registry.QUERIES["toxic_predictions"](spark, "/root/testdata/sf0.1").where("split = 'validation'").collect()
+    right = sum(r.label == r.prediction for r in rows)
+    assert len(rows) > 200 and right > max(sum(r.label == c for r in rows) for c in (0, 1))

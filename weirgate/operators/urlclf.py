@@ -1,4 +1,4 @@
-"""A URL classifier: path words, n-gram weights, a linear model, and its scores."""
+"""A URL classifier: path words, n-gram weights, a linear or kernel model, and its scores."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from weirgate.functions import text as tx
 from weirgate.operators import worklist as wl
+from weirgate.operators.fourier import FourierFeatures
 from weirgate.operators.skew import attach_group_value, hot_threshold
 from weirgate.session import materialise
 
@@ -74,10 +75,24 @@ def tfidf(df: DataFrame, row_id: str, text: str, fitted_on: Column) -> DataFrame
 
 @dataclass(frozen=True)
 class ClassifierConfig:
+    """``features`` is the size of the hashed term space. With ``fourier`` cosines of a Gaussian
+    kernel of width ``gamma`` the learner is one with that kernel; with 0 it is linear. Scaling
+    terms to like spread (``standardize``) suits short texts; in long ones it drowns the frequent
+    terms in rare ones."""
+
     features: int = 1 << 18
     reg_param: float = 1e-2
     max_iter: int = 20
     tol: float = 1e-3
+    standardize: bool = True
+    fourier: int = 0
+    gamma: float = 0.1
+    seed: int = 7
+
+
+def kernel_config(rows: int, cost: float = 20.0, gamma: float = 0.1, fourier: int = 512) -> ClassifierConfig:
+    """A kernel learner for a training set of that many rows; ``cost`` weighs its errors."""
+    return ClassifierConfig(reg_param=1.0 / (cost * max(1, rows)), max_iter=100, tol=1e-4, fourier=fourier, gamma=gamma)
 
 
 def fit(train: DataFrame, text: str = "url_p", label: str = "label", config: ClassifierConfig = ClassifierConfig()) -> PipelineModel:
@@ -98,10 +113,13 @@ def fit(train: DataFrame, text: str = "url_p", label: str = "label", config: Cla
     smooth = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
     stages += [
         ElementwiseProduct(scalingVec=Vectors.dense(smooth), inputCol="_tf", outputCol="_w"),
-        Normalizer(inputCol="_w", outputCol="features", p=2.0),
+        Normalizer(inputCol="_w", outputCol="_x" if config.fourier else "features", p=2.0),
     ]
-    vectors = PipelineModel(stages[5:]).transform(counted)
-    model = LinearSVC(labelCol=label, regParam=config.reg_param, maxIter=config.max_iter, tol=config.tol).fit(vectors)
+    if config.fourier:
+        stages.append(FourierFeatures(inputCol="_x", outputCol="features", features=config.fourier, gamma=config.gamma, seed=config.seed))
+    vectors = PipelineModel(stages[5:]).transform(counted).select(label, "features")
+    vectors = materialise(vectors) if config.fourier else vectors  # the learner reads them once a step
+    model = LinearSVC(labelCol=label, regParam=config.reg_param, maxIter=config.max_iter, tol=config.tol, standardization=config.standardize).fit(vectors)
     counted.unpersist()
     return PipelineModel([*stages, model])
 
@@ -153,5 +171,9 @@ def class_scores(predictions: DataFrame, label: str = "label", prediction: str =
 
 def label_worklist(model: PipelineModel, worklist: DataFrame, now: Column, batch: Column) -> DataFrame:
     """Log entries that label every unlabelled row of the fetch list."""
-    labelled = classify_urls(model, wl.unlabelled(worklist)).select("id", (F.col("prediction") == 1.0).alias("label"))
-    return wl.label_log(labelled, now, batch)
+    return label_rows(model, with_path_words(wl.unlabelled(worklist)), now, batch)
+
+
+def label_rows(model: PipelineModel, rows: DataFrame, now: Column, batch: Column) -> DataFrame:
+    """Log entries that label every row, which has an ``id`` and the text the model was fitted on."""
+    return wl.label_log(predict(model, rows).select("id", (F.col("prediction") == 1.0).alias("label")), now, batch)

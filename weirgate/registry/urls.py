@@ -14,6 +14,7 @@ from weirgate.sources.tables import read_table
 
 HOLDOUT = "Cheap-Pills"
 MODEL = uc.ClassifierConfig()
+TEXT_MODEL = uc.ClassifierConfig(reg_param=1e-5, max_iter=50, standardize=False)
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,6 +34,35 @@ def _model(spark: SparkSession, sf: str):
     return uc.load(path)
 
 
+def _kernel_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """The kernel learner on the same labels, stored and loaded again."""
+    rows, path = _labelled(spark, sf), scratch_path(spark, "model")
+    train = rows.where("split = 'train'")
+    uc.save(uc.fit(train, config=uc.kernel_config(train.count())), path)
+    return uc.predict(uc.load(path), rows).select("page_id", "split", "label", "prediction")
+
+
+def _rated(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents rated toxic or not, which no URL tells; one in ten is held out."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "source", "text")
+    rows = docs.join(read_table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label")), "doc_id")
+    return uc.with_split(rows, "doc_id", holdout="no such source", url="source")
+
+
+def _toxic_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _rated(spark, sf)
+    model = uc.fit(rows.where("split = 'train'"), text="text", config=TEXT_MODEL)
+    return uc.predict(model, rows).select("doc_id", "split", "label", "prediction")
+
+
+def _toxic_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Log entries that label every document nobody has rated."""
+    rows = _rated(spark, sf)
+    model = uc.fit(rows, text="text", config=TEXT_MODEL)
+    unrated = read_table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text").join(rows.select(F.col("doc_id").alias("id")), "id", "left_anti")
+    return uc.label_rows(model, unrated, _now(NOW), F.lit(0)).select("id", "field", "value")
+
+
 def _tfidf(spark: SparkSession, sf: str) -> DataFrame:
     rows = _labelled(spark, sf)
     return uc.tfidf(rows, "page_id", "url_p", F.col("split") == "train").select("row_id", "term", F.round("weight", 9).alias("weight"))
@@ -59,6 +89,10 @@ QUERIES = {
     "url_scores": lambda spark, sf: uc.class_scores(uc.predict(_model(spark, sf), _labelled(spark, sf).where("split = 'validation'"))),
     "url_bulk_labels": lambda spark, sf: uc.label_worklist(_model(spark, sf), _worklist(spark, sf), _now(NOW), F.lit(0)).select("id", "field", "value"),
     "class_scores": _length_rule,
+    "url_predictions_kernel": _kernel_predictions,
+    "toxic_predictions": _toxic_predictions,
+    "toxic_scores": lambda spark, sf: uc.class_scores(_toxic_predictions(spark, sf).where("split = 'validation'")),
+    "toxic_bulk_labels": _toxic_log,
 }
 
 _PATH_SQL = """CASE WHEN slash = 0 THEN decoded ELSE substr(decoded, slash + start) END"""

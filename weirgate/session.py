@@ -72,3 +72,14 @@ def materialise_by(df: DataFrame, *keys: str, placed: bool = False) -> DataFrame
     rows = df if placed else df.repartition(n, *keys)
     rows.sortWithinPartitions(*keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", scratch_path(spark, "buckets")).saveAsTable(name)
     return spark.table(name)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`materialise` that no later step reads."""
+    spark = df.sparkSession
+    root = f"{checkpoint_root(spark).rstrip('/')}/"
+    plain = lambda path: path.split(":", 1)[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if plain(folder).startswith(f"{plain(root)}table-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
