@@ -146,41 +146,51 @@ perms AS (
   SELECT i, ({_hash60(f"'{SMALL.seed}:mul:' || i")} | 1)::HUGEINT AS mul, {_hash60(f"'{SMALL.seed}:add:' || i")}::HUGEINT AS add
   FROM range({SMALL.buckets * SMALL.rows}) AS t(i)),
 mixes AS (SELECT i, ({_hash60(f"'{SMALL.seed}:mix:' || i")} | 1)::HUGEINT AS mix FROM range({SMALL.rows}) AS t(i)),"""
-_ONE = _PERMS + _clusters_sql("documents", "1")
-_BY_SOURCE = _PERMS + _clusters_sql("documents", "1", "source")
-_TWO = (
-    _BY_SOURCE
-    + ", left_over AS (SELECT d.* FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM clusters1 WHERE NOT keep)),"
-    + _clusters_sql("left_over", "2", bands="""
+def sql_over(prefix: str, bands: str, bands_by_source: str) -> dict[str, str]:
+    """The checks of all queries on tables ``bands1`` of the whole and by source, however these are made."""
+    one = f"{prefix} {_clusters_sql('documents', '1', bands=bands)}"
+    by_source = f"{prefix} {_clusters_sql('documents', '1', 'source', bands=bands_by_source)}"
+    two = (
+        by_source
+        + ", left_over AS (SELECT d.* FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM clusters1 WHERE NOT keep)),"
+        + _clusters_sql("left_over", "2", bands="""
 bands2 AS (SELECT doc_id, '' AS scope, bucket, band_hash FROM bands1 WHERE doc_id IN (SELECT doc_id FROM left_over))""")
-    + """, decided AS (
+        + """, decided AS (
   SELECT d.doc_id, d.source, length(d.text)::BIGINT AS doc_len, coalesce(a.cluster_id, b.cluster_id) AS cluster_id,
     CASE WHEN a.doc_id IS NOT NULL THEN 'dedup_scope' WHEN b.doc_id IS NOT NULL THEN 'dedup_all' END AS stage,
     CASE WHEN a.doc_id IS NOT NULL THEN 0 WHEN b.doc_id IS NOT NULL THEN 1 ELSE 2 END AS rank
   FROM documents d LEFT JOIN (SELECT * FROM clusters1 WHERE NOT keep) a USING (doc_id)
     LEFT JOIN (SELECT * FROM clusters2 WHERE NOT keep) b USING (doc_id))"""
-)
-
-SQL = {
-    "minhash_bands": f"WITH {_PERMS} {_bands_sql('documents', '1')} SELECT doc_id, bucket, band_hash FROM bands1",
-    "minhash_matches": f"""WITH {_PERMS} {_bands_sql('documents', '1')}
+    )
+    return {
+        "minhash_bands": f"WITH {prefix} {bands} SELECT doc_id, bucket, band_hash FROM bands1",
+        "minhash_matches": f"""WITH {prefix} {bands}
         SELECT DISTINCT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY bucket, band_hash) AS first_id FROM bands1)
         WHERE first_id < doc_id""",
-    "exact_copies": "SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents) WHERE first_id < doc_id",
-    "duplicate_clusters": f"WITH {_ONE} SELECT * FROM clusters1",
-    "duplicate_clusters_by_source": f"WITH {_BY_SOURCE} SELECT * FROM clusters1",
-    "dedup_filter": f"""WITH {_ONE} SELECT d.doc_id, cluster_id, cluster_size, coalesce(keep, true) AS keep
+        "duplicate_clusters": f"WITH {one} SELECT * FROM clusters1",
+        "duplicate_clusters_by_source": f"WITH {by_source} SELECT * FROM clusters1",
+        "dedup_filter": f"""WITH {one} SELECT d.doc_id, cluster_id, cluster_size, coalesce(keep, true) AS keep
         FROM documents d LEFT JOIN clusters1 USING (doc_id)""",
-    "dedup_by_source_then_all": f"WITH {_TWO} SELECT doc_id, stage, cluster_id FROM decided",
-    "dedup_funnel": f"""WITH {_TWO}, counts AS ({counts_sql(DEDUP_STAGES, 'decided')})
+        "dedup_by_source_then_all": f"WITH {two} SELECT doc_id, stage, cluster_id FROM decided",
+        "dedup_funnel": f"""WITH {two}, counts AS ({counts_sql(DEDUP_STAGES, 'decided')})
         SELECT * REPLACE (round(doc_len_avg, 6) AS doc_len_avg) FROM counts""",
-    "tokens_before_and_after_dedup": f"""WITH {_ONE}, sized AS (
+        "tokens_before_and_after_dedup": f"""WITH {one}, sized AS (
           SELECT d.source, coalesce(c.keep, true) AS keep, len(regexp_extract_all(d.text, '{tx.TOKEN}')) AS n
           FROM documents d LEFT JOIN clusters1 c USING (doc_id))
         SELECT source, sum(n)::BIGINT AS tokens_before, coalesce(sum(n) FILTER (keep), 0)::BIGINT AS tokens_after FROM sized GROUP BY source""",
-}
-SQL["second_crawl"] = f"""WITH {_ONE}, members AS (
+        "second_crawl": f"""WITH {one}, members AS (
           SELECT doc_id, source, coalesce(cluster_id, -1 - doc_id) AS c, cluster_id FROM documents LEFT JOIN clusters1 USING (doc_id) WHERE text IS NOT NULL),
         firsts AS (SELECT c, min(doc_id) FILTER (source <> '{FIRST_CRAWL}') AS first_new, bool_or(source = '{FIRST_CRAWL}') AS old FROM members GROUP BY c)
-        SELECT doc_id, cluster_id, NOT old AND doc_id = first_new AS keep FROM members JOIN firsts USING (c) WHERE source <> '{FIRST_CRAWL}'"""
-SQL = {name if name == "exact_copies" else f"{name}_14x8": sql for name, sql in SQL.items()}
+        SELECT doc_id, cluster_id, NOT old AND doc_id = first_new AS keep FROM members JOIN firsts USING (c) WHERE source <> '{FIRST_CRAWL}'""",
+    }
+
+
+SQL = {f"{name}_14x8": sql for name, sql in sql_over(_PERMS, _bands_sql("documents", "1"), _bands_sql("documents", "1", "source")).items()}
+SQL["exact_copies"] = "SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents) WHERE first_id < doc_id"
+
+# The same checks over a table of bands of any size that is already there as ``stored_bands``.
+OVER_STORED_BANDS = sql_over(
+    "RECURSIVE",
+    "bands1 AS (SELECT doc_id, '' AS scope, bucket, band_hash FROM stored_bands)",
+    "bands1 AS (SELECT doc_id, source AS scope, bucket, band_hash FROM stored_bands JOIN documents USING (doc_id))",
+)
