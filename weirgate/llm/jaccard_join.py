@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +49,9 @@ SUBCLASS = 40
 # Up to this many candidates, their places are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1 << 19
 
-# Sets verified against each other in one tile: one block, or two.
+# Sets verified against each other in one tile: one block, or two, of so many sets and tokens.
 BLOCK = 1024
+BLOCK_TOKENS = 1 << 20
 # Up to this many sets are compared pair by pair, more by a matrix product.
 FEW = 16
 
@@ -120,17 +122,27 @@ def signatures(n: int, low: np.ndarray, more: np.ndarray, repeated: np.ndarray,
     return np.unique(np.concatenate(found))
 
 
+def flat_lists(column: pa.Array) -> tuple[list[int], pa.Array]:
+    """Where each list begins and ends, and the values of all; a null list is empty."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return [0, *np.cumsum(sizes).tolist()], column.flatten()
+
+
 def _signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Signatures of ``(doc_id, n, low, more, known)``; a known token is a pair ``(token, frequent)``."""
 
-    def tokens(values: list | None) -> np.ndarray:
-        return np.sort(np.array(values or [], np.int64).view(np.uint64))
-
-    for batch in batches:
+    for batch in slices(batches):
         held, size = [], 0
-        for doc, n, low, more, known in zip(*(c.to_pylist() for c in batch.columns)):
-            repeated, frequent = (tokens([k["token"] for k in known or [] if k["frequent"] == f]) for f in (False, True))
-            sigs = signatures(n, tokens(low), tokens(more), repeated, frequent, percent)
+        docs, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        (low_at, low), (more_at, more), (known_at, known) = (flat_lists(batch.column(i)) for i in (2, 3, 4))
+        token, often = (known.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        tokens = lambda values: np.sort(values.view(np.uint64))
+        low, more, token = (x.astype(np.int64) for x in (low.to_numpy(zero_copy_only=False), more.to_numpy(zero_copy_only=False), token))
+        often = often.astype(bool)
+        for i, (doc, n) in enumerate(zip(docs, sizes)):
+            part = slice(known_at[i], known_at[i + 1])
+            repeated, frequent = (tokens(token[part][often[part] == f]) for f in (False, True))
+            sigs = signatures(n, tokens(low[low_at[i] : low_at[i + 1]]), tokens(more[more_at[i] : more_at[i + 1]]), repeated, frequent, percent)
             if len(sigs):
                 held.append((doc, sigs.view(np.int64)))
                 size += len(sigs)
@@ -291,8 +303,9 @@ def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, per
     band = lambda n: F.floor(F.log(n) / float(np.log(BAND_RATIO)))
     bands = F.explode(F.sequence(band(F.ceil(F.col("n") * percent / 100)), band(F.col("n"))))
     sized = some.select(F.col("doc_id").alias("node"), "n").join(candidates, "node")
-    banded = sized.select("node", "component", bands.alias("band")).distinct()
-    blocks = banded.groupBy("component", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    banded = sized.select("node", "component", "n", bands.alias("band")).groupBy("node", "component", "band").agg(F.max("n").alias("n"))
+    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    blocks = banded.groupBy("component", "band").agg(needed.alias("blocks"))
     block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
     placed = banded.join(blocks, ["component", "band"]).select("component", "band", "blocks", block.alias("block"), F.col("node").alias("doc_id"))
     placed = materialise(placed)
