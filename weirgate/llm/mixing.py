@@ -3,7 +3,8 @@
 Documents of a source are dealt to shards. Each shard's words, in a seeded order of its
 documents, are cut into blocks of equal length. Highest quotients give every source a whole
 number of blocks, then every shard of the source; the shard takes that many blocks of its
-stream in a seeded order, going through the stream again when the quota exceeds it.
+stream in a seeded order, going through the stream again when the quota exceeds it. Sources
+whose target is no more than a few blocks share theirs among themselves, in blocks of a word.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from weirgate.session import materialise
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
 BLOCK_WORDS = 50
+# A source with a target below so many blocks is apportioned by words.
+FEW_BLOCKS = 20
 SHARD_DOCUMENTS = 2_000
 SEED = 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,19 +83,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, repeats:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def _blocks(words: Column, block: int) -> Column:
-    return F.ceil(words / F.lit(block)).cast("long")
+def _blocks(words: Column) -> Column:
+    return F.ceil(words / F.col("block")).cast("long")
 
 
-def _quotas(frames: Iterator[pd.DataFrame], votes: str, most: str, seats: str) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames), ignore_index=True)
-    if len(rows):
-        rows["quota"] = sainte_lague(rows[votes].to_numpy(), rows[most].to_numpy(), int(rows[seats].iloc[0]))
-        yield rows
-
-
-def _source_quotas(frames):
-    return _quotas(frames, "target", "most", "blocks")
+def _source_quotas(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("source_no", ignore_index=True)
+    rows["quota"] = sainte_lague(rows["target"].to_numpy(), rows["most"].to_numpy(), int(rows["blocks"].iloc[0]))
+    return rows
 
 
 def _shard_quotas(rows: pd.DataFrame) -> pd.DataFrame:
@@ -137,35 +135,38 @@ def mix_sources(
         totals.select(F.col("source").alias("_s"), "documents"), F.equal_null("source", "_s")
     )
     everywhere = Window.partitionBy(F.lit(0))
-    numbered = targets.select(
+    same_block = Window.partitionBy("block")
+    blocked = targets.withColumn("block", F.when(F.col("target") < FEW_BLOCKS * block, 1).otherwise(block))
+    numbered = blocked.select(
         F.row_number().over(everywhere.orderBy(F.col("source").isNull(), F.encode("source", "utf-8"))).alias("source_no"),
         "source",
         "source_size",
         F.col("target"),
         F.greatest(F.lit(1), F.ceil(F.col("documents") / shard_documents)).cast("long").alias("shards"),
-        F.round(F.sum("target").over(everywhere) / block).cast("long").alias("blocks"),
-        F.ceil(F.col("source_size") * repeats / F.lit(block)).cast("long").alias("most"),
+        "block",
+        F.round(F.sum("target").over(same_block) / F.col("block")).cast("long").alias("blocks"),
+        F.ceil(F.col("source_size") * repeats / F.col("block")).cast("long").alias("most"),
     )
-    kinds = "source_no int, source string, source_size long, target double, shards long, blocks long, most long, quota long"
-    sources = materialise(numbered.coalesce(1).orderBy("source_no").mapInPandas(_source_quotas, kinds))
+    kinds = "source_no int, source string, source_size long, target double, shards long, block int, blocks long, most long, quota long"
+    sources = materialise(numbered.groupBy("block").applyInPandas(_source_quotas, kinds))
 
     row = ["row"] if row_col else []
-    named = sources.select(F.col("source").alias("_s"), "source_no", "source_size", "target", "shards", "quota")
+    named = sources.select(F.col("source").alias("_s"), "source_no", "source_size", "target", "shards", "block", "quota")
     dealt = sized.join(named, F.equal_null("source", "_s")).select(
-        "doc_id", "size", "source_no", "source_size", "target", "quota",
+        "doc_id", "size", "source_no", "source_size", "target", "block", "quota",
         F.pmod(F.xxhash64("doc_id", F.lit(seed)), "shards").alias("shard"), *row,
     )
-    shards = dealt.groupBy("source_no", "shard").agg(F.sum("size").alias("words"), F.first("quota").alias("quota"))
-    shards = shards.withColumn("most", _blocks(F.col("words"), block) * repeats)
+    shards = dealt.groupBy("source_no", "shard").agg(F.sum("size").alias("words"), F.first("quota").alias("quota"), F.first("block").alias("block"))
+    shards = shards.withColumn("most", _blocks(F.col("words")) * repeats)
     quotas = shards.groupBy("source_no").applyInPandas(_shard_quotas, "source_no int, shard long, words long, shard_quota long")
 
     stream = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size")
     placed = dealt.withColumn("stop", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.join(quotas, ["source_no", "shard"]).withColumn("start", F.col("stop") - F.col("size"))
-    n = _blocks(F.col("words"), block)
+    n = _blocks(F.col("words"))
     placed = placed.withColumn("n", n).withColumn("whole", F.when(n > 0, F.floor(F.col("shard_quota") / n)).otherwise(0).cast("int"))
     placed = placed.withColumn("more", F.col("shard_quota") - F.col("whole") * F.col("n"))
-    ranges = F.when(F.col("size") == 0, F.array().cast("array<struct<start:long,stop:long>>")).otherwise(_taken_ranges(block, seed))
+    ranges = F.when(F.col("size") == 0, F.array().cast("array<struct<start:long,stop:long>>")).otherwise(_taken_ranges(seed))
     placed = placed.withColumn("ranges", ranges)
     whole = F.array_repeat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))), F.when(F.col("size") > 0, F.col("whole")).otherwise(0))
     part = F.when(F.size("ranges") > 0, F.array("ranges")).otherwise(F.array().cast("array<array<struct<start:long,stop:long>>>"))
@@ -174,11 +175,12 @@ def mix_sources(
     return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.concat(whole, part).alias("passes"), *row)
 
 
-def _taken_ranges(block: int, seed: int) -> Column:
+def _taken_ranges(seed: int) -> Column:
     """Word ranges of the document in those of its blocks that the last, partial pass takes.
 
     Block i comes at place ``(spread(i) + turn) mod n`` of the shard's seeded order.
     """
+    block = F.col("block").cast("long")
     first, last = F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block)
     turn = F.pmod(F.xxhash64(F.col("source_no"), F.col("shard"), F.lit(seed)), F.greatest("n", F.lit(1)))
     chosen = F.filter(F.sequence(first, last), lambda i: F.pmod(_spread(i, F.col("n")) + turn, F.col("n")) < F.col("more"))
