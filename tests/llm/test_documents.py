@@ -411,7 +411,7 @@ def test_pii_keeps_formats_and_links(spark):
         "to bosbt.42@mail8.example.com!", "iban DE89 3704 0044 0532 0130 00 not DE88 3704 0044 0532 0130 00", None, "",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    out = {r.doc_id: r for r in pii.pseudonymise(df, "k").collect()}
     kinds = [["card", "card"], ["card"], ["phone", "phone"], ["ipv4"], ["date", "date"], ["ssn"], ["mail"], ["iban"], [], []]
     assert [out[i].kinds for i in range(10)] == kinds
     first, second = re.findall(r"\d[\d-]{14,}\d", out[0].text)[:2]
@@ -433,7 +433,7 @@ def test_feistel_is_a_permutation(spark):
 
 
 def test_pii_on_odd_rows_changes_only_what_it_found(odd_documents):
-    got = pii.pseudonymise(odd_documents).collect()
+    got = pii.pseudonymise(odd_documents, "k").collect()
     assert sorted(((r.doc_id, r.text) for r in got if not r.kinds), key=repr) == sorted(pairs(odd_documents), key=repr)
 
 
@@ -450,6 +450,6 @@ def test_empty_tables(spark, odd_documents):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     for df in (
         exact_dedup.exact_dedup(none), jaccard_join.jaccard_join(none), repeats.remove_repeats(none), bpe.encode_decode(none),
-        mixing.mix_sources(none), toxicity.score_toxicity(none, labels), pii.pseudonymise(none),
+        mixing.mix_sources(none), toxicity.score_toxicity(none, labels), pii.pseudonymise(none, "k"),
     ):
         assert df.collect() == []

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from weirgate.llm.common import table
 
 ROUNDS = 8
-KEY = "weirgate"
+
+# Country calling codes are prefix-free: 1 and 7, some of two digits, and three digits in the other zones.
+CALLING_CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 # Patterns by kind, tried in this order at each place of a text.
 MAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![\w-])"
@@ -110,11 +112,11 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def refilled(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced in turn by ``digits``."""
+def refilled(shape: Column, digits: Column, kind: str = "[0-9]") -> Column:
+    """``shape`` with its characters of a kind, its digits, replaced in turn by ``digits``."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     fill = lambda s, c: F.when(
-        c.rlike("^[0-9]$"), F.struct(F.concat(s["out"], F.substring(digits, s["at"] + 1, F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))
+        c.rlike(f"^{kind}$"), F.struct(F.concat(s["out"], F.substring(digits, s["at"] + 1, F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))
     ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at")))
     return F.aggregate(F.split(shape, ""), start, fill, lambda s: s["out"])
 
@@ -157,8 +159,8 @@ def iban_pseudonym(value: Column, key: str) -> Column:
 
 
 def phone_pseudonym(value: Column, key: str) -> Column:
-    """All digits but those of the country code permuted under it."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    """All digits but those of the country code permuted under it, however the phone is spaced."""
+    code = F.regexp_extract(value, CALLING_CODE, 0)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
     return F.concat(code, refilled(rest, permuted_digits(_digits(rest), F.concat(F.lit("phone"), code), key)))
 
@@ -211,23 +213,40 @@ def _ymd(d: Column) -> list[Column]:
 
 
 def mail_pseudonym(value: Column, key: str) -> Column:
-    """Letters and digits before the at sign permuted as digits in base 36; the domain stays."""
+    """Letters and digits before the at sign permuted, capitals among capitals; the domain stays.
+
+    Small letters and digits are permuted under the capitals, and the capitals then under what
+    the others became: both steps can be undone, so different addresses stay different.
+    """
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    marks = F.regexp_replace(local, "[A-Za-z0-9]", "0")
-    plain = F.lower(F.regexp_replace(local, "[^A-Za-z0-9]", ""))
-    pieces = F.regexp_extract_all(plain, F.lit("[a-z0-9]{1,20}"), F.lit(0))
-    done = F.array_join(F.transform(pieces, lambda x, i: _permuted_base36(x, F.concat(F.lit("mail"), i.cast("string")), key)), "")
-    return F.concat(refilled(marks, done), F.lit("@"), domain)
+    marks = F.regexp_replace(F.regexp_replace(local, "[a-z0-9]", "0"), "[A-Z]", "A")
+    small, capitals = F.regexp_replace(local, "[^a-z0-9]", ""), F.regexp_replace(local, "[^A-Z]", "")
+    done = _permuted_text(small, 36, F.concat(F.lit("mail"), capitals), key)
+    upper = lambda x: _permuted_text(capitals, 26, F.concat(F.lit("capitals"), x), key)
+    written = _let(done, lambda x: F.when(capitals == "", refilled(marks, x)).otherwise(refilled(refilled(marks, x), F.upper(upper(x)), "A")))
+    return F.concat(written, F.lit("@"), domain)
+
+
+def _permuted_text(text: Column, base: int, tweak: Column, key: str) -> Column:
+    """The text permuted in pieces of up to 20 characters: base 36, or base 26 for capitals."""
+    pieces = F.regexp_extract_all(text, F.lit("[A-Za-z0-9]{1,20}"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x, i: _permuted_piece(x, base, F.concat(tweak, i.cast("string")), key)), "")
 
 
-def _permuted_base36(x: Column, tweak: Column, key: str) -> Column:
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _permuted_piece(x: Column, base: int, tweak: Column, key: str) -> Column:
+    # Capitals are numbers in base 26 whose digits are written 0 to 9 and A to P.
+    plain = F.translate(x, LETTERS, "0123456789ABCDEFGHIJKLMNOP") if base == 26 else x
     u = F.floor(F.length(x) / 2).cast("int")
     v = F.length(x) - u
-    number = lambda s: F.conv(s, 36, 10).cast("long")
-    left = F.when(u > 0, number(F.substring(x, F.lit(1), u))).otherwise(_long(0))
-    found = permuted(left, number(F.substring(x, u + 1, v)), _power(36, u), _power(36, v), tweak, key)
-    text = lambda n, w: F.lpad(F.lower(F.conv(n.cast("string"), 10, 36)), w, "0")
-    return _let(found, lambda s: F.concat(F.when(u > 0, text(s["a"], u)).otherwise(""), text(s["b"], v)))
+    number = lambda s: F.conv(s, base, 10).cast("long")
+    left = F.when(u > 0, number(F.substring(plain, F.lit(1), u))).otherwise(_long(0))
+    found = permuted(left, number(F.substring(plain, u + 1, v)), _power(base, u), _power(base, v), tweak, key)
+    text = lambda n, w: F.lpad(F.lower(F.conv(n.cast("string"), 10, base)), w, "0")
+    whole = _let(found, lambda s: F.concat(F.when(u > 0, text(s["a"], u)).otherwise(""), text(s["b"], v)))
+    return F.translate(F.upper(whole), "0123456789ABCDEFGHIJKLMNOP", LETTERS) if base == 26 else whole
 
 
 def kind_of(value: Column) -> Column:
@@ -265,13 +284,16 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, kinds)``: the text with pseudonyms, and the kinds replaced, in order.
 
     Equal values of a kind have equal pseudonyms under one key, in every document. A value is
     replaced only if valid: cards by their Luhn digit, bank accounts by their remainder,
     addresses by their octets, social security numbers and dates (1800 to 2199) by their range.
-    Cards and accounts keep valid check digits. Whoever has the key can undo the permutation.
+    Cards and accounts keep valid check digits. Mail addresses that differ in case are different
+    values; a phone with its country code is one value however it is spaced, and another one
+    without the code. IPv6 addresses and national phones without separators are not found.
+    Whoever has the key can undo the permutation, so it has no default.
 
     A null text stays null and has no kinds; an empty one stays empty; null ids are kept;
     repeated rows are treated each. Long texts are read whole. Other columns are not read. An
@@ -289,6 +311,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_c
     return some.select("doc_id", text.alias("text"), F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"))
 
 
+# The query's own, for the given tables hold invented data only.
+QUERY_KEY = "op9 on invented documents"
+
+
 def query(spark, folder: str) -> DataFrame:
-    found = pseudonymise(table(spark, folder, "documents"))
+    found = pseudonymise(table(spark, folder, "documents"), QUERY_KEY)
     return found.select("doc_id", "text", F.array_join("kinds", ",").alias("kinds"), F.size("kinds").cast("long").alias("n_replaced"))
