@@ -4,6 +4,7 @@ import hashlib
 import html
 import pickle
 import re
+import time
 
 import numpy as np
 import pytest
@@ -109,6 +110,36 @@ def test_pages_by_hand(spark):
     assert main_text.extract_main_text(df.limit(0)).collect() == []
 
 
+LONG = "Some words of an article that go on for so long that nobody takes them for a menu or a caption of any kind at all."
+ODD_PAGES = [
+    ("<article><p>a\u200bb \ufeffc\u00a0d\u2003e</p></article>", "a\u200bb \ufeffc d e"),
+    (f"<article><p>{LONG} <a title=it's href=x>two</a> three</p></article>", f"{LONG} two three"),
+    (f"<article><p>{LONG} <a title=\"a > b\" href='c > d'>two</a></p></article>", f"{LONG} two"),
+    (f'<div class="content no-sidebar"><p>{LONG}</p></div>', LONG),
+    (f'<div id="main" class="has-sidebar"><p>{LONG}</p></div>', LONG),
+    (f'<div class="post related-off"><p>{LONG}</p></div>', LONG),
+    (f'<article><section id="advertising-history"><p>{LONG}</p></section></article>', LONG),
+    (f"<form action=x><nav><a href=y>Menu</a></nav><article><p>{LONG}</p><form><p>{LONG}</p></form></article><p>{LONG}</p></form>", LONG),
+    (f"<article><p>{LONG} one<script>var x = '</p>';</script> two</p></article>", f"{LONG} one two"),
+    (f"<article><!--><p>{LONG}</p><!---><p>Two.</p><!-- <p>no</p> --!><p>Three.</p></article>", f"{LONG}\nTwo.\nThree."),
+    (f'<article><p>{LONG}</p><div class="comment-text"><p>{LONG}</p></div><div class="siteFooter">x</div></article>', LONG),
+    (f'<article><p data-class="ad">{LONG}</p><p class="ad-slot">Buy</p></article>', LONG),
+]
+
+
+@pytest.mark.parametrize("page,text", ODD_PAGES)
+def test_odd_pages(page, text):
+    assert main_text.main_text(page, main_text.trained_tree()) == text
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<a b='\"", "<a b=", "<p ", "<!-", "<script>", "<div><p>", "</", "&amp", "='", "<svg>"])
+def test_hostile_pages_take_linear_time(piece):
+    page = f"<article>{piece * (500_000 // len(piece))}"
+    start = time.process_time()
+    main_text.main_text(page, main_text.trained_tree())
+    assert time.process_time() - start < 10
+
+
 def test_pages_without_markup_that_tells():
     long = "Some words of the text go on for quite a while, so that the paragraph has more than two dozen words in it and is taken for text. " * 2
     page = f"<div><a href=a>One</a> <a href=b>Two</a></div><div><p>{long}</p><p>Short one.</p><p>{long}</p></div><div><a href=c>More links here</a></div><div>Imprint</div>"

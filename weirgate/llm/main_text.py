@@ -23,13 +23,22 @@ from weirgate.llm.common import in_batches, slices, table
 TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 TEXT_DDL = "page_id long, url string, text string"
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-SPACE = re.compile(r"[\s​﻿]+")
+# A quote opens a value only after an equals sign; nothing is tried twice, so a page with any number
+# of open quotes or tags is read in one go.
+PIECE = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)",
+    re.S,
+)
+SPACE = re.compile(r"\s+")
 WORD = re.compile(r"\w+")
-NAMES = re.compile(r"""(?:class|id|role|itemprop|data-role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role|itemprop|data-role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 # Elements whose content is no text of the page.
 SKIPPED = frozenset("script style noscript template head title textarea select option svg math iframe object canvas audio video button datalist".split())
+CLOSING = {name: re.compile(rf"</{name}\s*(?:>|\Z)", re.I) for name in SKIPPED}
+# Of these, what ends a line of text; the others stand within one.
+APART = frozenset("head title textarea".split())
 # Elements that stand within a line of text; any other tag ends a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -47,7 +56,13 @@ AROUND_NAMES = frozenset(
     " sharing social related recommended recommendations trending popular pagination pager toolbar skip copyright contentinfo complementary".split()
 )
 CONTENT_NAMES = frozenset("article content story post entry main body articlebody maintext text".split())
-NAME_WORD = re.compile(r"[a-z]+")
+# Words that say no more of a name than its place, and words that make a name a mere setting.
+FILLERS = CONTENT_NAMES | frozenset(
+    "area bar block bottom box center col column container desktop div first global group head header holder inner item items large last left line link links list mobile"
+    " module outer page panel posts right row section site slot small tabs title top unit view wrap wrapper zone".split()
+)
+SETTINGS = frozenset("no not non has have with without off on is hide hidden show enabled disabled open closed".split())
+NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "within", "around")
 
@@ -109,7 +124,11 @@ def is_main(tree: tuple, features: tuple) -> bool:
 
 
 def _kind(name: str, rest: str) -> int:
-    """2 for an element around an article, 1 for one that holds it, 0 for any other."""
+    """2 for an element around an article, 1 for one that holds it, 0 for any other.
+
+    A name counts if all its words belong to names of that kind: ``cookie-notice`` is around,
+    ``advertising-history`` is not, and ``no-sidebar`` is a setting of something else.
+    """
     if name in AROUND:
         return 2
     if name in CONTENT:
@@ -117,12 +136,15 @@ def _kind(name: str, rest: str) -> int:
     if name in ("body", "html") or "=" not in rest:
         return 0
     found = 0
-    for values in NAMES.findall(rest):
-        words = {*NAME_WORD.findall(" ".join(values).lower())}
-        if words & AROUND_NAMES:
-            return 2
-        if words & CONTENT_NAMES:
-            found = 1
+    for attribute, *values in NAMES.findall(rest):
+        for token in "".join(values).split():
+            words = {w.lower() for w in NAME_WORD.findall(token)}
+            if words & SETTINGS:
+                continue
+            if words & AROUND_NAMES and words <= AROUND_NAMES | FILLERS:
+                return 2
+            if words & CONTENT_NAMES and words <= FILLERS:
+                found = 1
     return found
 
 
@@ -131,8 +153,8 @@ class _Blocks:
 
     def __init__(self):
         self.blocks: list[tuple[str, int, float, int, int]] = []  # text, words, link density, within, around
-        self.open: list[tuple[str, int]] = []
-        self.within = self.around = self.links = 0
+        self.open: list[tuple[str, int, int]] = []  # name, kind, forms that do not count inside
+        self.within = self.around = self.forms = self.links = 0
         self.text: list[str] = []
         self.linked: list[str] = []
 
@@ -166,9 +188,12 @@ class _Blocks:
         kind = _kind(name, rest)
         if name == "header":
             kind = 0 if self.within else 2
-        self.open.append((name, kind))
+        # A form around a whole page is no surroundings of the article in it.
+        aside = self.forms if kind == 1 else 0
+        self.open.append((name, kind, aside))
         self.within += kind == 1
-        self.around += kind == 2
+        self.around += (kind == 2) - aside
+        self.forms += (name == "form") - aside
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -177,20 +202,21 @@ class _Blocks:
             return
         self.end_block()
         self.links = 0
-        if any(n == name for n, _ in self.open):
+        if any(entry[0] == name for entry in self.open):
             while self._close() != name:
                 pass
 
     def _close(self) -> str:
-        name, kind = self.open.pop()
+        name, kind, aside = self.open.pop()
         self.within -= kind == 1
-        self.around -= kind == 2
+        self.around += aside - (kind == 2)
+        self.forms += aside - (name == "form")
         return name
 
 
 def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
     """The text blocks of a page in order: text, words, link density, within, around."""
-    out, at, n = _Blocks(), 0, len(page)
+    out, at, n, closed = _Blocks(), 0, len(page), set()
     while at < n:
         m = PIECE.search(page, at)
         if m is None:
@@ -206,10 +232,16 @@ def flat_blocks(page: str) -> list[tuple[str, int, float, int, int]]:
             out.end(name)
         elif name in SKIPPED:
             if not m[3].endswith("/"):
-                if name not in ("select", "option", "button"):
+                if name in APART:
                     out.end_block()
-                close = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else (n if name in ("script", "style", "textarea", "title") else at)
+                if name not in closed:
+                    close = CLOSING[name].search(page, at)
+                    if close:
+                        at = close.end()
+                    else:
+                        closed.add(name)  # none further on, so none is sought again
+                if name in closed and name in ("script", "style", "textarea", "title"):
+                    at = n
         else:
             out.start(name, m[3])
     out.end_block()
