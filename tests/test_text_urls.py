@@ -65,6 +65,38 @@ def test_main_text():
     assert main_text("<head><title>x</title><body><p>A body after an open head element.", config)[0] == "A body after an open head element."
 
 
+LONG = "Words enough to be taken for a paragraph."
+PAGES = [
+    ("""<html><head><title>T</title></head><body><nav><p>Menu entries of this site, many of them</p></nav><!-- no -->
+      <article><h1>Head &amp; line</h1><p>First paragraph that is long enough.<br>Second part that is long enough.</p>
+      <p>short</p><p><a href=x>All of this long block is one link to elsewhere</a></p><script>var t='</p>';</script></article>
+      <footer>Footer text that is long enough to be kept</footer></body></html>""", "Head & line\nFirst paragraph that is long enough.\nSecond part that is long enough."),
+    (None, None), ("", None), ("<p>short</p>", None),
+    ("<head><title>x</title><body><p>A body after an open head element.", "A body after an open head element."),
+    (f"<nav><nav><p>{LONG}</p></nav><p>{LONG}</p></nav><p>{LONG}</p></nav><p>{LONG}", f"{LONG}\n{LONG}"),
+    (f"<aside><form><p>{LONG}</p></form></aside><P>{LONG}</P><footer>{LONG}", LONG),
+    ("<p>&#73;t&#x2019;s&nbsp;&nbsp;&copy; &unknown; &#xD800; &#1114112; &amp;lt; &lt;b&gt; &NotEqualTilde;</p>", "It\u2019s \u00a9 &unknown; &#xD800; &#1114112; &lt; <b> \u2242\u0338"),
+    (f"<p>{LONG} <a href=x>linked</a> {LONG}</p><p>{LONG} <a>{LONG} {LONG}</a></p>", f"{LONG} linked {LONG}"),
+    (f"<p>one\x01two\x02\x03 {LONG}</p>", f"one two {LONG}"),
+    (f"<h2>Head</h2><h2>  </h2><textarea><p>{LONG}</p>", "Head"),
+]
+
+
+def test_main_text_as_an_expression(spark):
+    df = spark.createDataFrame([(i, page, "x") for i, (page, _) in enumerate(PAGES)], "id long, raw string, text2 string")
+    found = extract_text(df)
+    assert not re.search("Python|Pandas|ArrowEval|InArrow", found._jdf.queryExecution().executedPlan().toString())
+    assert {r.id: r.text for r in found.collect()} == {i: text for i, (_, text) in enumerate(PAGES)}
+    assert extract_text(df.limit(0)).collect() == []
+
+
+def test_the_expression_agrees_with_the_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", F.col("html").alias("raw"))
+    plain = {r.page_id: r.text for r in extract_text(pages).collect()}
+    timed = {r.page_id: r.text for r in extract_text(pages, config=ExtractConfig(time_limit_s=60)).collect()}
+    assert sum(plain[i] == timed[i] for i in plain) > 0.95 * len(plain)
+
+
 def test_extraction_leaves_no_markup(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", F.col("html").alias("raw"))
     texts = extract_text(pages).collect()

@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from weirgate.functions import pagetext
 from weirgate.functions.maintext import ExtractConfig, main_text
 
 
-def extracted(html: Column, config: ExtractConfig = ExtractConfig()) -> Column:
-    """The struct ``(text, timed_out)`` of a page; a null text where nothing is left."""
+def timed(html: Column, config: ExtractConfig) -> Column:
+    """The struct ``(text, timed_out)`` of a page, read by a parser that stops after a time."""
 
     def batch(pages: pa.Array) -> pa.Array:
         found = [main_text(page.as_py(), config) for page in pages]
@@ -25,9 +26,13 @@ def extracted(html: Column, config: ExtractConfig = ExtractConfig()) -> Column:
 def extract_text(pages: DataFrame, raw: str = "raw", text: str = "text", config: ExtractConfig = ExtractConfig()) -> DataFrame:
     """Replace the markup column by its main text. Pages without any get a null.
 
-    With a time limit set, a column ``timed_out`` tells pages that ran out of time from empty ones.
+    The work is one expression. Only with a time limit, which an expression cannot keep, a parser
+    reads page by page, and a column ``timed_out`` tells pages that ran out of time from empty ones.
     """
     kept = [c for c in pages.columns if c != raw]
-    found = pages.select(*kept, extracted(F.col(raw), config).alias("_found"))
-    limit = [F.col("_found.timed_out").alias("timed_out")] if config.time_limit_s is not None else []
-    return found.select(*kept, F.col("_found.text").alias(text), *limit)
+    if config.time_limit_s is not None:
+        found = pages.select(*kept, timed(F.col(raw), config).alias("_found"))
+        return found.select(*kept, F.col("_found.text").alias(text), F.col("_found.timed_out").alias("timed_out"))
+    body = pagetext.main_text(F.col(raw), config.min_block_chars, config.max_link_share)
+    # Going through a generator keeps later filters on the text above it, so it is made once.
+    return pages.select(*kept, F.inline(F.array(F.struct(body.alias(text)))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirgate.functions import pagetext
+from weirgate.functions.maintext import ExtractConfig
 from weirgate.operators.dedup import dedup_by_scope_then_all
 from weirgate.operators.extract import extract_text
 from weirgate.operators.quality import filter_documents
@@ -106,6 +108,62 @@ def pages_to_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return corpus(pages).select("id", "source", "stage", "reason", F.length("text").alias("text_chars"))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _decoded_sql(x: str) -> str:
+    """The text of ``x`` with its character references replaced; ``names`` is a map of the named ones."""
+    body = "substr(refs[i], 2, length(refs[i]) - 2)"
+    number = f"CASE WHEN {body} LIKE '#x%' OR {body} LIKE '#X%' THEN CAST('0x' || substr({body}, 3) AS BIGINT) WHEN {body} LIKE '#%' THEN CAST(substr({body}, 2) AS BIGINT) END"
+    valid = f"({number}) > 0 AND ({number}) < 1114112 AND NOT ({number}) BETWEEN 55296 AND 57343"
+    one = f"CASE WHEN i > len(refs) THEN '' WHEN {valid} THEN chr(CAST({number} AS INTEGER)) WHEN {body} LIKE '#%' THEN refs[i] ELSE coalesce(names[{body}], refs[i]) END"
+    gaps, refs = f"string_split_regex({x}, '{pagetext.ENTITY}')", f"regexp_extract_all({x}, '{pagetext.ENTITY}')"
+    return f"array_to_string(list_transform(range(1, len({gaps}) + 1), lambda i: ({gaps})[i] || {one.replace('refs', f'({refs})')}), '')"
+
+
+def main_text_sql() -> str:
+    names = pagetext.entity_names()
+    listed = lambda values: f"string_split({_quoted(chr(1).join(values))}, chr(1))"
+    sub = lambda x, pattern, new: f"regexp_replace({x}, '{pattern}', {new}, 'g')"
+    plain = sub(f"translate(html, {_quoted(pagetext.OPEN + pagetext.CLOSE + pagetext.HEAD)}, '   ')", pagetext.DROPPED, "''")
+    body = sub("kept", pagetext.SPACE, "' '")
+    for pattern, new in ((pagetext.HEADING, "chr(10) || chr(3)"), (pagetext.BLOCK, "chr(10)"), (pagetext.LINK, "chr(1)"), (pagetext.LINK_END, "chr(2)"), (pagetext.TAG, "''")):
+        body = sub(body, pattern, new)
+    folded = lambda x: f"trim({sub(x, pagetext.WIDE_SPACE, _quoted(' '))})"
+    c = ExtractConfig()
+    return f"""
+WITH known AS MATERIALIZED (SELECT map({listed(names)}, {listed(names.values())}) AS names
+), plain AS (SELECT page_id, url, {plain} AS html FROM pages
+), pieces AS (
+  SELECT page_id, unnest(string_split_regex(html, '{pagetext.AROUND}')) AS piece, unnest(regexp_extract_all(html, '{pagetext.AROUND}')) AS tag,
+    generate_subscripts(string_split_regex(html, '{pagetext.AROUND}'), 1) AS i FROM plain
+), tags AS (
+  SELECT *, coalesce(regexp_matches(lower(tag), '^</?body') AND NOT ends_with(tag, '/>'), false) AS begins,
+    CASE WHEN tag IS NULL OR ends_with(tag, '/>') OR regexp_matches(lower(tag), '^</?body') THEN 0 WHEN starts_with(tag, '</') THEN -1 ELSE 1 END AS d FROM pieces
+), parts AS (
+  SELECT *, coalesce(sum(begins::INTEGER) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM tags
+), sums AS (
+  SELECT *, coalesce(sum(d) OVER (PARTITION BY page_id, part ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM parts
+), depths AS (
+  SELECT *, s - least(0, min(s) OVER (PARTITION BY page_id, part ORDER BY i)) AS depth FROM sums
+), bodies AS (
+  SELECT page_id, string_agg(piece, '<br>' ORDER BY i) AS kept FROM depths WHERE depth = 0 GROUP BY page_id
+), blocks AS (
+  SELECT page_id, unnest(string_split(b, chr(10))) AS b, generate_subscripts(string_split(b, chr(10)), 1) AS i FROM (SELECT page_id, {body} AS b FROM bodies)
+), bare AS (
+  SELECT page_id, i, b, regexp_replace(b, '[\x01\x02\x03]', '', 'g') AS t, regexp_extract_all(b, '\x01([^\x02]*)', 1) AS links FROM blocks WHERE regexp_matches(b, '[^ \x01\x02\x03]')
+), linked AS (
+  SELECT page_id, i, sum(length({folded(_decoded_sql('l'))})) AS n FROM (SELECT page_id, i, unnest(links) AS l FROM bare), known GROUP BY page_id, i
+), described AS (
+  SELECT page_id, i, {folded(_decoded_sql('t'))} AS t, starts_with(b, chr(3)) AS heading FROM bare, known
+), texts AS (
+  SELECT page_id, string_agg(t, chr(10) ORDER BY i) AS text FROM described LEFT JOIN linked USING (page_id, i)
+  WHERE t <> '' AND (heading OR length(t) >= {c.min_block_chars}) AND coalesce(n, 0) <= {c.max_link_share} * length(t) GROUP BY page_id
+)
+SELECT page_id AS id, url, text FROM pages LEFT JOIN texts USING (page_id)"""
+
+
 QUERIES = {
     "archive_slices": archive_slices,
     "page_lines": page_lines(False),
@@ -135,3 +193,4 @@ SQL = {
         CASE WHEN page_id % 10 NOT IN (4, 7) THEN false END AS has_script FROM listed JOIN pages USING (url)""",
 }
 SQL["merged_files"] = SQL["merged_frames"]
+SQL["main_texts"] = main_text_sql()
