@@ -200,7 +200,7 @@ def test_pipeline_stages_and_their_decisions(spark):
         assert all(w in own for w in words(r.text))  # in the document's order
         got[r.source] = got.get(r.source, 0) + len(words(r.text))
     for s, want in brute_targets(sizes).items():
-        assert abs(got.get(s, 0) - want) <= 2 * mixing.BLOCK_WORDS
+        assert abs(got.get(s, 0) - want) <= 3 * mixing.BLOCK_WORDS  # a shorter last block in each of three passes
     before, after, _ = steps["bpe"]
     library = Tokenizer.from_file(str(path("word_bpe_49k.json")))
     library.no_truncation(), library.no_padding()

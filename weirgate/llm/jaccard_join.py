@@ -51,7 +51,9 @@ BROADCAST_IDS = 1 << 19
 
 # Sets verified against each other in one tile: one block, or two, of so many sets and tokens.
 BLOCK = 1024
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
+# Rows of a tile whose links are listed at a time.
+ROWS = 64
 # Up to this many sets are compared pair by pair, more by a matrix product.
 FEW = 16
 
@@ -171,21 +173,24 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     """Sizes of the intersections of all sets on the left with all on the right."""
     every = left + right
     flat = np.concatenate(every)
-    row = np.repeat(np.arange(len(every)), [len(x) for x in every])
-    _, token, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    common = np.cumsum(counts > 1) - 1
-    there = counts[token] > 1
-    row, token = row[there], common[token[there]]
-    order = np.argsort(token, kind="stable")
-    row, token = row[order], token[order]
+    order = np.argsort(flat, kind="stable").astype(np.int32)
+    flat = flat[order]
+    row = np.repeat(np.arange(len(every), dtype=np.int32), [len(x) for x in every])[order]
+    del order
+    new = np.r_[True, flat[1:] != flat[:-1]][: len(flat)]
+    del flat
+    starts = np.flatnonzero(new)
+    often = np.diff(np.r_[starts, len(new)]) > 1  # of each distinct token
+    there = np.repeat(often, np.diff(np.r_[starts, len(new)]))
+    row, token = row[there], (np.cumsum(new[there], dtype=np.int32) - 1)
     out = np.zeros((len(left), len(right)), np.float32)
-    step = 2048
+    step = 1024
     for first in range(0, int(token[-1]) + 1 if len(token) else 0, step):
         a, b = np.searchsorted(token, [first, first + step])
         dense = np.zeros((len(every), step), np.float32)
         dense[row[a:b], token[a:b] - first] = 1
         out += dense[: len(left)] @ dense[len(left) :].T
-    return out.astype(np.int64)
+    return out
 
 
 def forest(ids: list[int], sets: list[np.ndarray], side: list[bool], across: bool, percent: int) -> Iterator[tuple[int, int]]:
@@ -217,12 +222,14 @@ def forest(ids: list[int], sets: list[np.ndarray], side: list[bool], across: boo
         return
     sizes = np.array([len(s) for s in sets])
     shared = _shared_counts([sets[i] for i in left], [sets[j] for j in right])
-    hits = _linked(shared, sizes[left][:, None], sizes[right][None, :], percent)
-    for x, y in zip(*(h.tolist() for h in np.nonzero(hits))):
-        i, j = left[x], right[y]
-        if find(i) != find(j):
-            root[find(i)] = find(j)
-            yield ids[i], ids[j]
+    for first in range(0, len(left), ROWS):
+        some = left[first : first + ROWS]
+        hits = _linked(shared[first : first + ROWS].astype(np.int64), sizes[some][:, None], sizes[right][None, :], percent)
+        for x, y in zip(*(h.tolist() for h in np.nonzero(hits))):
+            i, j = some[x], right[y]
+            if find(i) != find(j):
+                root[find(i)] = find(j)
+                yield ids[i], ids[j]
 
 
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
