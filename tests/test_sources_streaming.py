@@ -5,7 +5,7 @@ from weirgate.operators.worklist import WORKLIST_SCHEMA
 from weirgate.plans.corpus import STAGES, corpus
 from weirgate.operators.dedup import MinHashConfig
 from weirgate.operators import funnel
-from weirgate.registry.fixtures import encode_record
+from weirgate.registry.fixtures import encode_record, write_archives
 from weirgate.sources import files, warc
 from weirgate.streaming import fetch
 
@@ -28,6 +28,21 @@ def test_slices(spark, tmp_path):
     assert found == {0: "<p>ş</p>", 1: "answered", 2: None, 3: "x", 4: None, 10: None, 11: None, 12: None}
 
 
+def test_a_root_without_a_scheme_is_taken_as_spark_takes_it(spark, tmp_path):
+    """On a cluster, too: no session is refused, and its executors get the folder with its scheme."""
+    from pyarrow import fs
+
+    root = tmp_path / "a folder, 100%"
+    found = warc.qualified_root(spark, str(root))
+    assert found.startswith("file:/") and warc.qualified_root(spark, found) == found
+    system, path = warc.open_root(found)
+    assert isinstance(system, fs.LocalFileSystem) and path == str(root)
+    pages = spark.createDataFrame([(1, "u", "<p>ş</p>", "f"), (2, "v", None, "f")], "id long, url string, raw string, filename string")
+    stored = write_archives(pages, str(root)).collect()
+    requests = spark.createDataFrame(stored, "id long, url string, filename string, offset long, length long")
+    assert {r.id: r.raw for r in warc.read_slices(requests, str(root)).collect()} == {1: "<p>ş</p>", 2: None}
+
+
 def test_chunked_and_compressed_bodies():
     assert warc.http_body(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n2;x=1\r\nde\r\n0\r\n\r\n") == b"abcde"
     packed = warc.gzip.compress(b"page")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgate.functions.text import host_key
-from weirgate.sources.warc import check_root, open_root
+from weirgate.sources.warc import open_root, qualified_root
 
 
 def cdx_table(pages: DataFrame) -> DataFrame:
@@ -60,9 +60,9 @@ def write_archives(pages: DataFrame, archive_root: str, file_column: str = "file
     Each task writes its own file per name (a task number is added), so a name that most
     pages share is still written by many tasks. With ``flaws``, every tenth id (those that
     leave 4) has a record without a response, and every tenth (7) one of bytes that are not
-    UTF-8, so that reading them fails.
+    UTF-8, so that reading them fails. A null page has a record without a response, too.
     """
-    check_root(pages.sparkSession, archive_root)
+    archive_root = qualified_root(pages.sparkSession, archive_root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -80,7 +80,8 @@ def write_archives(pages: DataFrame, archive_root: str, file_column: str = "file
                         sinks[name] = system.open_output_stream(f"{root}/{name}", compression=None)
                     flaw = r["id"] % 10 if flaws else None
                     at = sinks[name].tell()
-                    data = encode_record(r["url"], r["raw"], "request" if flaw == 4 else "response", b"\xff\xfe" if flaw == 7 else b"")
+                    kind = "request" if flaw == 4 or r["raw"] is None else "response"
+                    data = encode_record(r["url"], r["raw"] or "", kind, b"\xff\xfe" if flaw == 7 else b"")
                     sinks[name].write(data)
                     out.append({"id": r["id"], "url": r["url"], "filename": name, "offset": at, "length": len(data)})
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_REQUEST))

@@ -81,23 +81,26 @@ def open_root(archive_root: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(archive_root) if ":/" in archive_root else (fs.LocalFileSystem(), archive_root)
 
 
-def check_root(spark: SparkSession, archive_root: str) -> None:
-    """Refuse a path without a scheme on a cluster: each executor would take its own disk."""
-    if ":/" not in archive_root and not spark.sparkContext.master.startswith("local["):
-        raise ValueError(f"give the archives' folder with its scheme, such as file:// or hdfs://, not {archive_root}")
+def qualified_root(spark: SparkSession, archive_root: str) -> str:
+    """The folder with its scheme; one without lies where Spark itself would look for it."""
+    if ":/" in archive_root:
+        return archive_root
+    path = spark._jvm.org.apache.hadoop.fs.Path(archive_root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
 
 
 def read_slices(requests: DataFrame, archive_root: str, slices: int | None = None) -> DataFrame:
     """``(id, url, raw)`` for requests ``(id, url, filename, offset, length)``.
 
-    ``archive_root`` is any location Arrow's file systems open. Requests are range-split by
+    ``archive_root`` is any location Arrow's file systems open; without a scheme it is taken in
+    Spark's default file system, the same for all executors. Requests are range-split by
     file and offset into tasks of about ``TASK_BYTES``, so a task reads neighbouring slices,
     and one archive with most of the requests is shared by many tasks. A missing file and a
     record without a readable response give null pages: they fail for good. A missing root
     or a denied read raises, so that Spark tries again and no list is marked as failed.
     """
     spark = requests.sparkSession
-    check_root(spark, archive_root)
+    archive_root = qualified_root(spark, archive_root)
     total = 0 if slices else requests.agg(F.sum("length")).first()[0] or 0
     n = slices or max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
 
