@@ -18,13 +18,31 @@ DUP_SIZES = (5, 6, 7, 8, 9, 10)
 REPETITION_FIELDS = [f"top_{n}_chars" for n in TOP_SIZES] + [f"dup_{n}_chars" for n in DUP_SIZES]
 
 
+# Words that are looked at together; only a longer document has more.
+REPETITION_WORDS = 1 << 17
+
+
 def repetition_chars(words: pa.Array) -> pa.Array:
     """Characters in repeated word n-grams, for a batch of word lists.
 
     ``top_n_chars``: occurrences times length of the most frequent n-gram (words joined by
     one space), 0 if none occurs twice; ties go to the longest. ``dup_n_chars``: lengths of
     the words covered by an occurrence after the first, each word once.
+
+    Documents are taken some at a time: a worker holds about twenty numbers for each of
+    their words, so a batch's size does not decide its memory.
     """
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    found, at = [], 0
+    while at < len(words) or not found:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + REPETITION_WORDS, "right")))
+        found.append(_repetition_chars(words.slice(at, to - at)))
+        at = to
+    return pa.concat_arrays(found)
+
+
+def _repetition_chars(words: pa.Array) -> pa.Array:
     n_docs = len(words)
     sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = words.flatten()
