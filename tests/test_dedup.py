@@ -287,3 +287,66 @@ def test_a_second_crawl_is_matched_without_hashing_the_first(spark, monkeypatch)
     assert grown.digests.count() == stored.digests.count() + len(got)
     again, _ = dd.dedup_new_crawl(spark.createDataFrame([(9999, "too short")], "doc_id long, text string"), grown, SMALL)
     assert [tuple(r) for r in again.collect()] == [(9999, 900, False)]
+
+
+@pytest.mark.parametrize("held, tasks", [(1 << 24, 3), (700, 3), (150, 40)])
+def test_slices_give_exactly_the_shared_bands(held, tasks, monkeypatch):
+    """Whatever a task holds, one bucket's documents dealt to several slices included; ids of any kind."""
+    import numpy as np
+    import pyarrow as pa
+
+    from weirgate.functions import kernels
+
+    monkeypatch.setattr(kernels, "SLICE_BANDS", held)
+    monkeypatch.setattr(kernels, "SLICE_ROWS", 100)
+    monkeypatch.setattr(kernels, "CHUNK_ROWS", 64)
+    monkeypatch.setattr(kernels, "OUT_ROWS", 50)
+    rng = np.random.default_rng(4)
+    bands = rng.integers(-(1 << 63), 1 << 63, (400, 12))
+    bands[210:270, :5] = bands[:60, :5]  # same scopes: 210 is a multiple of 21
+    bands[300:, 7] = 9  # a band that a quarter of the documents have
+    scope = [f"={i % 3}" if i % 7 else "" for i in range(400)]
+    ids = [f"d{i}" for i in range(400)]
+    sigs = pa.record_batch([pa.array(ids), pa.array(scope), pa.array(bands.tolist())], ["doc_id", "scope", "bands"])
+    parts = [sigs.slice(i, 150) for i in range(0, 400, 150)]
+    rows = pa.Table.from_batches([r for p in parts for r in kernels.slice_bands(iter([p]), 4800, tasks)]).sort_by("slice")
+    width, dealt = kernels.slicing(4800, 12, tasks)
+    assert rows["slice"].to_pylist()[-1] < -(-12 // width) * dealt and (dealt > 1) == (held == 150)
+    assert max(len(d) for d in rows["docs"]) <= 64
+    groups = {}
+    for i, b in enumerate(bands.tolist()):
+        for j, h in enumerate(b):
+            groups.setdefault((scope[i], j, h), []).append(ids[i])
+    want = sorted((d, s, j, h) for (s, j, h), found in groups.items() if len(found) > 1 for d in found)
+    found = kernels.repeated_bands(iter(rows.to_batches(max_chunksize=5)), 4800, tasks, 12)
+    assert sorted(t for b in found for t in zip(*(c.to_pylist() for c in b.columns))) == want and len(want) > 100
+
+
+def test_only_shared_bands_become_rows(spark):
+    rng = random.Random(8)
+    rows = [(i, "", [rng.randrange(1 << 62) for _ in range(40)]) for i in range(3000)]
+    rows[7] = (7, "", rows[5][2][:20] + rows[7][2][20:])
+    sigs = spark.createDataFrame(rows, "doc_id long, scope string, bands array<long>").repartition(5)
+    found = sorted(tuple(r) for r in dd.shared_bands(sigs, 120_000).collect())
+    assert found == sorted((i, "", j, rows[5][2][j]) for i in (5, 7) for j in range(20))
+    assert dd.shared_bands(sigs.where("false"), 0).count() == 0
+
+
+def test_shingles_and_bands_equal_the_definition():
+    import numpy as np
+    import pyarrow as pa
+
+    from weirgate.functions.kernels import MinHasher, hash60, shingle_hashes
+
+    words = "çok a b ş a b c çok a b ş".split()
+    want = {hash60(" ".join(words[i : i + 3])) for i in range(len(words) - 2)}
+    assert shingle_hashes(" ".join(words).encode(), 3).tolist() == sorted(want)
+    assert [len(shingle_hashes(t.encode(), n)) for t, n in (("", 1), ("a", 1), ("a b", 3), ("a b c", 3))] == [0, 1, 0, 1]
+    many = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 1500, dtype=np.uint64))
+    for buckets, rows in ((14, 8), (300, 20)):  # both ways to take the minimum
+        hasher = MinHasher(buckets, rows, 1)
+        low = np.min([hasher.mul * x + hasher.add for x in many], axis=0)
+        assert (hasher.bands(many) == (low.reshape(buckets, rows) * hasher.mix).sum(axis=1, dtype=np.uint64).view(np.int64)).all()
+    hasher = MinHasher(14, 8, 1)
+    found = hasher.batch(pa.array(["a b", None, " ".join(words)]), 3).to_pylist()
+    assert found[:2] == [None, None] and found[2] == hasher.bands(np.array(sorted(want), np.uint64)).tolist()

@@ -6,7 +6,6 @@ Each takes one Arrow batch and returns one; Spark partitions the documents.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,6 +91,23 @@ def hash60(text: str) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
 
+def shingle_hashes(words: bytes, size: int) -> np.ndarray:
+    """Distinct 60-bit hashes (see :func:`hash60`) of the word n-grams of ``words``, which have a space between them."""
+    gaps = np.flatnonzero(np.frombuffer(words, np.uint8) == 32)
+    count = len(gaps) + 2 - size
+    if not words or count <= 0:
+        return np.zeros(0, np.uint64)
+    starts, ends = [0, *(gaps + 1).tolist()], [*gaps.tolist(), len(words)]
+    md5 = hashlib.md5
+    digests = b"".join([md5(words[a:b]).digest() for a, b in zip(starts[:count], ends[size - 1 :])])
+    return np.unique(np.frombuffer(digests, ">u8")[::2].astype(np.uint64) >> np.uint64(4))
+
+
+# Hashes held at a time where there are few permutations, and how few shingles make that slower.
+HASH_CELLS = 1 << 16
+MIN_WIDTH = 64
+
+
 class MinHasher:
     """Band hashes of a shingle-hash set: min over a*x+b mod 2^64 per permutation, then
     one 64-bit combination per bucket."""
@@ -104,28 +120,37 @@ class MinHasher:
         self.mix = np.array([hash60(f"{seed}:mix:{i}") | 1 for i in range(rows)], np.uint64)
 
     def bands(self, shingles: np.ndarray) -> np.ndarray:
-        # One shingle against all permutations at a time: the working set is a few vectors
-        # of one value per permutation, however long the document is.
+        x = shingles.astype(np.uint64)
         low = np.full(len(self.mul), np.iinfo(np.uint64).max, np.uint64)
-        hashed = np.empty_like(low)
-        for x in shingles.astype(np.uint64):
-            np.multiply(self.mul, x, out=hashed)
-            np.add(hashed, self.add, out=hashed)
-            np.minimum(low, hashed, out=low)
+        width = HASH_CELLS // len(low)
+        if width >= MIN_WIDTH:  # few permutations: all of them against many shingles at a time
+            for at in range(0, len(x), width):
+                hashed = self.mul[:, None] * x[at : at + width]
+                hashed += self.add[:, None]
+                np.minimum(low, hashed.min(axis=1), out=low)
+        else:
+            # One shingle against all permutations at a time: the working set is a few vectors
+            # of one value per permutation, however long the document is.
+            hashed = np.empty_like(low)
+            for at in range(len(x)):
+                np.multiply(self.mul, x[at : at + 1], hashed)
+                np.add(hashed, self.add, hashed)
+                np.minimum(low, hashed, low)
         return (low.reshape(self.shape) * self.mix).sum(axis=1, dtype=np.uint64).view(np.int64)
 
-    def batch(self, shingles: pa.Array) -> pa.Array:
-        """Band hashes per document; null for an empty or null set. Equal sets are hashed once."""
+    def batch(self, words: pa.Array, size: int) -> pa.Array:
+        """Band hashes per document, from its words with a space between them; null for a
+        document without a shingle. Equal sets are hashed once."""
         known: dict[bytes, np.ndarray] = {}
         rows: list[np.ndarray | None] = []
-        for s in shingles:
-            if not s.is_valid or not len(s):
+        for text in words:
+            shingles = shingle_hashes(text.as_py().encode(), size) if text.is_valid else []
+            if not len(shingles):
                 rows.append(None)
                 continue
-            values = s.values.to_numpy(zero_copy_only=False)
-            key = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+            key = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
             if key not in known:
-                known[key] = self.bands(values)
+                known[key] = self.bands(shingles)
             rows.append(known[key])
         return pa.array(rows, pa.list_(pa.int64()))
 
@@ -184,77 +209,103 @@ def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield stars(held)
 
 
-# Cells of the largest band sketch: a task holds two bytes for each, the result has one bit.
-SKETCH_BITS = 26
-SLICE_BITS = 20
-# Documents whose bands are looked at together.
-SKETCH_ROWS = 2048
+# Bands of a slice that a task holds at a time, and the buckets it has at most.
+SLICE_BANDS = 1 << 24
+SLICE_BUCKETS = 8
+# Documents of a bucket that are worth a slice of their own.
+SLICE_ROWS = 1 << 16
+# Documents whose bands are looked at together, and rows of a result.
+CHUNK_ROWS = 2048
+OUT_ROWS = 1 << 16
 
 
-def band_cells(bands: np.ndarray, scope: np.ndarray, bits: int) -> np.ndarray:
-    """A cell of the sketch for each band (documents, buckets) within its scope."""
-    number = np.arange(1, bands.shape[1] + 1, dtype=np.uint64)
-    x = bands.view(np.uint64) ^ (number * np.uint64(0x9E3779B97F4A7C15))[None, :] ^ (scope.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))[:, None]
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, SKETCH_ROWS):
-            part = batch.slice(at, SKETCH_ROWS)
-            flat = part.column("bands").flatten().to_numpy(zero_copy_only=False)
-            yield part, flat.reshape(part.num_rows, -1), part.column("scope_hash").to_numpy(zero_copy_only=False)
-
+def slicing(total: int, buckets: int, tasks: int) -> tuple[int, int]:
+    """Buckets of a slice, and slices that the documents of a bucket are dealt to by their hash."""
+    docs = max(1, total // buckets)
+    width = max(1, min(SLICE_BUCKETS, SLICE_BANDS // docs, buckets // tasks))
+    parts = max(-(-docs // SLICE_BANDS), min(tasks // buckets, docs // SLICE_ROWS)) if width == 1 else 1
+    return width, max(1, parts)
 
-SKETCH = pa.schema([("slice", pa.int32()), ("seen", pa.binary()), ("twice", pa.binary())])
 
+def slice_bands(batches: Iterator[pa.RecordBatch], total: int, tasks: int) -> Iterator[pa.RecordBatch]:
+    """The bands of ``(doc_id, scope, bands)`` as rows ``(slice, docs, scopes, scope, bands)``.
 
-def sketch_bands(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Which cells a task's bands hit, and which they hit twice, as one row a slice."""
-    seen, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
-    for _, bands, scope in _band_rows(batches):
-        cells, n = np.unique(band_cells(bands, scope, bits), return_counts=True)
-        twice[cells[(n > 1) | seen[cells]]] = True
-        seen[cells] = True
-    width = 1 << min(bits, SLICE_BITS)
-    for i in range(0, 1 << bits, width):
-        if seen[i : i + width].any():
-            row = [zlib.compress(np.packbits(x[i : i + width]).tobytes(), 1) for x in (seen, twice)]
-            yield pa.RecordBatch.from_arrays([pa.array([i // width], pa.int32()), pa.array(row[:1], pa.binary()), pa.array(row[1:], pa.binary())], schema=SKETCH)
-
+    A row has the bands of some documents in a few buckets; ``scope`` numbers their ``scopes``.
+    Equal bands of a bucket are in one slice.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK_ROWS):
+            part = batch.slice(at, CHUNK_ROWS)
+            bands = part.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+            width, parts = slicing(total, bands.shape[1], tasks)
+            scopes = part.column("scope").dictionary_encode()
+            code = scopes.indices.to_numpy(zero_copy_only=False).astype(np.uint16)
+            names, docs, rows = scopes.dictionary.to_pylist(), part.column("doc_id"), []
+            for first in range(0, bands.shape[1], width):
+                cut = np.ascontiguousarray(bands[:, first : first + width].T)
+                number = first // width * parts
+                if parts == 1:
+                    rows.append((number, docs, code.tobytes(), cut.tobytes()))
+                    continue
+                share = ((cut[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(parts)
+                order = np.argsort(share, kind="stable")
+                for mine in np.split(order, np.flatnonzero(np.diff(share[order])) + 1):
+                    rows.append((number + int(share[mine[0]]), docs.take(pa.array(mine)), code[mine].tobytes(), cut[0][mine].tobytes()))
+            ends = np.cumsum([0, *(len(r[1]) for r in rows)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in rows], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([r[1] for r in rows])),
+                    pa.array([names] * len(rows), pa.list_(pa.string())), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary()),
+                ],
+                names=["slice", "docs", "scopes", "scope", "bands"],
+            )
+
+
+def repeated_bands(batches: Iterator[pa.RecordBatch], total: int, tasks: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, scope, bucket, band_hash)`` of the bands that two documents of a scope have.
+
+    Takes the rows of :func:`slice_bands` in the order of their slices.
+    """
+    width, parts = slicing(total, buckets, tasks)
+    at, held, names = None, [], {}
+
+    def found() -> Iterator[pa.RecordBatch]:
+        docs = pa.concat_arrays([d for d, _, _ in held])
+        scope = np.concatenate([s for _, s, _ in held])
+        listed = pa.array(list(names), pa.string())
+        for j in range(len(held[0][2])):
+            bands = np.concatenate([b[j] for _, _, b in held])
+            order = np.argsort(bands)
+            order = order[_in_runs(bands[order])]
+            if len(names) > 1:
+                order = order[np.lexsort((scope[order], bands[order]))]
+                order = order[_in_runs(bands[order], scope[order])]
+            bucket = at // parts * width + j
+            for i in range(0, len(order), OUT_ROWS):
+                rows = order[i : i + OUT_ROWS]
+                columns = [docs.take(pa.array(rows)), listed.take(pa.array(scope[rows])), pa.array(np.full(len(rows), bucket, np.int32)), pa.array(bands[rows])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "scope", "bucket", "band_hash"])
 
-def merge_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices in order, each from all tasks; ``seen`` is left empty."""
-    at, seen, twice = None, None, None
+    for batch in batches:
+        for i, number in enumerate(batch.column("slice").to_pylist()):
+            if held and number != at:
+                yield from found()
+                held, names = [], {}
+            at = number
+            docs = batch.column("docs")[i].values
+            local = np.array([names.setdefault(s, len(names)) for s in batch.column("scopes")[i].as_py()], np.int32)
+            scope = local[np.frombuffer(batch.column("scope")[i].as_buffer(), np.uint16)]
+            # A copy, so that no batch is kept for it.
+            bands = np.frombuffer(batch.column("bands")[i].as_buffer(), np.int64).reshape(-1, len(docs)).copy()
+            held.append((pa.concat_arrays([docs.slice(0, 0), docs]), scope, bands))
+    if held:
+        yield from found()
 
-    def row() -> pa.RecordBatch:
-        packed = zlib.compress(twice.tobytes(), 1)
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([b""], pa.binary()), pa.array([packed], pa.binary())], schema=SKETCH)
 
-    for batch in batches:
-        for number, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-            a, b = (np.frombuffer(zlib.decompress(x), np.uint8) for x in (a, b))
-            if number != at:
-                if at is not None:
-                    yield row()
-                at, seen, twice = number, a.copy(), b.copy()
-            else:
-                twice |= b | (seen & a)
-                seen |= a
-    if at is not None:
-        yield row()
-
-
-def repeated_bands(batches: Iterator[pa.RecordBatch], bits: int, slices: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, scope, bucket, band_hash)`` of the bands whose cell was hit twice."""
-    width = 1 << min(bits, SLICE_BITS)
-    twice = np.zeros(1 << bits, bool)
-    for i, packed in slices.items():
-        twice[i * width : (i + 1) * width] = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8))[:width]
-    for part, bands, scope in _band_rows(batches):
-        doc, bucket = np.nonzero(twice[band_cells(bands, scope, bits)])
-        at = pa.array(doc)
-        columns = [part.column("doc_id").take(at), part.column("scope").take(at), pa.array(bucket, pa.int32()), pa.array(bands[doc, bucket], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "scope", "bucket", "band_hash"])
+def _in_runs(*sorted_by: np.ndarray) -> np.ndarray:
+    """Which rows equal a neighbour in all of the columns that they are sorted by."""
+    same = np.logical_and.reduce([c[1:] == c[:-1] for c in sorted_by])
+    out = np.zeros(len(sorted_by[0]), bool)
+    out[1:] |= same
+    out[:-1] |= same
+    return out

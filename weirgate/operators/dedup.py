@@ -35,25 +35,13 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, scope: str | None) -> DataFr
     return docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), scope_key.alias("scope"), F.col(text).alias("text"))
 
 
-def shingle_hashes(word_list: str, size: int) -> Column:
-    """Distinct 60-bit hashes of the word n-grams in a column of word lists."""
-
-    def one(i: Column) -> Column:
-        shingle = F.array_join(F.slice(word_list, i, size), " ")
-        return F.conv(F.substring(F.md5(shingle), 1, 15), 16, 10).cast("long")
-
-    count = F.size(word_list) - F.lit(size - 1)
-    shingles = F.transform(F.sequence(F.lit(1), count), one)
-    return F.array_distinct(F.when(count > 0, shingles).otherwise(F.array().cast("array<bigint>")))
-
-
 def _band_hashes(config: MinHashConfig) -> Callable[[Column], Column]:
     hasher: list[MinHasher] = []
 
-    def bands(shingles: pa.Array) -> pa.Array:
+    def bands(words: pa.Array) -> pa.Array:
         if not hasher:  # built once per Python worker, not shipped
             hasher.append(MinHasher(config.buckets, config.rows, config.seed))
-        return hasher[0].batch(shingles)
+        return hasher[0].batch(words, config.shingle_words)
 
     # Declared non-deterministic so that filters on the bands stay above it and neither the
     # hashing nor the word lists below are computed twice.
@@ -68,9 +56,8 @@ def signatures(
     Text is lower-cased and reduced to its words; documents with fewer words than one
     shingle have no signature and are left out.
     """
-    worded = _keyed(docs, doc_id, text, scope).select("doc_id", "scope", tx.words(F.lower("text")).alias("_words"))
-    hashed = worded.select("doc_id", "scope", shingle_hashes("_words", config.shingle_words).alias("_shingles"))
-    return hashed.select("doc_id", "scope", _band_hashes(config)("_shingles").alias("bands")).where(F.col("bands").isNotNull())
+    worded = _keyed(docs, doc_id, text, scope).select("doc_id", "scope", F.array_join(tx.words(F.lower("text")), " ").alias("_words"))
+    return worded.select("doc_id", "scope", _band_hashes(config)("_words").alias("bands")).where(F.col("bands").isNotNull())
 
 
 def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: str | None = None) -> DataFrame:
@@ -82,32 +69,32 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
 def bucket_matches(sigs: DataFrame, config: MinHashConfig = MinHashConfig()) -> DataFrame:
     """``(doc_id, first_id)`` for documents that share a band with a smaller ``doc_id``.
 
-    Most bands are alone, so only those that a sketch has seen twice are shuffled. Each bucket
-    group becomes a star around its smallest id, so a group of k documents costs k rows, and
-    matches seen in several buckets are kept once. ``sigs`` is read three times.
+    Most bands are alone; a pass over slices of packed bands tells which are not, and only those
+    become rows. Each bucket group becomes a star around its smallest id, so a group of k documents
+    costs k rows, and matches seen in several buckets are kept once. ``sigs`` is read twice.
     """
     total = sigs.count() * config.buckets
-    rows = materialise(shared_bands(sigs, total))
+    rows = materialise(shared_bands(sigs, total, config.buckets))
     return _star(rows, ["scope", "bucket", "band_hash"], total).distinct()
 
 
-def shared_bands(sigs: DataFrame, total: int) -> DataFrame:
-    """``(doc_id, scope, bucket, band_hash)`` of all bands that two documents share, and a few more.
+def shared_bands(sigs: DataFrame, total: int, buckets: int | None = None) -> DataFrame:
+    """``(doc_id, scope, bucket, band_hash)`` of all bands that two documents of a scope share, and no others.
 
-    Tasks mark the cells of a sketch that their bands hit, and hit twice. The sketch has about
-    eight cells for each of the ``total`` bands, but never more than ``2 ** SKETCH_BITS``, so what
-    is broadcast, one bit a cell, is at most 8 MB. Beyond that size more bands pass for nothing;
-    none that is shared is ever lost.
+    The ``total`` bands, of ``buckets`` a document, travel once, as arrays: a slice has a few
+    buckets of all documents, or a part of one bucket's if they are many, and is sorted by a task
+    of its own. A band takes 8 bytes there, and its document 10 for all buckets of the slice.
     """
-    bits = min(kernels.SKETCH_BITS, max(16, (8 * total).bit_length()))
-    hashed = sigs.select("doc_id", "scope", F.xxhash64("scope").alias("scope_hash"), "bands")
-    parts = hashed.select("scope_hash", "bands").mapInArrow(lambda b: kernels.sketch_bands(b, bits), "slice int, seen binary, twice binary")
-    n = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = parts.repartition(n, "slice").sortWithinPartitions("slice")
-    merged = parts.mapInArrow(kernels.merge_sketches, "slice int, seen binary, twice binary").select("slice", "twice")
-    slices = {r["slice"]: bytes(r["twice"]) for r in merged.collect()}
+    if buckets is None:
+        first = sigs.select(F.size("bands").alias("n")).first()
+        buckets = first["n"] if first else 1
+    tasks = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     doc_id = dict(sigs.dtypes)["doc_id"]
-    return hashed.mapInArrow(lambda b: kernels.repeated_bands(b, bits, slices), f"doc_id {doc_id}, scope string, bucket int, band_hash long")
+    packed = sigs.select("doc_id", "scope", "bands").mapInArrow(
+        lambda b: kernels.slice_bands(b, total, tasks), f"slice int, docs array<{doc_id}>, scopes array<string>, scope binary, bands binary"
+    )
+    placed = packed.repartition(tasks, "slice").sortWithinPartitions("slice")
+    return placed.mapInArrow(lambda b: kernels.repeated_bands(b, total, tasks, buckets), f"doc_id {doc_id}, scope string, bucket int, band_hash long")
 
 
 def long_bands(sigs: DataFrame) -> DataFrame:
