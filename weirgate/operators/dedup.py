@@ -88,12 +88,14 @@ def shared_bands(sigs: DataFrame, total: int, buckets: int | None = None) -> Dat
     if buckets is None:
         first = sigs.select(F.size("bands").alias("n")).first()
         buckets = first["n"] if first else 1
-    tasks = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Two slices a core keep all busy; more would only carry the documents more often.
+    tasks = 2 * sigs.sparkSession.sparkContext.defaultParallelism
     doc_id = dict(sigs.dtypes)["doc_id"]
     packed = sigs.select("doc_id", "scope", "bands").mapInArrow(
         lambda b: kernels.slice_bands(b, total, tasks), f"slice int, docs array<{doc_id}>, scopes array<string>, scope binary, bands binary"
     )
-    placed = packed.repartition(tasks, "slice").sortWithinPartitions("slice")
+    n = int(sigs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = packed.repartition(n, "slice").sortWithinPartitions("slice")
     return placed.mapInArrow(lambda b: kernels.repeated_bands(b, total, tasks, buckets), f"doc_id {doc_id}, scope string, bucket int, band_hash long")
 
 
