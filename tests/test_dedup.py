@@ -350,3 +350,29 @@ def test_shingles_and_bands_equal_the_definition():
     hasher = MinHasher(14, 8, 1)
     found = hasher.batch(pa.array(["a b", None, " ".join(words)]), 3).to_pylist()
     assert found[:2] == [None, None] and found[2] == hasher.bands(np.array(sorted(want), np.uint64)).tolist()
+
+
+def test_small_components_take_few_tasks_and_no_round_on_stars(spark, monkeypatch):
+    written, plain = [], components.materialise
+
+    def counting(df):
+        out = plain(df)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "materialise", counting)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stars = spark.range(200).select((F.col("id") % 10).alias("u"), (F.col("id") + 10).alias("v"))
+        assert connected_components(stars).where("component <> (node - 10) % 10 AND node >= 10").count() == 0
+        assert len(written) == 1
+        written.clear()
+        chain = spark.range(0, 60, 1, 12).select(F.col("id").alias("v"), (F.col("id") + 1).alias("u")).repartition(12, "u")
+        found = connected_components(chain)
+        assert found.where("component <> 0").count() == 0 and found.count() == 61
+        assert max(written[1:]) <= components.TASKS
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
