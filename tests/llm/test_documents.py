@@ -453,3 +453,9 @@ def test_empty_tables(spark, odd_documents):
         mixing.mix_sources(none), toxicity.score_toxicity(none, labels), pii.pseudonymise(none, "k"),
     ):
         assert df.collect() == []
+
+
+def test_a_text_is_split_once_for_all_its_ranges(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * 300, "ab"[i % 2], 1200) for i in range(40)], "doc_id long, text string, source string, n_chars long")
+    plan = mixing.mixed_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("split(") < plan.index("transform(_ranges")

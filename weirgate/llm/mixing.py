@@ -212,10 +212,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     fields = {c: F.col("_doc").getField(c) for c in docs.columns}
     joined = numbered.select(F.col(row).alias("_row"), F.struct(*docs.columns).alias("_doc")).join(plan, "_row")
     words = F.filter(F.split(fields["text"], r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    some = F.flatten(F.transform("_ranges", lambda r: F.slice(F.col("_words"), (r["start"] + 1).cast("int"), (r["stop"] - r["start"]).cast("int"))))
+    # The words are the one element of a list, so that a text is split once and not for each range.
+    taken = lambda w: F.flatten(F.transform("_ranges", lambda r: F.slice(w, (r["start"] + 1).cast("int"), (r["stop"] - r["start"]).cast("int"))))
+    some = F.transform(F.array(words), lambda w: F.array_join(taken(w), " "))[0]
     entire = (F.size("_ranges") == 1) & (F.col("_ranges")[0]["stop"] - F.col("_ranges")[0]["start"] == F.col("_size"))
     whole = joined.where(entire).select(*[f.alias(c) for c, f in fields.items()])
-    cut = joined.where(~entire).withColumn("_words", words).withColumn("_text", F.array_join(some, " "))
+    cut = joined.where(~entire).withColumn("_text", some)
     fields |= {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
     return whole.unionByName(cut.select(*[fields[c].alias(c) for c in docs.columns]))
 
