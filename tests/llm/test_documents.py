@@ -108,6 +108,96 @@ def test_jaccard_with_frequent_tokens_and_tiles(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == jaccard_brute(rows, 3, 90)
 
 
+def written_with(monkeypatch, column):
+    """The tables with a column that the join writes from now on: their rows, kept apart from the files."""
+    found, plain = [], jaccard_join.materialise
+
+    def seen(df):
+        out = plain(df)
+        if column in out.columns:
+            found.append(out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", seen)
+    return found
+
+
+def test_chance_candidates_do_not_fill_tiles(spark, monkeypatch):
+    """Texts of their own with three passages each that three others have too: a class of no copies."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passages = [words(8) for _ in range(180)]
+    rows = [(i, " ".join([w for p in rng.sample(passages, 3) for w in p] + words(22))) for i in range(240)]
+    rows += [(1000 + i, t) for i, t in near_copies(rng, 1, 40, 60, 2)]
+    placed = written_with(monkeypatch, "blocks")
+    got = jaccard_join.text_components(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 3, 80).drop("th")
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == jaccard_brute(rows, 3, 80)
+    others = lambda table: [r for r in table if r.doc_id < 1000]
+    assert len(others(placed[0])) > 150 and max(r.blocks for r in others(placed[0])) > 4
+    last = {(r.component, r.band, r.doc_id): r.blocks for table in placed[1:] or placed for r in others(table)}
+    assert sum(last.values()) < 2 * len(others(placed[0]))
+    assert {r.doc_id for table in placed[1:] for r in table if r.doc_id >= 1000}
+
+
+def test_texts_of_their_own_have_no_signatures(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(80))) for i in range(50)]
+    signed = written_with(monkeypatch, "sigs")
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("component_id = doc_id").count() == 50
+    assert sum(len(r.sigs) for table in signed for r in table) == 0
+
+
+def test_jaccard_with_candidates_joined_by_shuffle(spark, odd_documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    got = rows_of(jaccard_join.jaccard_join(odd_documents), "doc_id", "n_shingles", "component_id")
+    assert got == jaccard_brute(pairs(odd_documents), 3, 90)
+
+
+def test_jaccard_deletes_its_tables_of_tokens(spark, monkeypatch):
+    made, plain = [], jaccard_join.materialise
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df: made.append(plain(df)) or made[-1])
+    rows = near_copies(random.Random(3), 3, 5, 60, 2)
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    large = [d for d in made if {"low", "sigs"} & set(d.columns)]
+    assert large and got.count() == len(rows)
+    for d in large:
+        with pytest.raises(Exception):
+            spark.read.parquet(*d.inputFiles()).count()
+
+
+@pytest.mark.parametrize("share, percent", [(jaccard_join.COUNTED, 90), (jaccard_join.COUNTED, 80), (jaccard_join.COUNTED_IN_CLASS, 90), (jaccard_join.COUNTED_IN_CLASS, 80)])
+def test_linked_sets_share_a_signature_without_their_lone_tokens(share, percent):
+    rng = np.random.default_rng(7)
+    universe = np.sort(rng.integers(1, 1 << 64, 4000, dtype=np.uint64))
+    often = rng.random(len(universe)) < 0.6
+    bound = np.uint64(int(share * 2**64))
+
+    def signed(tokens, band):
+        n, counted = len(tokens), int(np.searchsorted(tokens, bound))
+        low = tokens[:counted]
+        more = tokens[counted : counted + jaccard_join.uncounted(n, counted, band, share, percent)]
+        again, frequent = (low[np.isin(low, universe[often == f])] for f in (False, True))
+        return jaccard_join.shared_signatures(n, counted - len(again) - len(frequent), again, frequent, more, range(band, band + 1), share, percent)
+
+    linked = 0
+    for _ in range(600):
+        n = int(rng.integers(9, 900))
+        one = rng.choice(universe, n, replace=False)
+        lost = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+        gone = np.sort(one)[:lost] if rng.random() < 0.5 else rng.choice(one, lost, replace=False)
+        other = np.sort(np.r_[np.setdiff1d(one, gone), rng.integers(1, 1 << 64, int(rng.integers(0, lost + 1)), dtype=np.uint64)])
+        one = np.sort(np.r_[one, rng.integers(1, 1 << 64, int(rng.integers(0, 3)), dtype=np.uint64)])
+        shared = len(np.intersect1d(one, other))
+        if 100 * shared >= percent * (len(one) + len(other) - shared) and not np.array_equal(one, other):
+            linked += 1
+            bands = set(jaccard_join.size_bands(len(one), percent)) & set(jaccard_join.size_bands(len(other), percent))
+            assert bands and all(len(np.intersect1d(signed(one, b), signed(other, b))) for b in bands), (n, lost)
+    assert linked > 100
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_linked_sets_share_a_signature(seed):
     rng = np.random.default_rng(seed)

@@ -94,3 +94,18 @@ def test_discard_deletes_tables_of_its_own_only(spark, tmp_path):
     assert kept.count() == 10 and files
     with pytest.raises(Exception):
         spark.read.parquet(*files).count()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from weirgate.session import SHUFFLE_CLEANUP, materialise
+
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = store.getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    table = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert not files() - before and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert table.count() == 7

@@ -6,11 +6,14 @@ tokens, chosen by hash and counted over the corpus, those of one document before
 ones and frequent ones last, by subclass; then the uncounted tokens. A prefix of a set is
 extended until losing a tenth of the set cannot break all of its signatures: a rare token is a
 signature alone, two frequent tokens of one subclass are one together. Linked sets then share
-a signature. Sets that do, directly or through others, meet and are verified exactly.
+a signature. Sets that do, directly or through others, meet and are verified exactly. A token
+that one document has alone counts in its prefix and is no signature.
 
 Sets with equal tokens are one class from the start. Groups that share signatures are linked
-as stars and never paired off; a class of candidates larger than a block is verified in tiles
-of two blocks, each of which passes on a spanning forest of its links.
+as stars and never paired off. A class of candidates larger than a block is mostly a chain of
+chance tokens: it goes through the same once more, with tokens counted within the class, and
+falls apart. What is left is verified in tiles of two blocks, each of which passes on a
+spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 
 from weirgate.llm.common import as_batch, free_name, in_batches, mixed, partitions, released, slices, table
 from weirgate.llm.shingles import shingle_sets
+from weirgate.llm.url_filter import marked
 from weirgate.operators.components import connected_components
-from weirgate.session import materialise
+from weirgate.session import discard, materialise
 
 WIDTH = 3
 PERCENT = 90
@@ -35,6 +39,9 @@ PERCENT = 90
 # The tokens that are counted: those whose hash is below this share of its range.
 COUNTED = 0.25
 
+# The same for classes of candidates larger than a block, where tokens are counted by class.
+COUNTED_IN_CLASS = 0.5
+
 # A counted token in at least this many documents is frequent.
 FREQUENT = 32
 
@@ -43,10 +50,12 @@ FREQUENT = 32
 BAND_RATIO = 1.5
 BANDS = np.unique(np.ceil(BAND_RATIO ** np.arange(90)))
 
-# The least size in a band, divided by this, is its number of subclasses of frequent tokens.
+# The least size in a band, divided by this, is its number of subclasses of frequent tokens; by
+# less where a larger share of the tokens is counted.
 SUBCLASS = 40
 
-# Up to this many candidates, their places are broadcast (24 bytes each); more are joined by a shuffle.
+# Up to this many candidates, their places are broadcast (32 bytes each). With more, texts that a
+# Bloom filter of their ids passes on are joined by a shuffle.
 BROADCAST_IDS = 1 << 19
 
 # Sets verified against each other in one tile: one block, or two, of so many sets and tokens.
@@ -58,8 +67,10 @@ ROWS = 64
 FEW = 16
 
 TOKENS = pa.list_(pa.int64())
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("th", pa.int64()), ("low", TOKENS), ("more", TOKENS)])
-SKETCH_DDL = "doc_id long, n long, key binary, th long, low array<long>, more array<long>"
+SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("th", pa.int64()), ("counted", pa.int64()), ("low", TOKENS), ("more", TOKENS)])
+SKETCH_DDL = "row long, doc_id long, n long, key binary, th long, counted long, low array<long>, more array<long>"
+CLASS_SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("band", pa.int64()), ("n", pa.int64()), ("counted", pa.int64()), ("low", TOKENS), ("more", TOKENS)])
+CLASS_SKETCH_DDL = "row long, doc_id long, band long, n long, counted long, low array<long>, more array<long>"
 SIGNED = pa.schema([("doc_id", pa.int64()), ("sigs", TOKENS)])
 MEMBER = pa.schema([("component", pa.int64()), ("band", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()), ("doc_id", pa.int64()), ("tokens", pa.binary())])
 MEMBER_DDL = "component long, band long, blocks int, block int, doc_id long, tokens binary"
@@ -71,17 +82,32 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def size_bands(n: int, percent: int) -> range:
+    """The bands of sizes that a set of n belongs to."""
+    first, last = np.searchsorted(BANDS, [least_overlap(n, percent), n], "right").tolist()
+    return range(first, last + 1)
+
+
+def subclasses(band: int, share: float) -> int:
+    """The number of subclasses of a band's frequent tokens if ``share`` of all tokens is counted."""
+    return max(1, int(BANDS[max(0, band - 1)] * share) // int(SUBCLASS * COUNTED))
+
+
+def uncounted(n: int, counted: int, last: int, share: float, percent: int) -> int:
+    """Uncounted tokens that signatures of a set may take, if ``last`` is the largest of its bands."""
+    return max(0, n - least_overlap(n, percent) + 1 - counted + subclasses(last, share))
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Each set's size, a digest of it, its counted tokens, and others if those may not do."""
     bound = np.uint64(int(COUNTED * 2**64))
     held: list[tuple] = []
     for batch in batches:
-        for doc, th, tokens in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(1), width)):
+        for row, doc, th, tokens in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), shingle_sets(batch.column(2), width)):
             n, counted = len(tokens), int(np.searchsorted(tokens, bound))
-            need = n - least_overlap(n, percent) + 1
-            more = tokens[counted : counted + need] if counted < 2 * need else tokens[:0]
+            more = tokens[counted : counted + uncounted(n, counted, size_bands(n, percent)[-1], COUNTED, percent)]
             key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None
-            held.append((doc, n, key, th, tokens[:counted].view(np.int64), more.view(np.int64)))
+            held.append((row, doc, n, key, th, counted, tokens[:counted].view(np.int64), more.view(np.int64)))
             if len(held) == 512:
                 yield as_batch(held, SKETCH)
                 held = []
@@ -89,6 +115,32 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
         yield as_batch(held, SKETCH)
 
 
+def _class_sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """The same of ``(component, band, doc_id, row, text)``, without digest; classes share no tokens."""
+    bound = np.uint64(int(COUNTED_IN_CLASS * 2**64))
+    held: list[tuple] = []
+    size = 0
+    for batch in slices(batches):
+        places = zip(*(c.to_pylist() for c in batch.columns[:4]))
+        for (component, band, doc, row), tokens in zip(places, shingle_sets(batch.column(4), width)):
+            band += 1  # places number bands from 0
+            n, counted = len(tokens), int(np.searchsorted(tokens, bound))
+            taken = counted + uncounted(n, counted, band, COUNTED_IN_CLASS, percent)
+            own = mixed(mixed(np.array([component], np.int64).view(np.uint64)) + np.uint64(band))
+            tokens = (tokens[:taken] ^ own).view(np.int64)
+            held.append((row, doc, band, n, counted, tokens[:counted], tokens[counted:]))
+            size += taken
+            if size > 200_000:
+                yield as_batch(held, CLASS_SKETCH)
+                held, size = [], 0
+    if held:
+        yield as_batch(held, CLASS_SKETCH)
+
+
+def links_to_equal_only(n: int, percent: int) -> bool:
+    return n < 2 or (least_overlap(n, percent) == n and n * 100 // percent == n)
+
+
 def signatures(n: int, low: np.ndarray, more: np.ndarray, repeated: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """Signatures of a set of n tokens: its sorted counted tokens, some of the others, and
     which of the counted ones are repeated, or frequent even.
@@ -97,25 +149,39 @@ def signatures(n: int, low: np.ndarray, more: np.ndarray, repeated: np.ndarray,
     them must be lost before no pair is left. The prefix ends where what must be lost exceeds
     what a link allows. Signatures and subclasses hang on the band of sizes.
     """
-    least = least_overlap(n, percent)
-    if n < 2 or (least == n and n * 100 // percent == n):
-        return low[:0]  # it links to equal sets only
-    need = n - least + 1
+    if links_to_equal_only(n, percent):
+        return low[:0]
     often, again = np.isin(low, frequent), np.isin(low, repeated)
-    singles = np.concatenate([low[~again & ~often], low[again & ~often]])[:need]
+    lone = low[~again & ~often]
+    own = [mixed(lone[: n - least_overlap(n, percent) + 1] + np.uint64(band)) for band in size_bands(n, percent)]
+    shared = shared_signatures(n, len(lone), low[again & ~often], low[often], more, size_bands(n, percent), COUNTED, percent)
+    return np.unique(np.concatenate([*own, shared]))
+
+
+def shared_signatures(
+    n: int, lone: int, singles: np.ndarray, rest: np.ndarray, more: np.ndarray, bands: range, share: float, percent: int
+) -> np.ndarray:
+    """Those of the :func:`signatures` that another set may have too, for some bands.
+
+    ``lone`` is the number of counted tokens that no other set has; ``singles`` are the sorted
+    repeated ones, ``rest`` the sorted frequent ones.
+    """
+    if links_to_equal_only(n, percent):
+        return singles[:0]
+    need = n - least_overlap(n, percent) + 1
+    singles = singles[: max(0, need - lone)]
+    held = min(need, lone + len(singles))
     found = []
-    rest = low[often]
-    first, last = np.searchsorted(BANDS, [least, n], "right").tolist()
-    for band in range(first, last + 1):
+    for band in bands:
         found.append(mixed(singles + np.uint64(band)))
-        if len(singles) < need:
-            sub = (mixed(rest ^ np.uint64(band)) % np.uint64(max(1, int(BANDS[band - 1]) // SUBCLASS))).astype(np.int64)
+        if held < need:
+            sub = (mixed(rest ^ np.uint64(band)) % np.uint64(subclasses(band, share))).astype(np.int64)
             order = np.lexsort((rest, sub))
             sub, ordered = sub[order], rest[order]
-            broken = len(singles) + np.cumsum(np.r_[False, sub[1:] == sub[:-1]][: len(sub)])
+            broken = held + np.cumsum(np.r_[False, sub[1:] == sub[:-1]][: len(sub)])
             end = int(np.searchsorted(broken, need)) + 1
             if end > len(sub):
-                found.append(mixed(more[: need - int(broken[-1] if len(sub) else len(singles))] + np.uint64(band)))
+                found.append(mixed(more[: need - int(broken[-1] if len(sub) else held)] + np.uint64(band)))
             sub, ordered = sub[:end], ordered[:end]
             starts = np.flatnonzero(np.r_[True, sub[1:] != sub[:-1]][: len(sub)])
             for a, b in zip(starts, [*starts[1:], len(sub)]):
@@ -130,21 +196,16 @@ def flat_lists(column: pa.Array) -> tuple[list[int], pa.Array]:
     return [0, *np.cumsum(sizes).tolist()], column.flatten()
 
 
-def _signed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Signatures of ``(doc_id, n, low, more, known)``; a known token is a pair ``(token, frequent)``."""
-
+def _signed(batches: Iterator[pa.RecordBatch], share: float, percent: int) -> Iterator[pa.RecordBatch]:
+    """Shared signatures of ``(doc_id, band, n, counted, more, again, often)``; a null band stands for all of the set."""
     for batch in slices(batches):
         held, size = [], 0
-        docs, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        (low_at, low), (more_at, more), (known_at, known) = (flat_lists(batch.column(i)) for i in (2, 3, 4))
-        token, often = (known.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        tokens = lambda values: np.sort(values.view(np.uint64))
-        low, more, token = (x.astype(np.int64) for x in (low.to_numpy(zero_copy_only=False), more.to_numpy(zero_copy_only=False), token))
-        often = often.astype(bool)
-        for i, (doc, n) in enumerate(zip(docs, sizes)):
-            part = slice(known_at[i], known_at[i + 1])
-            repeated, frequent = (tokens(token[part][often[part] == f]) for f in (False, True))
-            sigs = signatures(n, tokens(low[low_at[i] : low_at[i + 1]]), tokens(more[more_at[i] : more_at[i + 1]]), repeated, frequent, percent)
+        places = zip(*(c.to_pylist() for c in batch.columns[:4]))
+        lists = [(at, values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) for at, values in map(flat_lists, batch.columns[4:])]
+        for i, (doc, band, n, counted) in enumerate(places):
+            more, again, often = (values[at[i] : at[i + 1]] for at, values in lists)
+            bands = size_bands(n, percent) if band is None else range(band, band + 1)
+            sigs = shared_signatures(n, counted - len(again) - len(often), np.sort(again), np.sort(often), more, bands, share, percent)
             if len(sigs):
                 held.append((doc, sigs.view(np.int64)))
                 size += len(sigs)
@@ -259,21 +320,63 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield as_batch(held, LINK)
 
 
-def known_tokens(sketch: DataFrame) -> DataFrame:
-    """``(doc_id, known)``: the counted tokens of each document that others have too."""
-    rows = sketch.select("doc_id", F.explode("low").alias("token"))
-    counts = materialise(rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
-    known = rows.join(counts.select("token", (F.col("n") >= FREQUENT).alias("frequent")), "token")
-    return known.groupBy("doc_id").agg(F.collect_list(F.struct("token", "frequent")).alias("known"))
+def signed_sets(sets: DataFrame, tokens: DataFrame, share: float, percent: int) -> DataFrame:
+    """``(doc_id, sigs)`` of ``sets(row, doc_id, band, n, counted, more)`` with the counted ``tokens(row, token)``."""
+    counts = materialise(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    known = tokens.join(counts.select("token", (F.col("n") >= FREQUENT).alias("frequent")), "token")
+    lists = [F.collect_list(F.when(when, F.col("token"))).alias(name) for name, when in (("again", ~F.col("frequent")), ("often", F.col("frequent")))]
+    sets = sets.join(known.groupBy("row").agg(*lists), "row", "left").select("doc_id", "band", "n", "counted", "more", "again", "often")
+    signed = materialise(sets.mapInArrow(lambda b: released(_signed(b, share, percent)), "doc_id long, sigs array<long>"))
+    discard(counts)
+    return signed
+
 
+def candidates(signed: DataFrame) -> DataFrame:
+    """``(doc_id, component)`` of the documents that share a signature, directly or through others.
 
-def candidate_edges(signed: DataFrame) -> DataFrame:
-    """Star edges ``(u, v)`` of the documents that share a signature. Pairs need no join back."""
+    A group of documents is a star of edges; pairs need no join back. ``signed`` is deleted.
+    """
     rows = signed.select(F.explode("sigs").alias("sig"), "doc_id")
     groups = rows.groupBy("sig").agg(F.min("doc_id").alias("u"), F.max("doc_id").alias("v"), F.count("*").alias("n"))
     groups = materialise(groups.where("n > 1"))
     more = rows.join(groups.where("n > 2").select("sig", "u"), "sig").select("u", F.col("doc_id").alias("v"))
-    return groups.select("u", "v").unionByName(more).where("u < v").distinct()
+    found = materialise(connected_components(groups.select("u", "v").unionByName(more).where("u < v").distinct()))
+    discard(groups)
+    discard(signed)
+    return found.withColumnRenamed("node", "doc_id")
+
+
+def in_blocks(banded: DataFrame) -> DataFrame:
+    """The written ``(component, band, blocks, block, doc_id, n)`` of ``banded(component, band, doc_id, n)``.
+
+    A component's candidates of a band are a class; classes of one are left out.
+    """
+    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    blocks = banded.groupBy("component", "band").agg(needed.alias("blocks"), F.count("*").alias("members")).where("members > 1")
+    block = F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")
+    return materialise(banded.join(blocks, ["component", "band"]).select("component", "band", "blocks", block.alias("block"), "doc_id", "n"))
+
+
+def with_texts(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """The places with the texts of ``rows(doc_id, text)``; texts that have none are not shuffled."""
+    placed = placed.drop("n")
+    n = placed.count()
+    if n <= BROADCAST_IDS:
+        return rows.join(F.broadcast(placed), "doc_id")
+    return marked(rows, F.col("doc_id"), placed.select("doc_id"), n, "hit").where("hit").drop("hit").join(placed, "doc_id")
+
+
+def refined(rows: DataFrame, large: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(component, band, doc_id, n)`` of the classes ``large``, parted by signatures of their own.
+
+    Within a class a set has many more tokens alone than within the corpus, and more of them
+    are counted, so that few sets are left but copies.
+    """
+    texts = with_texts(rows, large).select("component", "band", "doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    sketch = materialise(texts.mapInArrow(lambda b: released(_class_sketches(b, width, percent)), CLASS_SKETCH_DDL))
+    signed = signed_sets(sketch.drop("low"), sketch.select("row", F.explode("low").alias("token")), COUNTED_IN_CLASS, percent)
+    discard(sketch)
+    return large.select("doc_id", "band", "n").join(candidates(signed), "doc_id").select("component", "band", "doc_id", "n")
 
 
 def jaccard_join(
@@ -296,28 +399,29 @@ def jaccard_join(
 def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     """The rows of :func:`jaccard_join`, with ``th``, a hash of the row's text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("th", F.xxhash64("text"))
-    sketch = materialise(rows.mapInArrow(lambda b: released(_sketches(b, width, percent)), SKETCH_DDL))
-    some = sketch.where("key IS NOT NULL AND doc_id IS NOT NULL")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.xxhash64("text").alias("th"))
+    sketch = materialise(numbered.mapInArrow(lambda b: released(_sketches(b, width, percent)), SKETCH_DDL))
+    sizes = materialise(sketch.select("doc_id", "n", "key", "th"))
+    some = sizes.where("key IS NOT NULL AND doc_id IS NOT NULL")
     firsts = materialise(some.groupBy("key").agg(F.min("doc_id").alias("rep")))
 
-    different = some.select("doc_id", "n", "low", "more").join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    signed = different.join(known_tokens(some), "doc_id", "left").select("doc_id", "n", "low", "more", "known")
-    signed = materialise(signed.mapInArrow(lambda b: released(_signed(b, percent)), "doc_id long, sigs array<long>"))
-    candidates = materialise(connected_components(candidate_edges(signed)))
+    taking = sketch.where("key IS NOT NULL AND doc_id IS NOT NULL")
+    sets = taking.select("row", "doc_id", "key", F.lit(None).cast("long").alias("band"), "n", "counted", "more")
+    different = sets.join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "key"])
+    signed = signed_sets(different.drop("key"), taking.select("row", F.explode("low").alias("token")), COUNTED, percent)
+    discard(sketch)
 
     # A component's candidates by bands of sizes, and a band's in blocks.
     band = lambda n: F.floor(F.log(n) / float(np.log(BAND_RATIO)))
     bands = F.explode(F.sequence(band(F.ceil(F.col("n") * percent / 100)), band(F.col("n"))))
-    sized = some.select(F.col("doc_id").alias("node"), "n").join(candidates, "node")
-    banded = sized.select("node", "component", "n", bands.alias("band")).groupBy("node", "component", "band").agg(F.max("n").alias("n"))
-    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
-    blocks = banded.groupBy("component", "band").agg(needed.alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    placed = banded.join(blocks, ["component", "band"]).select("component", "band", "blocks", block.alias("block"), F.col("node").alias("doc_id"))
-    placed = materialise(placed)
-    placed = F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed
-    texts = rows.join(placed, "doc_id").select("component", "band", "blocks", "block", "doc_id", "text")
+    sized = some.select("doc_id", "n").join(candidates(signed), "doc_id")
+    banded = sized.select("doc_id", "component", "n", bands.alias("band")).groupBy("doc_id", "component", "band").agg(F.max("n").alias("n"))
+    placed = in_blocks(banded)
+    large = placed.where("blocks > 1")
+    if not large.isEmpty():
+        placed = placed.where("blocks = 1").unionByName(in_blocks(refined(rows, large, width, percent)))
+
+    texts = with_texts(rows, placed).select("component", "band", "blocks", "block", "doc_id", "text")
     members = texts.mapInArrow(lambda b: released(_members(b, width)), MEMBER_DDL)
     tiles = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "component", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "tokens"
@@ -329,7 +433,7 @@ def text_components(docs: DataFrame, id_col: str, text_col: str, width: int, per
 
     classes = firsts.join(found, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     placed = some.select("doc_id", F.col("n").alias("n_shingles"), "key", "th").join(classes, "key").drop("key")
-    alone = sketch.where("key IS NULL OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "th", F.col("doc_id").alias("component_id"))
+    alone = sizes.where("key IS NULL OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "th", F.col("doc_id").alias("component_id"))
     return placed.unionByName(alone)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgate.llm.common import UPPER, lower_ascii, table
+from weirgate.llm.common import UPPER, free_name, lower_ascii, table
 
 # (verdict, rule): host before the first slash, path from it on.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -59,6 +59,23 @@ def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
     return slots.groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
+def marked(rows: DataFrame, key: Column, listed: DataFrame, entries: int, name: str, most: int = 1 << 18) -> DataFrame:
+    """``rows`` with ``name``: whether ``key`` may be among the ``entries`` values of the one column of ``listed``.
+
+    It is true for all values that are and for few others. An entry has 16 bits of the filter
+    or more; beyond ``most`` blocks the filter grows no more, and more of the others pass.
+    """
+    blocks = min(most, 1 << max(0, -(-entries // 16) - 1).bit_length())
+    filled = bloom_filter(listed.select(F.col(listed.columns[0]).alias("canonical")), blocks)
+    there, slots = free_name(rows, "there"), free_name(rows, "slots")
+    probed = rows.withColumn(slots, F.struct(*_slots(key, blocks)))
+    probed = probed.join(F.broadcast(filled.select(F.struct(*filled.columns).alias(there))), F.col(slots)["block"] == F.col(there)["block"], "left")
+    hit = F.lit(True)
+    for i in range(WORDS):
+        hit = hit & (F.col(there)[f"w{i}"].bitwiseAND(F.col(slots)[f"b{i}"]) != 0)
+    return probed.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(name))
+
+
 def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """The longest fitting rule as a struct ``(n, verdict, rule)``, or null.
 

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Whether an execution deletes its shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark. On a cluster, bring your own."""
@@ -51,11 +54,20 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     It cuts the lineage, survives lost executors, and the result has no Python work left
-    in its plan, so reading it twice does not compute it twice.
+    in its plan, so reading it twice does not compute it twice. The shuffle files of the write
+    go with its end; else they would stay until the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
