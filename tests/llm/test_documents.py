@@ -168,6 +168,29 @@ def test_jaccard_deletes_its_tables_of_tokens(spark, monkeypatch):
             spark.read.parquet(*d.inputFiles()).count()
 
 
+def test_near_copies_leave_without_a_shuffle_of_the_others(spark):
+    """Only texts that a Bloom filter takes for dropped ones are shuffled."""
+    rng = random.Random(10)
+    rows = [(i, " ".join(f"{rng.randrange(10**9)}" for _ in range(400))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(5)] + [(None, rows[0][1]), (None, None)]
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = store.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+        before = shuffled()
+        got = kept.collect()
+        written = sum(n for name, n in shuffled().items() if name not in before)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(repr, got)) == sorted(repr(r) for r in got if r.doc_id is None or r.doc_id < 1000) and len(got) == 302
+    assert written < sum(len(t or "") for _, t in rows) / 5
+
+
 @pytest.mark.parametrize("share, percent", [(jaccard_join.COUNTED, 90), (jaccard_join.COUNTED, 80), (jaccard_join.COUNTED_IN_CLASS, 90), (jaccard_join.COUNTED_IN_CLASS, 80)])
 def test_linked_sets_share_a_signature_without_their_lone_tokens(share, percent):
     rng = np.random.default_rng(7)

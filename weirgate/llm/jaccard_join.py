@@ -442,12 +442,14 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
 
     A row goes by its id and its text; a row with a null id links to nothing and stays.
     """
-    th = free_name(docs, "th")
+    th, hit = free_name(docs, "th"), free_name(docs, "hit")
     found = text_components(docs, "doc_id", "text", width, percent).where("doc_id > component_id")
-    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct()
-    named = docs.withColumn(th, F.xxhash64("text"))
-    same = (named["doc_id"].cast("long") == gone["_gone_id"]) & (named[th] == gone["_gone_th"])
-    return named.join(gone, same, "left_anti").select(*docs.columns)
+    gone = materialise(found.select(F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")).distinct())
+    # Rows whose id a Bloom filter doesn't know stay where they lie, so that few texts are shuffled.
+    named = marked(docs.withColumn(th, F.xxhash64("text")), F.col("doc_id").cast("long"), gone.select("_gone_id"), gone.count(), hit)
+    known = named.where(hit)
+    same = (known["doc_id"].cast("long") == gone["_gone_id"]) & (known[th] == gone["_gone_th"])
+    return named.where(~F.col(hit)).unionByName(known.join(gone, same, "left_anti")).select(*docs.columns)
 
 
 def query(spark, folder: str) -> DataFrame:
