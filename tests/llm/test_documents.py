@@ -140,6 +140,28 @@ def test_chance_candidates_do_not_fill_tiles(spark, monkeypatch):
     assert {r.doc_id for table in placed[1:] for r in table if r.doc_id >= 1000}
 
 
+def test_families_of_alike_texts_are_not_chained(spark, monkeypatch):
+    """Families of texts too far apart to link; each two families have a few passages in common."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 30)
+    rng = random.Random(12)
+    passages = [[f"p{rng.randrange(10**9)}" for _ in range(5)] for _ in range(100)]
+    rows = []
+    for _ in range(40):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(160)]
+        for p in rng.sample(passages, 15):
+            at = rng.randrange(len(base))
+            base[at:at] = p
+        for _ in range(6):
+            own = list(base)
+            for at in rng.sample(range(len(own)), 24):
+                own[at] = f"v{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(own)))
+    placed = written_with(monkeypatch, "blocks")
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == jaccard_brute(rows, 3, 90)
+    assert max(r.blocks for r in placed[0]) > 4 and max((r.blocks for table in placed[1:] or placed for r in table), default=1) == 1
+
+
 def test_texts_of_their_own_have_no_signatures(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(80))) for i in range(50)]
@@ -191,8 +213,9 @@ def test_near_copies_leave_without_a_shuffle_of_the_others(spark):
     assert written < sum(len(t or "") for _, t in rows) / 5
 
 
-@pytest.mark.parametrize("share, percent", [(jaccard_join.COUNTED, 90), (jaccard_join.COUNTED, 80), (jaccard_join.COUNTED_IN_CLASS, 90), (jaccard_join.COUNTED_IN_CLASS, 80)])
-def test_linked_sets_share_a_signature_without_their_lone_tokens(share, percent):
+@pytest.mark.parametrize("percent", [90, 80])
+@pytest.mark.parametrize("share, alone", [(jaccard_join.COUNTED, True), (jaccard_join.COUNTED_IN_CLASS, False)])
+def test_linked_sets_share_a_signature_without_their_lone_tokens(share, alone, percent):
     rng = np.random.default_rng(7)
     universe = np.sort(rng.integers(1, 1 << 64, 4000, dtype=np.uint64))
     often = rng.random(len(universe)) < 0.6
@@ -203,7 +226,7 @@ def test_linked_sets_share_a_signature_without_their_lone_tokens(share, percent)
         low = tokens[:counted]
         more = tokens[counted : counted + jaccard_join.uncounted(n, counted, band, share, percent)]
         again, frequent = (low[np.isin(low, universe[often == f])] for f in (False, True))
-        return jaccard_join.shared_signatures(n, counted - len(again) - len(frequent), again, frequent, more, range(band, band + 1), share, percent)
+        return jaccard_join.shared_signatures(n, counted - len(again) - len(frequent), again, frequent, more, range(band, band + 1), share, percent, alone)
 
     linked = 0
     for _ in range(600):

@@ -11,8 +11,8 @@ that one document has alone counts in its prefix and is no signature.
 
 Sets with equal tokens are one class from the start. Groups that share signatures are linked
 as stars and never paired off. A class of candidates larger than a block is mostly a chain of
-chance tokens: it goes through the same once more, with tokens counted within the class, and
-falls apart. What is left is verified in tiles of two blocks, each of which passes on a
+chance tokens: it goes through the same once more, with tokens counted within the class and
+two repeated tokens to a signature, and falls apart. What is left is verified in tiles of two blocks, each of which passes on a
 spanning forest of its links.
 """
 
@@ -159,34 +159,37 @@ def signatures(n: int, low: np.ndarray, more: np.ndarray, repeated: np.ndarray,
 
 
 def shared_signatures(
-    n: int, lone: int, singles: np.ndarray, rest: np.ndarray, more: np.ndarray, bands: range, share: float, percent: int
+    n: int, lone: int, again: np.ndarray, often: np.ndarray, more: np.ndarray, bands: range, share: float, percent: int, alone: bool = True
 ) -> np.ndarray:
     """Those of the :func:`signatures` that another set may have too, for some bands.
 
-    ``lone`` is the number of counted tokens that no other set has; ``singles`` are the sorted
-    repeated ones, ``rest`` the sorted frequent ones.
+    ``lone`` is the number of counted tokens that no other set has; ``again`` are the sorted
+    repeated ones, ``often`` the sorted frequent ones. Unless they are signatures ``alone``,
+    two repeated tokens of a subclass are one together, as two frequent ones are.
     """
     if links_to_equal_only(n, percent):
-        return singles[:0]
+        return again[:0]
     need = n - least_overlap(n, percent) + 1
-    singles = singles[: max(0, need - lone)]
-    held = min(need, lone + len(singles))
+    singles = again[: max(0, need - lone) if alone else 0]
     found = []
     for band in bands:
+        held = min(need, lone + len(singles))
         found.append(mixed(singles + np.uint64(band)))
-        if held < need:
+        for rest in (often,) if alone else (again, often):
+            if held == need:
+                break
             sub = (mixed(rest ^ np.uint64(band)) % np.uint64(subclasses(band, share))).astype(np.int64)
             order = np.lexsort((rest, sub))
             sub, ordered = sub[order], rest[order]
             broken = held + np.cumsum(np.r_[False, sub[1:] == sub[:-1]][: len(sub)])
             end = int(np.searchsorted(broken, need)) + 1
-            if end > len(sub):
-                found.append(mixed(more[: need - int(broken[-1] if len(sub) else held)] + np.uint64(band)))
+            held = int(broken[min(end, len(sub)) - 1]) if len(sub) else held
             sub, ordered = sub[:end], ordered[:end]
             starts = np.flatnonzero(np.r_[True, sub[1:] != sub[:-1]][: len(sub)])
             for a, b in zip(starts, [*starts[1:], len(sub)]):
                 i, j = np.triu_indices(b - a, 1)
                 found.append(mixed(ordered[a + i] * np.uint64(3) + mixed(ordered[a + j] + np.uint64(band))))
+        found.append(mixed(more[: need - held] + np.uint64(band)))
     return np.unique(np.concatenate(found))
 
 
@@ -196,7 +199,7 @@ def flat_lists(column: pa.Array) -> tuple[list[int], pa.Array]:
     return [0, *np.cumsum(sizes).tolist()], column.flatten()
 
 
-def _signed(batches: Iterator[pa.RecordBatch], share: float, percent: int) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterator[pa.RecordBatch], share: float, percent: int, alone: bool) -> Iterator[pa.RecordBatch]:
     """Shared signatures of ``(doc_id, band, n, counted, more, again, often)``; a null band stands for all of the set."""
     for batch in slices(batches):
         held, size = [], 0
@@ -205,7 +208,7 @@ def _signed(batches: Iterator[pa.RecordBatch], share: float, percent: int) -> It
         for i, (doc, band, n, counted) in enumerate(places):
             more, again, often = (values[at[i] : at[i + 1]] for at, values in lists)
             bands = size_bands(n, percent) if band is None else range(band, band + 1)
-            sigs = shared_signatures(n, counted - len(again) - len(often), np.sort(again), np.sort(often), more, bands, share, percent)
+            sigs = shared_signatures(n, counted - len(again) - len(often), np.sort(again), np.sort(often), more, bands, share, percent, alone)
             if len(sigs):
                 held.append((doc, sigs.view(np.int64)))
                 size += len(sigs)
@@ -320,13 +323,13 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield as_batch(held, LINK)
 
 
-def signed_sets(sets: DataFrame, tokens: DataFrame, share: float, percent: int) -> DataFrame:
+def signed_sets(sets: DataFrame, tokens: DataFrame, share: float, percent: int, alone: bool = True) -> DataFrame:
     """``(doc_id, sigs)`` of ``sets(row, doc_id, band, n, counted, more)`` with the counted ``tokens(row, token)``."""
     counts = materialise(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
     known = tokens.join(counts.select("token", (F.col("n") >= FREQUENT).alias("frequent")), "token")
     lists = [F.collect_list(F.when(when, F.col("token"))).alias(name) for name, when in (("again", ~F.col("frequent")), ("often", F.col("frequent")))]
     sets = sets.join(known.groupBy("row").agg(*lists), "row", "left").select("doc_id", "band", "n", "counted", "more", "again", "often")
-    signed = materialise(sets.mapInArrow(lambda b: released(_signed(b, share, percent)), "doc_id long, sigs array<long>"))
+    signed = materialise(sets.mapInArrow(lambda b: released(_signed(b, share, percent, alone)), "doc_id long, sigs array<long>"))
     discard(counts)
     return signed
 
@@ -370,11 +373,12 @@ def refined(rows: DataFrame, large: DataFrame, width: int, percent: int) -> Data
     """``(component, band, doc_id, n)`` of the classes ``large``, parted by signatures of their own.
 
     Within a class a set has many more tokens alone than within the corpus, and more of them
-    are counted, so that few sets are left but copies.
+    are counted; a repeated token is no signature alone, so chance does not chain families of
+    alike sets. Few sets are left but copies.
     """
     texts = with_texts(rows, large).select("component", "band", "doc_id", F.monotonically_increasing_id().alias("row"), "text")
     sketch = materialise(texts.mapInArrow(lambda b: released(_class_sketches(b, width, percent)), CLASS_SKETCH_DDL))
-    signed = signed_sets(sketch.drop("low"), sketch.select("row", F.explode("low").alias("token")), COUNTED_IN_CLASS, percent)
+    signed = signed_sets(sketch.drop("low"), sketch.select("row", F.explode("low").alias("token")), COUNTED_IN_CLASS, percent, alone=False)
     discard(sketch)
     return large.select("doc_id", "band", "n").join(candidates(signed), "doc_id").select("component", "band", "doc_id", "n")
 
